@@ -5,6 +5,7 @@ All of it is row-local, so pages are parsed where they are read: no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -27,19 +28,27 @@ def _entity_table() -> dict[str, str]:
     return {name: names[name] for name in sorted(names, key=lambda n: (len(n), n))}
 
 
+def bind(value: Column | str, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once however often the body names it."""
+    return F.get(F.transform(F.array(col_of(value)), body), F.lit(0))
+
+
 def _code_point(number: Column) -> Column:
     """Character of a code point, by way of its four bytes in UTF-32."""
     valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-    legacy = F.create_map(*[F.lit(part) for item in _CP1252.items() for part in item])
     char = F.decode(F.unhex(F.lpad(F.hex(number.cast("bigint")), 8, "0")), "UTF-32")
-    return F.when(valid, F.coalesce(legacy[number], char)).otherwise(F.lit("\ufffd"))
+    legacy = F.when(number.between(128, 159), _lookup(_CP1252)[number.cast("string")])
+    return F.when(valid, F.coalesce(legacy, char)).otherwise(F.lit("\ufffd"))
+
+
+def _lookup(table: dict) -> Column:
+    """A constant map, written as one text literal to keep the plan small."""
+    text = "\x01".join(f"{key}\x02{value}" for key, value in table.items())
+    return F.str_to_map(F.lit(text), F.lit("\x01"), F.lit("\x02"))
 
 
 def decode_entities(value: Column | str) -> Column:
     """Named and numeric character references to characters; unknown names stay."""
-    text = col_of(value)
-    table = _entity_table()
-    named = F.create_map(*[F.lit(part) for item in table.items() for part in item])
 
     def decode(token: Column) -> Column:
         body = F.rtrim(F.substring(token, 2, 64), F.lit(";"))
@@ -49,12 +58,14 @@ def decode_entities(value: Column | str) -> Column:
             F.when(~token.rlike(f"^{_ENTITY}$"), token)
             .when(token.rlike("^&#[xX]"), _code_point(F.coalesce(hexadecimal, F.lit(-1))))
             .when(token.startswith("&#"), _code_point(F.coalesce(decimal, F.lit(-1))))
-            .otherwise(F.coalesce(named[body], token))
+            .otherwise(F.coalesce(_lookup(_entity_table())[body], token))
         )
 
-    tokens = F.regexp_extract_all(text, F.lit(f"{_ENTITY}|[^&]+|&"), F.lit(0))
-    decoded = F.array_join(F.transform(tokens, decode), "")
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+    def decode_all(text: Column) -> Column:
+        tokens = F.regexp_extract_all(text, F.lit(f"{_ENTITY}|[^&]+|&"), F.lit(0))
+        return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(tokens, decode), "")).otherwise(text)
+
+    return bind(value, decode_all)
 
 
 def drop_hidden(html: Column | str) -> Column:
@@ -79,22 +90,23 @@ def elements(html: Column | str, tag: str) -> Column:
     to the end of the text. Most markup does not nest a tag in itself, which one
     regular expression finds; the rest is matched with a stack.
     """
-    text = col_of(html)
     opening, closing = rf"<(?:{tag})(?=[\s/>])", rf"</(?:{tag})(?=[\s>])"
-    flat = F.regexp_extract_all(text, F.lit(rf"(?is){opening}.*?(?={closing}|\z)"), F.lit(0))
-    nested = F.exists(flat, lambda e: F.substring(e, 2, 2**31 - 1).rlike(rf"(?i){opening}"))
-    return F.when(nested, _nested_elements(text, opening, closing)).otherwise(flat)
+    one_level = rf"(?is){opening}.*?(?={closing}|\z)"
+    reopened = rf"(?i)^.[\s\S]*?{opening}"
+
+    def find(text: Column) -> Column:
+        return bind(
+            F.regexp_extract_all(text, F.lit(one_level), F.lit(0)),
+            lambda flat: F.when(
+                F.exists(flat, lambda e: e.rlike(reopened)), _nested_elements(text, opening, closing)
+            ).otherwise(flat),
+        )
+
+    return bind(html, find)
 
 
 def _nested_elements(text: Column, opening: str, closing: str) -> Column:
-    pieces = F.split(text, rf"(?i)(?={opening}|{closing})")
-    marks = F.transform(
-        pieces,
-        lambda p, i: F.struct(
-            i.alias("at"),
-            F.when(p.rlike(rf"(?i)^{opening}"), 1).when(p.rlike(rf"(?i)^{closing}"), -1).otherwise(0).alias("step"),
-        ),
-    )
+    """Elements by matching opening and closing tags with a stack of open ones."""
     start = F.struct(
         F.array().cast("array<int>").alias("open"),
         F.array().cast("array<struct<lo:int,hi:int>>").alias("spans"),
@@ -111,11 +123,22 @@ def _nested_elements(text: Column, opening: str, closing: str) -> Column:
         )
         return F.when(mark["step"] == 1, pushed).when((mark["step"] == -1) & (depth > 0), popped).otherwise(state)
 
-    def finish(state: Column) -> Column:
-        rest = F.transform(state["open"], lambda lo: F.struct(lo.alias("lo"), F.size(pieces).alias("hi")))
-        return F.array_sort(F.concat(state["spans"], rest))
+    def match(pieces: Column) -> Column:
+        marks = F.transform(
+            pieces,
+            lambda p, i: F.struct(
+                i.alias("at"),
+                F.when(p.rlike(rf"(?i)^{opening}"), 1).when(p.rlike(rf"(?i)^{closing}"), -1).otherwise(0).alias("step"),
+            ),
+        )
 
-    spans = F.aggregate(marks, start, advance, finish)
-    return F.transform(
-        spans, lambda s: F.array_join(F.slice(pieces, s["lo"] + 1, s["hi"] - s["lo"]), "")
-    )
+        def finish(state: Column) -> Column:
+            rest = F.transform(state["open"], lambda lo: F.struct(lo.alias("lo"), F.size(pieces).alias("hi")))
+            return F.array_sort(F.concat(state["spans"], rest))
+
+        return F.transform(
+            F.aggregate(marks, start, advance, finish),
+            lambda s: F.array_join(F.slice(pieces, s["lo"] + 1, s["hi"] - s["lo"]), ""),
+        )
+
+    return bind(F.split(text, rf"(?i)(?={opening}|{closing})"), match)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Iterable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -38,17 +39,29 @@ def _fold_table() -> tuple[str, str, dict[str, str]]:
     return "".join(one_from + gone), "".join(one_to), many
 
 
+def _class_of(chars: Iterable[str], gap: int = 64) -> str:
+    """Regular-expression class of a few ranges that hold all the characters, and some between."""
+    ranges: list[list[int]] = []
+    for point in sorted(map(ord, chars)):
+        if ranges and point - ranges[-1][1] <= gap:
+            ranges[-1][1] = point
+        else:
+            ranges.append([point, point])
+    return "[" + "".join(rf"\x{{{lo:x}}}-\x{{{hi:x}}}" for lo, hi in ranges) + "]"
+
+
 def fold_accents(value: Column | str) -> Column:
     """Replace every character by its ASCII base; the others are left as they are."""
     text = col_of(value)
     source, target, many = _fold_table()
     single = F.translate(text, source, target)
-    pairs = F.create_map(*[F.lit(part) for item in many.items() for part in item])
-    spread = F.array_join(
-        F.transform(F.split(single, ""), lambda c: F.coalesce(pairs[c], c)), ""
+    pairs = F.str_to_map(F.lit("\x01".join(f"{c}\x02{base}" for c, base in many.items())), F.lit("\x01"), F.lit("\x02"))
+    spread = F.array_join(F.transform(F.split(single, ""), lambda c: F.coalesce(pairs[c], c)), "")
+    return (
+        F.when(~text.rlike(r"[^\x00-\x7f]"), text)
+        .when(single.rlike(r"[^\x00-\x7f]") & text.rlike(_class_of(many)), spread)
+        .otherwise(single)
     )
-    folded = F.when(single.rlike("[" + "".join(many) + "]"), spread).otherwise(single)
-    return F.when(text.rlike(r"[^\x00-\x7f]"), folded).otherwise(text)
 
 
 def name_key(value: Column | str) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.functions.markup import cell_text, drop_hidden, elements, visible_text
+from strataflow.functions.markup import bind, cell_text, drop_hidden, elements, visible_text
 from strataflow.functions.parsing import blank_to_null, col_of
 from strataflow.operators.reshape import zip_cells
 
@@ -23,6 +23,7 @@ _HAS_CLASS = (
     r"(?is)^<table(?=\s)[^>]*?\sclass\s*=\s*"
     rf"(?:\"(?:[^\"]*\s)?{TABLE_CLASS}(?:\s[^\"]*)?\"|'(?:[^']*\s)?{TABLE_CLASS}(?:\s[^']*)?'|{TABLE_CLASS}(?=[\s/>]))"
 )
+_PARSED = "struct<table_html:string,headers:array<string>,rows:array<map<string,string>>>"
 _CAPTION = r"(?is)<caption(?=[\s/>]).*?(?=</caption|\z)"
 
 
@@ -41,18 +42,22 @@ def _has_any(text: Column, words: list[str]) -> Column:
 
 
 def is_wanted(table: Column) -> Column:
-    caption = F.lower(visible_text(F.regexp_extract(table, _CAPTION, 0)))
-    return (
-        _has_all(caption, CAPTION_ALL)
-        | _has_any(caption, CAPTION_ANY)
-        | _has_all(F.lower(visible_text(table)), TEXT_ALL)
+    """Whether the caption, or failing that the whole text, has the marking words."""
+    in_caption = bind(
+        F.lower(visible_text(F.regexp_extract(table, _CAPTION, 0))),
+        lambda caption: _has_all(caption, CAPTION_ALL) | _has_any(caption, CAPTION_ANY),
     )
+    in_text = bind(F.lower(visible_text(table)), lambda text: _has_all(text, TEXT_ALL))
+    return in_caption | in_text
 
 
 def pick_table(html: Column | str) -> Column:
     """First table of the class that is wanted, else the first of the class, else NULL."""
-    tables = F.filter(elements(drop_hidden(html), "table"), lambda t: t.rlike(_HAS_CLASS))
-    chosen = F.coalesce(F.get(F.filter(tables, is_wanted), F.lit(0)), F.get(tables, F.lit(0)))
+    candidates = F.filter(elements(drop_hidden(html), "table"), lambda t: t.rlike(_HAS_CLASS))
+    chosen = bind(
+        candidates,
+        lambda tables: F.coalesce(F.get(F.filter(tables, is_wanted), F.lit(0)), F.get(tables, F.lit(0))),
+    )
     return F.concat(chosen, F.lit("</table>"))
 
 
@@ -77,19 +82,26 @@ def page_tables(pages: DataFrame, *, html: str = "html", strict: bool = False) -
     A page without a table, or whose table has no headers, is dropped; with
     ``strict`` it fails the job.
     """
-    picked = pages.withColumn("table_html", pick_table(html))
-    with_headers = picked.withColumn("headers", header_texts("table_html"))
-    usable = F.size("headers") > 0
-    if strict:
-        checked = F.when(usable, F.col("headers")).otherwise(
-            F.raise_error(F.lit("page has no usable table")).cast("array<string>")
+
+    def parse(table: Column) -> Column:
+        return bind(
+            header_texts(table),
+            lambda headers: F.when(
+                F.size(headers) > 0,
+                F.struct(
+                    table.alias("table_html"),
+                    headers.alias("headers"),
+                    F.transform(body_cells(table), lambda row: zip_cells(headers, row)).alias("rows"),
+                ),
+            ),
         )
-        with_headers = with_headers.withColumn("headers", checked)
-    else:
-        with_headers = with_headers.where(usable)
-    cells = with_headers.withColumn("_cells", body_cells("table_html"))
-    zipped = F.transform("_cells", lambda row: zip_cells(F.col("headers"), row))
-    return cells.withColumn("rows", zipped).drop("_cells")
+
+    found = bind(pick_table(html), parse)
+    if strict:
+        found = F.coalesce(found, F.raise_error(F.lit("page has no usable table")).cast(_PARSED))
+    # As zero or one row of a generator the parse runs once; a filter on its result would repeat it.
+    kept = F.filter(F.array(found), lambda table: table.isNotNull())
+    return pages.select("*", F.inline(kept))
 
 
 def element_texts(pages: DataFrame, tag: str, *, keep: list[str], html: str = "html") -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataflow.functions.markup import bind
 from strataflow.functions.parsing import col_of
 
 
@@ -16,14 +17,18 @@ def zip_cells(headers: Column | str, cells: Column | str) -> Column:
     A short row is padded with NULL, extra cells are ignored, and of a repeated
     header the last one counts.
     """
-    names, values = col_of(headers), col_of(cells)
-    pairs = F.transform(names, lambda name, i: F.struct(name.alias("key"), F.get(values, i).alias("value")))
-    last = F.filter(
-        pairs,
-        lambda pair, i: pair["key"].isNotNull()
-        & ~F.array_contains(F.slice(names, i + 2, F.size(names)), pair["key"]),
-    )
-    return F.map_from_entries(last)
+    names = col_of(headers)
+
+    def pair_up(values: Column) -> Column:
+        pairs = F.transform(names, lambda name, i: F.struct(name.alias("key"), F.get(values, i).alias("value")))
+        last = F.filter(
+            pairs,
+            lambda pair, i: pair["key"].isNotNull()
+            & ~F.array_contains(F.slice(names, i + 2, F.size(names)), pair["key"]),
+        )
+        return F.map_from_entries(last)
+
+    return bind(cells, pair_up)
 
 
 def unnest_rows(df: DataFrame, rows: Column | str, keep: Sequence[str], alias: str = "row") -> DataFrame:

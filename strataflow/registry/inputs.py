@@ -41,7 +41,7 @@ def econ(spark: SparkSession, sf: str) -> DataFrame:
         F.col("n_nationkey").cast("string").alias(CODE),
         F.col("n_name").alias("country_name"),
         YEAR,
-        F.round(F.col("total").cast("double") / F.col("n"), 4).alias("gdp_per_capita_usd"),
+        (F.col("total").cast("double") / F.col("n")).alias("gdp_per_capita_usd"),
     )
 
 
@@ -78,7 +78,7 @@ def part_years(spark: SparkSession, sf: str) -> DataFrame:
         "l_returnflag",
     )
     prices = lines.groupBy(CODE, YEAR).agg(
-        F.round(F.sum("price").cast("double") / F.count(F.lit(1)), 4).alias("gdp_per_capita_usd")
+        (F.sum("price").cast("double") / F.count(F.lit(1))).alias("gdp_per_capita_usd")
     )
     returned = lines.where(F.col("l_returnflag") == "R").groupBy(CODE, YEAR).agg(
         F.sum("l_quantity").alias("co2_tons_per_capita")
@@ -90,7 +90,7 @@ def part_years(spark: SparkSession, sf: str) -> DataFrame:
 ECON_SQL = """econ AS (
   SELECT CAST(n_nationkey AS VARCHAR) AS country_code, n_name AS country_name,
          CAST(year(o_orderdate) AS INTEGER) AS year,
-         round(CAST(sum(CAST(o_totalprice AS DECIMAL(15,2))) AS DOUBLE) / count(*), 4) AS gdp_per_capita_usd
+         CAST(sum(CAST(o_totalprice AS DECIMAL(15,2))) AS DOUBLE) / count(*) AS gdp_per_capita_usd
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
   GROUP BY 1, 2, 3)"""
 
@@ -109,7 +109,7 @@ CURATED_SQL = f"""{ECON_SQL}, {ENV_SQL}, curated AS (
 
 PART_SQL = """prices AS (
   SELECT CAST(l_partkey AS VARCHAR) AS country_code, CAST(year(l_shipdate) AS INTEGER) AS year,
-         round(CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS DOUBLE) / count(*), 4) AS gdp_per_capita_usd
+         CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS DOUBLE) / count(*) AS gdp_per_capita_usd
   FROM lineitem GROUP BY 1, 2),
 returned AS (
   SELECT CAST(l_partkey AS VARCHAR) AS country_code, CAST(year(l_shipdate) AS INTEGER) AS year,
