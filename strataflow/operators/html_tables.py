@@ -61,15 +61,15 @@ def pick_table(html: Column | str) -> Column:
     return F.concat(chosen, F.lit("</table>"))
 
 
-def header_texts(table: Column | str) -> Column:
-    """Non-empty cell texts of the first row."""
-    first_row = F.get(elements(table, "tr"), F.lit(0))
+def header_texts(rows: Column | str) -> Column:
+    """Non-empty cell texts of the first of a table's ``tr`` elements."""
+    first_row = F.get(col_of(rows), F.lit(0))
     return F.filter(F.transform(elements(first_row, "th|td"), cell_text), lambda text: text != "")
 
 
-def body_cells(table: Column | str) -> Column:
-    """Cell texts per row; rows with a ``th`` or without a ``td`` are left out."""
-    data_rows = F.filter(elements(table, "tr"), lambda r: ~r.rlike(r"(?i)<th[\s/>]") & r.rlike(r"(?i)<td[\s/>]"))
+def body_cells(rows: Column | str) -> Column:
+    """Cell texts per ``tr`` element; rows with a ``th`` or without a ``td`` are left out."""
+    data_rows = F.filter(col_of(rows), lambda r: ~r.rlike(r"(?i)<th[\s/>]") & r.rlike(r"(?i)<td[\s/>]"))
     return F.transform(
         data_rows,
         lambda r: F.transform(elements(r, "td"), lambda cell: blank_to_null(cell_text(cell))),
@@ -84,17 +84,20 @@ def page_tables(pages: DataFrame, *, html: str = "html", strict: bool = False) -
     """
 
     def parse(table: Column) -> Column:
-        return bind(
-            header_texts(table),
-            lambda headers: F.when(
-                F.size(headers) > 0,
-                F.struct(
-                    table.alias("table_html"),
-                    headers.alias("headers"),
-                    F.transform(body_cells(table), lambda row: zip_cells(headers, row)).alias("rows"),
+        def read(rows: Column) -> Column:
+            return bind(
+                header_texts(rows),
+                lambda headers: F.when(
+                    F.size(headers) > 0,
+                    F.struct(
+                        table.alias("table_html"),
+                        headers.alias("headers"),
+                        F.transform(body_cells(rows), lambda row: zip_cells(headers, row)).alias("rows"),
+                    ),
                 ),
-            ),
-        )
+            )
+
+        return bind(elements(table, "tr"), read)
 
     found = bind(pick_table(html), parse)
     if strict:

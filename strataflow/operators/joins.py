@@ -116,5 +116,6 @@ def not_seen(new: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
 def for_requested(requested: list[int], stats: DataFrame, key: str = "year") -> DataFrame:
     """One row per requested key, whether or not there are statistics for it."""
     spark = stats.sparkSession
-    rows = spark.createDataFrame([(int(k),) for k in dict.fromkeys(requested)], f"{key} int")
+    keys = F.array(*[F.lit(int(k)) for k in dict.fromkeys(requested)])
+    rows = spark.range(0, 1, 1, 1).select(F.explode(keys).alias(key))
     return rows.join(stats, [key], "left")

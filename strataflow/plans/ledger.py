@@ -71,7 +71,8 @@ class RunLedger:
         self.checkpoints_path = f"{root.rstrip('/')}/checkpoints"
 
     def _append(self, path: str, row: tuple, schema) -> None:
-        self.spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
+        values = [F.lit(value).cast(f.dataType).alias(f.name) for value, f in zip(row, schema.fields)]
+        self.spark.range(0, 1, 1, 1).select(values).write.mode("append").parquet(path)
 
     def events(self) -> DataFrame:
         return read_table(self.spark, self.runs_path, schemas.LEDGER)
@@ -98,11 +99,14 @@ class RunLedger:
         started = self.events().where(F.col("ingestion_run_id") == run_id).first()
         if started is None:
             raise KeyError(f"no run {run_id!r} in the ledger")
+        self._close(run_id, started["run_scope"], status, rows_processed, last_checkpoint, error_message)
+
+    def _close(self, run_id, run_scope, status, rows_processed=None, last_checkpoint=None, error_message=None) -> None:
         rows = None if rows_processed is None else int(rows_processed)
         mark = None if last_checkpoint is None else str(last_checkpoint)
         self._append(
             self.runs_path,
-            (run_id, started["run_scope"], datetime.now(timezone.utc), status, rows, mark, error_message),
+            (run_id, run_scope, datetime.now(timezone.utc), status, rows, mark, error_message),
             schemas.LEDGER,
         )
 
@@ -113,9 +117,9 @@ class RunLedger:
         try:
             yield state
         except Exception as error:
-            self.end_run(state.run_id, FAILED, error_message=str(error))
+            self._close(state.run_id, run_scope, FAILED, error_message=str(error))
             raise
-        self.end_run(state.run_id, state.status, rows_processed=state.rows, last_checkpoint=state.checkpoint)
+        self._close(state.run_id, run_scope, state.status, state.rows, state.checkpoint)
 
     def list_runs(self, run_scope: str | None = None) -> DataFrame:
         events = self.events()

@@ -1,0 +1,231 @@
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from strataflow import fresh_folder, schemas, shared_folder
+from strataflow.operators.project import with_audit
+from strataflow.session import settle
+from strataflow.sinks import tables as sinks
+from strataflow.sources import landed, tables
+
+
+@pytest.fixture
+def folder(spark):
+    return lambda name="t": fresh_folder(spark, name)
+
+
+def write_lines(path, lines):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("\n".join(lines))
+    return path
+
+
+RECORDS = [
+    '{"indicator":{"id":"I1","value":"GDP"},"country":{"id":"AA","value":"Alpha"},"countryiso3code":"AAA","date":"2000","value":1000.5}',
+    "",
+    '{"country":null,"date":2001,"value":null,"unit":"x"}',
+    "   ",
+]
+
+
+def test_json_lines(spark, tmp_path):
+    path = write_lines(str(tmp_path / "raw" / "a.jsonl"), RECORDS)
+    rows = landed.read_json_lines(spark, path, schemas.RAW_RECORD).orderBy("date").collect()
+    assert [(r["date"], r["value"], r["countryiso3code"]) for r in rows] == [("2000", "1000.5", "AAA"), ("2001", None, None)]
+    assert rows[0]["country"]["value"] == "Alpha"
+
+
+def test_malformed_line_fails(spark, tmp_path):
+    path = write_lines(str(tmp_path / "raw" / "a.jsonl"), [RECORDS[0], '{"date":'])
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE"):
+        landed.read_json_lines(spark, path, schemas.RAW_RECORD).collect()
+
+
+def test_table_snapshots_read_as_maps(spark, tmp_path):
+    record = {"raw_table_json": {"page_url": "u", "headers": ["a"], "rows": [{"a": "1"}, {"a": None}]}, "revid": 5}
+    path = write_lines(str(tmp_path / "raw" / "a.jsonl"), [json.dumps(record)])
+    row = landed.read_json_lines(spark, path, schemas.RAW_TABLE).first()
+    assert row["raw_table_json"]["rows"] == [{"a": "1"}, {"a": None}] and row["revid"] == 5
+
+
+def envelope(*records):
+    return json.dumps([{"page": 1, "pages": 2}, list(records)])
+
+
+def test_envelopes_per_file_and_per_line(spark, tmp_path):
+    first, second = envelope({"date": "2000", "z": 1, "a": 2}), envelope({"date": "2001"}, {"date": "2002"})
+    write_lines(str(tmp_path / "files" / "1.json"), [json.dumps(json.loads(first), indent=1)])
+    write_lines(str(tmp_path / "files" / "sub" / "2.json"), [second])
+    lines = write_lines(str(tmp_path / "lines" / "all.txt"), [first, "", second])
+    for frame in (
+        landed.read_envelopes(spark, str(tmp_path / "files")),
+        landed.read_envelopes(spark, lines, per_line=True),
+    ):
+        payloads = [r[0] for r in landed.unpack_envelope(frame).orderBy("payload").collect()]
+        assert payloads == ['{"a":2,"date":"2000","z":1}', '{"date":"2001"}', '{"date":"2002"}']
+
+
+@pytest.mark.parametrize("body", ['{"message":"x"}', "[1]", "[{},{}]", "[[],[]]", "[{},[],1]", "no json", ""])
+def test_envelope_of_another_shape(spark, body):
+    frame = spark.createDataFrame([(body,)], "body string")
+    with pytest.raises(Exception, match="unexpected page structure"):
+        landed.unpack_envelope(frame).collect()
+    assert landed.unpack_envelope(frame, strict=False).count() == 0
+
+
+def test_revision_fields(spark):
+    good = {"query": {"pages": [{"pageid": 1, "revisions": [{"revid": 2, "timestamp": "t"}]}]}}
+    bodies = [json.dumps(good), json.dumps({"query": {"pages": [{"pageid": 3, "revisions": []}]}}), "{}", "bad"]
+    frame = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "i int, b string")
+    rows = frame.select("i", *landed.revision_fields("b")).orderBy("i").collect()
+    assert [tuple(r)[1:] for r in rows] == [(1, 2, "t"), (3, None, None), (None, None, None), (None, None, None)]
+
+
+def test_override_file(spark, tmp_path):
+    lines = ["country_name_normalized,country_code,country_name", "bahamas,BHS,Bahamas, The", "", 'x,X,"Quoted, ""Q"""', "y,,Why"]
+    rows = landed.read_overrides(spark, write_lines(str(tmp_path / "o.csv"), lines)).orderBy("country_name_normalized").collect()
+    assert [tuple(r) for r in rows] == [("bahamas", "BHS", "Bahamas, The"), ("x", "X", 'Quoted, "Q"'), ("y", None, "Why")]
+
+
+def test_override_file_missing_empty_or_wrong(spark, tmp_path):
+    assert landed.read_overrides(spark, str(tmp_path / "none.csv")).count() == 0
+    assert landed.read_overrides(spark, write_lines(str(tmp_path / "e" / "e.csv"), [])).count() == 0
+    with pytest.raises(ValueError, match="country_code"):
+        landed.read_overrides(spark, write_lines(str(tmp_path / "w.csv"), ["country_name_normalized,country_name", "a,b"]))
+
+
+def test_missing_table_is_empty_with_its_schema(spark, tmp_path):
+    table = tables.read_table(spark, str(tmp_path / "none"), schemas.PROCESSED_GDP)
+    assert table.schema == schemas.PROCESSED_GDP and table.count() == 0
+
+
+def test_raw_is_one_new_folder_per_run(spark, folder):
+    root = folder()
+    frame = spark.createDataFrame([("1", None)], "date string, value string")
+    written = sinks.write_raw(frame, f"{root}/run1", {"latest": F.max("date")})
+    assert (written.rows, written.metrics) == (1, {"latest": "1"})
+    empty = sinks.write_raw(frame.where("false"), f"{root}/run2", {"latest": F.max("date")})
+    assert (empty.rows, empty.metrics) == (0, {"latest": None})
+    assert os.path.isdir(f"{root}/run2")
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        sinks.write_raw(frame, f"{root}/run1")
+    assert [r[0] for r in spark.read.text(f"{root}/run1").collect()] == ['{"date":"1","value":null}']
+
+
+def test_partition_overwrite_leaves_other_years(spark, folder):
+    path = folder()
+    first = spark.createDataFrame([("a", 2000), ("b", 2001), ("c", None)], "k string, year int")
+    assert sinks.overwrite_partitions(first, path).rows == 2
+    second = spark.createDataFrame([("d", 2001), ("e", 2002)], "k string, year int")
+    for _ in range(2):
+        sinks.overwrite_partitions(second, path)
+        stored = spark.read.schema("k string, year int").parquet(path).orderBy("k").collect()
+        assert [tuple(r) for r in stored] == [("a", 2000), ("d", 2001), ("e", 2002)]
+    assert sinks.overwrite_partitions(second.where("false"), path).rows == 0
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_hot_year_is_written_by_several_tasks(spark, folder):
+    path = folder()
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
+    }
+    saved = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        frame = spark.range(0, 200000, 1, 8).select(
+            F.sha1(F.col("id").cast("string")).alias("v"), F.when(F.col("id") % 3 > 0, 2000).otherwise(2001).alias("year")
+        )
+        sinks.overwrite_partitions(frame, path)
+    finally:
+        for key, value in saved.items():
+            spark.conf.set(key, value)
+    files = [f for f in os.listdir(f"{path}/year=2000") if f.endswith(".parquet")]
+    assert len(files) > 1 and spark.read.parquet(path).count() == 200000
+
+
+def curated(spark, rows):
+    frame = spark.createDataFrame(rows, "country_code string, year int, co2_tons_per_capita double")
+    for field in schemas.CURATED_ROW.fields:
+        if field.name not in frame.columns:
+            frame = frame.withColumn(field.name, F.lit(None).cast(field.dataType))
+    return frame
+
+
+@pytest.fixture
+def snapshots(spark, folder):
+    path = folder()
+    sinks.write_snapshot(curated(spark, [("a", 2000, 1.0), ("a", 2001, 2.0)]), path, "20240101")
+    sinks.write_snapshot(curated(spark, [("a", 2001, 3.0)]), path, "20240201")
+    sinks.write_snapshot(curated(spark, [("a", 2001, 4.0)]), path, "20240201")
+    return path
+
+
+def seen(frame):
+    return sorted((r["year"], r["snapshot_date"], r["co2_tons_per_capita"]) for r in frame.collect())
+
+
+def test_snapshots(spark, snapshots):
+    first, second, third = (2000, "20240101", 1.0), (2001, "20240101", 2.0), (2001, "20240201", 4.0)
+    assert seen(tables.read_curated(spark, snapshots)) == [first, third]
+    assert seen(tables.read_curated(spark, snapshots, [2001, 1999])) == [third]
+    assert seen(tables.read_curated(spark, snapshots, as_of="20240131")) == [first, second]
+    assert seen(tables.read_curated(spark, snapshots, latest_only=False)) == [first, second, third]
+    assert seen(tables.read_curated(spark, snapshots, [1999])) == []
+    assert seen(tables.read_curated(spark, f"{snapshots}/none")) == []
+
+
+def test_old_snapshots_are_not_opened(spark, snapshots, monkeypatch):
+    latest = tables.read_curated(spark, snapshots)
+    assert len(latest.inputFiles()) == 3
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(((" in plan and "20240201" in plan
+    monkeypatch.setattr(tables, "MAX_LITERAL_PARTITIONS", 1)
+    joined = tables.read_curated(spark, snapshots)
+    assert "LeftSemi" in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert seen(joined) == seen(latest)
+
+
+def test_file_listing_reads_no_content(spark, snapshots):
+    files = tables.list_files(spark, snapshots)
+    assert sum(1 for r in files.collect() if r["path"].endswith(".parquet") and r["length"] > 0) == 3
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[1]
+
+
+def test_partition_value_from_path(spark, snapshots):
+    raw = spark.read.schema("country_code string").option("recursiveFileLookup", "true").parquet(snapshots)
+    out = tables.with_partition_value(raw, "snapshot_date").select("snapshot_date").distinct()
+    assert sorted(r[0] for r in out.collect()) == ["20240101", "20240201"]
+
+
+def test_replace_table_and_report(spark, folder):
+    path = folder()
+    frame = spark.createDataFrame([("a", 1.5), ("b", None)], "k string, v double")
+    sinks.replace_table(frame, path)
+    assert sinks.replace_table(frame.limit(1), path).rows == 1
+    assert len([f for f in os.listdir(path) if f.endswith(".parquet")]) == 1
+    for rows in (frame.orderBy("k"), frame.where("false").orderBy("k")):
+        report = sinks.write_report(rows, folder(), "summary", "20240101")
+        assert report.endswith("/run_date=20240101/summary")
+        lines = [r[0] for r in spark.read.text(report).collect()]
+        assert lines == ["k,v", "a,1.5", "b,"][: rows.count() + 1]
+
+
+def test_audit_columns(spark):
+    frame = spark.createDataFrame([('{"b":1,"a":2}',)], "payload string")
+    row = with_audit(frame, "payload", run_id="r", ingestion_ts="t", data_source="s", location="l").first()
+    assert row["raw_payload"] == '{"a":2,"b":1}' and len(row["record_hash"]) == 40
+    assert (row["ingestion_run_id"], row["ingestion_ts"], row["data_source"], row["raw_file_path"]) == ("r", "t", "s", "l")
+
+
+def test_settle_cuts_lineage_into_the_shared_folder(spark):
+    settled = settle(spark.range(10).where("id > 3"))
+    assert settled.count() == 6
+    assert "Filter" not in settled._jdf.queryExecution().optimizedPlan().toString()
+    assert shared_folder(spark)
