@@ -5,13 +5,12 @@ All of it is row-local, so pages are parsed where they are read: no shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from strataflow.functions.parsing import col_of
+from strataflow.functions.parsing import bind, col_of
 from strataflow.functions.text import clean_cell
 
 _HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)(?=[\s/>]).*?</\1\s*>"
@@ -28,11 +27,6 @@ def _entity_table() -> dict[str, str]:
     return {name: names[name] for name in sorted(names, key=lambda n: (len(n), n))}
 
 
-def bind(value: Column | str, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once however often the body names it."""
-    return F.get(F.transform(F.array(col_of(value)), body), F.lit(0))
-
-
 def _code_point(number: Column) -> Column:
     """Character of a code point, by way of its four bytes in UTF-32."""
     valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)

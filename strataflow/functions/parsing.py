@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,17 +12,26 @@ MISSING_TOKENS = ["", "-", "–", "NA", "N/A"]
 
 _DIGITS = r"\d+(?:_\d+)*"
 _NUMBER = rf"^[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?|(?i:inf|infinity))$"
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-_ZONE = r"(?:[zZ]|[+-]\d{2}(?::?\d{2})?)$"
+_WHITE_SPACE = "".join(chr(point) for point in range(0x3001) if chr(point).isspace())
+_CLOCK = r"^\d{4}-\d.*\d:\d"
+_ZONE = r".*(?:[zZ]|[+-]\d{2}(?::?\d{2})?)$"
 
 
 def col_of(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def bind(value: Column | str, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once however often the body names it.
+
+    For costly values only: the lambda keeps its projection out of whole-stage code.
+    """
+    return F.get(F.transform(F.array(col_of(value)), body), F.lit(0))
+
+
 def strip(value: Column | str) -> Column:
     """Trim any Unicode white space, where SQL ``trim`` only knows the blank."""
-    return F.regexp_replace(col_of(value), _EDGE_SPACE, "")
+    return F.btrim(col_of(value), F.lit(_WHITE_SPACE))
 
 
 def blank_to_null(value: Column | str) -> Column:
@@ -60,9 +71,12 @@ def parse_cell_number(value: Column | str) -> Column:
 def parse_utc_timestamp(value: Column | str) -> Column:
     """ISO text to timestamp; text without a zone means UTC whatever the session says."""
     text = strip(value)
-    dated = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.concat(text, F.lit("T00:00:00"))).otherwise(text)
-    zoned = F.when(dated.rlike(r"\d:\d") & ~dated.rlike(_ZONE), F.concat(dated, F.lit("Z"))).otherwise(dated)
-    return F.when(text.rlike(r"^\d{4}-\d"), zoned.try_cast("timestamp"))
+    zoned = (
+        F.when(text.rlike(_CLOCK + _ZONE), text)
+        .when(text.rlike(_CLOCK), F.concat(text, F.lit("Z")))
+        .when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.concat(text, F.lit("T00:00:00Z")))
+    )
+    return zoned.try_cast("timestamp")
 
 
 def guarded_ratio(numerator: Column | str, denominator: Column | str, scale: float = 1.0) -> Column:

@@ -10,7 +10,9 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from strataflow.functions.parsing import col_of
+from strataflow.functions.parsing import bind, col_of
+
+_NON_ASCII = r"[^\x00-\x7f]"
 
 
 @lru_cache(maxsize=1)
@@ -52,15 +54,18 @@ def _class_of(chars: Iterable[str], gap: int = 64) -> str:
 
 def fold_accents(value: Column | str) -> Column:
     """Replace every character by its ASCII base; the others are left as they are."""
-    text = col_of(value)
     source, target, many = _fold_table()
-    single = F.translate(text, source, target)
     pairs = F.str_to_map(F.lit("\x01".join(f"{c}\x02{base}" for c, base in many.items())), F.lit("\x01"), F.lit("\x02"))
-    spread = F.array_join(F.transform(F.split(single, ""), lambda c: F.coalesce(pairs[c], c)), "")
-    return (
-        F.when(~text.rlike(r"[^\x00-\x7f]"), text)
-        .when(single.rlike(r"[^\x00-\x7f]") & text.rlike(_class_of(many)), spread)
-        .otherwise(single)
+
+    def spread(single: Column) -> Column:
+        letters = F.array_join(F.transform(F.split(single, ""), lambda c: F.coalesce(pairs[c], c)), "")
+        return F.when(single.rlike(_NON_ASCII) & single.rlike(_class_of(many)), letters).otherwise(single)
+
+    return bind(
+        value,
+        lambda text: F.when(
+            text.rlike(_NON_ASCII), bind(F.translate(text, source, target), spread)
+        ).otherwise(text),
     )
 
 

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.functions.markup import bind, cell_text, drop_hidden, elements, visible_text
-from strataflow.functions.parsing import blank_to_null, col_of
+from strataflow.functions.markup import cell_text, drop_hidden, elements, visible_text
+from strataflow.functions.parsing import bind, blank_to_null, col_of
 from strataflow.operators.reshape import zip_cells
 
 # What marks the wanted table.

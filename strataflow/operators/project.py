@@ -79,9 +79,14 @@ def with_audit(
     ingestion_ts: str,
     data_source: str,
     location: str,
+    canonical: bool = False,
 ) -> DataFrame:
-    """Audit columns of the RAW layer: run, time, source, payload, hash and place."""
-    return df.withColumn("raw_payload", canonical_json(col_of(payload))).withColumns(
+    """Audit columns of the RAW layer: run, time, source, payload, hash and place.
+
+    ``canonical`` says the payload already has its keys sorted.
+    """
+    body = col_of(payload) if canonical else canonical_json(payload)
+    return df.withColumn("raw_payload", body).withColumns(
         {
             "ingestion_run_id": F.lit(run_id),
             "ingestion_ts": F.lit(ingestion_ts),

@@ -7,8 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.functions.markup import bind
-from strataflow.functions.parsing import col_of
+from strataflow.functions.parsing import bind, col_of
 
 
 def zip_cells(headers: Column | str, cells: Column | str) -> Column:

@@ -67,6 +67,7 @@ def ingest_records(
             ingestion_ts=stamp.isoformat(),
             data_source=defaults.GDP_SOURCE,
             location=path,
+            canonical=True,
         ).drop("payload")
         written = write_raw(audited, path, {"max_year": F.max(parse_year("date"))})
         newest = written.metrics.get("max_year")

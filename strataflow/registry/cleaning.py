@@ -21,6 +21,7 @@ from strataflow.plans import defaults
 from strataflow.plans.mapping import build_mapping
 from strataflow.registry import query
 from strataflow.registry.inputs import ECON_SQL, ENV_SQL, econ, env, table
+from strataflow.session import settle
 from strataflow.sources.landed import parse_overrides
 
 
@@ -227,7 +228,7 @@ def lookup_join_names(spark, sf):
     facts = table(spark, sf, "customer").select("c_custkey", spoken.alias("country_name"))
     keyed = facts.withColumn("country_name_normalized", name_key("country_name"))
     return map_keys(
-        keyed, nation_mapping(spark, sf), key="country_name_normalized", values=["country_code", "country_name"]
+        keyed, settle(nation_mapping(spark, sf)), key="country_name_normalized", values=["country_code", "country_name"]
     ).select("c_custkey", "country_name_normalized", "country_code", "country_name")
 
 

@@ -11,6 +11,7 @@ from strataflow.operators.project import drop_null, keep_expected, union_all, ye
 from strataflow.operators.stats import correlation, fit_line, linear_fit, residual_outliers, top_n, top_rows
 from strataflow.plans.analytics import HIGHEST, LOWEST, NAME, RATIO, X, Y, correlation_summary, regression
 from strataflow.registry import query
+from strataflow.session import settle
 from strataflow.registry.inputs import (
     CURATED_SQL,
     ECON_SQL,
@@ -128,7 +129,8 @@ _OUTLIER_OUT = "year, country_code, round(y_hat, 4) AS y_hat, round(y - y_hat, 4
 
 
 def _outliers(rows):
-    picked = residual_outliers(rows, ["year"], X, Y)
+    # The points are used twice, for the fit and for the residuals.
+    picked = residual_outliers(settle(rows), ["year"], X, Y)
     return picked.select(
         "year", "country_code", F.round("y_hat", 4).alias("y_hat"), F.round("residual", 4).alias("residual"), "outlier_rank"
     )
@@ -157,7 +159,7 @@ SELECT {_OUTLIER_OUT}, country_name, x, y, ratio,
        CASE WHEN outlier_rank <= 7 THEN outlier_rank END AS outlier_rank FROM ranked""",
 )
 def regression_points(spark, sf):
-    points = regression(nation_years(spark, sf)).points
+    points = regression(settle(nation_years(spark, sf))).points
     return points.withColumns({"y_hat": F.round("y_hat", 4), "residual": F.round("residual", 4)})
 
 

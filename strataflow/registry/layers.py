@@ -20,7 +20,7 @@ from strataflow.registry.facts import SUMMARY_YEARS, summary_sql
 from strataflow.registry.inputs import CURATED_SQL, ECON_SQL, ENV_SQL, econ, env, nation_years, table
 from strataflow.operators.html_tables import page_tables
 from strataflow.operators.reshape import long_to_wide
-from strataflow.session import fresh_folder
+from strataflow.session import fresh_folder, settle
 from strataflow.sinks.tables import overwrite_partitions, replace_table, write_raw, write_snapshot
 from strataflow.sources.landed import read_envelopes, read_json_lines
 from strataflow.sources.tables import (
@@ -236,7 +236,7 @@ def tables_to_long(spark, sf):
         F.lit("").alias("data_source"),
         F.struct(F.col("url").alias("page_url"), "headers", "rows").alias("raw_table_json"),
     )
-    mapping = build_mapping(econ(spark, sf), default_overrides(spark))
+    mapping = settle(build_mapping(econ(spark, sf), default_overrides(spark)))
     long = type_table_rows(raw, mapping)
     return long.select("country_name_normalized", "country_code", "country_name", "year", "co2_tons_per_capita")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strataflow import schemas
-from strataflow.functions.parsing import blank_to_null, col_of, strip
+from strataflow.functions.parsing import bind, blank_to_null, col_of, strip
 from strataflow.operators.project import require_columns
 
 
@@ -32,14 +32,14 @@ def unpack_envelope(envelopes: DataFrame, body: str = "body", *, strict: bool =
 
     A body of another shape fails the job; without ``strict`` it gives no rows.
     """
-    page = F.try_parse_json(F.col(body))
-    parts = F.try_variant_get(page, "$", "array<variant>")
-    good = (
-        (F.size(parts) == 2)
-        & F.schema_of_variant(parts[0]).startswith("OBJECT")
-        & F.schema_of_variant(parts[1]).startswith("ARRAY")
+    parts = F.try_variant_get(F.try_parse_json(F.col(body)), "$", "array<variant>")
+    records = bind(
+        parts,
+        lambda found: F.when(
+            (F.size(found) == 2) & F.schema_of_variant(F.get(found, F.lit(0))).startswith("OBJECT"),
+            F.try_variant_get(F.get(found, F.lit(1)), "$", "array<variant>"),
+        ),
     )
-    records = F.when(F.coalesce(good, F.lit(False)), F.try_variant_get(page, "$[1]", "array<variant>"))
     if strict:
         message = F.concat(F.lit("unexpected page structure: "), F.substring(F.coalesce(body, F.lit("")), 1, 200))
         records = F.coalesce(records, F.raise_error(message).cast("array<variant>"))
