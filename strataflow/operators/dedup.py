@@ -26,8 +26,9 @@ def first_per_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = (), n: int = 1, rank: str | None = None
 ) -> DataFrame:
     """The first ``n`` rows of each key in the given order; ``rank`` keeps the position."""
+    named = [o for o in order if isinstance(o, str)]
+    ties = [F.col(name) for name in _orderable(df, [*keys, *named])]
     order = [F.col(o) if isinstance(o, str) else o for o in order]
-    ties = [F.col(name) for name in _orderable(df, keys)]
     window = Window.partitionBy(*keys).orderBy(*order, *ties)
     position = rank or "_position"
     ranked = df.withColumn(position, F.row_number().over(window)).where(F.col(position) <= n)

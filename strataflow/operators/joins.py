@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +16,8 @@ from strataflow.operators.project import require_columns
 from strataflow.session import settle
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
+HOT_ROWS = 4_000_000
+SALTS = 64
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -31,23 +34,40 @@ def lookup_join(
     *,
     right_bytes: int | None = None,
     max_bytes: int = BROADCAST_BYTES,
+    hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join a large left side, hot keys and all, to a right side unique on ``on``.
 
     ``right`` should be cheap to read again (a stored table or a settled result):
     unless ``right_bytes`` is known it is measured first. Up to ``max_bytes`` it is
-    broadcast, so the left side is not shuffled. Beyond that both sides get a salt: a hot key of the left is
-    spread over ``salts`` tasks and each right row is repeated that many times.
+    broadcast, so the left side is not shuffled. Beyond that both sides are
+    shuffled, with the rows of hot and NULL keys spread over ``salts`` tasks.
     """
     on = list(on)
     if (measured_bytes(right) if right_bytes is None else right_bytes) <= max_bytes:
         return left.join(F.broadcast(right), on, how)
+    return _salted_join(left, right, on, how, hot_rows, salts)
+
+
+def _salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str, hot_rows: int, salts: int) -> DataFrame:
+    """Shuffle join in which only the right rows of hot keys are repeated, once per salt.
+
+    A key is hot above ``hot_rows`` rows, so there are at most (rows / hot_rows) of
+    them and their list is small enough to broadcast.
+    """
+    counted = left.na.drop(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    hot = F.broadcast(settle(counted.where(F.col("_n") > hot_rows).select(*on, F.lit(True).alias("_hot"))))
     hashable = [f.name for f in left.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
     # From the row's own content, so that a retried task gives the same salt.
-    salted_left = left.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
-    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
+    spread = F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")
+    no_key = reduce(or_, [F.col(name).isNull() for name in on])
+    salted_left = left.join(hot, on, "left").withColumn(
+        "_salt", F.when(F.col("_hot") | no_key, spread).otherwise(F.lit(0))
+    )
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_right = right.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    return salted_left.drop("_hot").join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
 def map_keys(facts: DataFrame, mapping: DataFrame, *, key: str, values: Sequence[str]) -> DataFrame:
@@ -107,8 +127,8 @@ def not_seen(new: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key was not seen before. A NULL key counts as new.
 
     The seen side is reduced to its distinct keys. If it is too big to broadcast,
-    ``lookup_join`` salts, since copies of one record may fill a large part of
-    the new rows.
+    hot keys are salted, since copies of one record may fill a large part of the
+    new rows.
     """
     return lookup_join(new, settle(seen.select(*keys).distinct()), keys, "left_anti")
 

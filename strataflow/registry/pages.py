@@ -11,9 +11,10 @@ from strataflow.registry import query
 from strataflow.registry.inputs import table
 from strataflow.sources.landed import envelope_records, revision_fields, unpack_envelope
 
-_TEXT_SQL = """trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(
-  regexp_replace(item, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&copy;', '©'), '&amp;', '&'),
-  '\\[[^\\]]*\\]', '', 'g'), '\\s+', ' ', 'g'))"""
+# A reference may lack its semicolon before anything but a letter or digit.
+_TEXT_SQL = r"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+  regexp_replace(item, '<[^>]*>', ' ', 'g'), '&lt(;|\b)', '<', 'g'), '&gt(;|\b)', '>', 'g'), '&quot(;|\b)', '"', 'g'),
+  '&copy(;|\b)', '©', 'g'), '&amp(;|\b)', '&', 'g'), '\[[^\]]*\]', '', 'g'), '\s+', ' ', 'g'))"""
 
 _ITEMS_SQL = f"""items AS (
   SELECT page_id, url, CAST(generate_subscripts(found, 1) - 1 AS INTEGER) AS pos, unnest(found) AS item
@@ -27,7 +28,7 @@ def html_rows(spark, sf):
 
 
 @query(
-    "html_paragraphs",
+    "html_headings",
     rf"""WITH items AS (
   SELECT page_id, CAST(generate_subscripts(found, 1) - 1 AS INTEGER) AS pos, unnest(found) AS item
   FROM (SELECT page_id, regexp_extract_all(regexp_replace(html, '(?s)<script>.*?</script>|<!--.*?-->', '', 'g'),

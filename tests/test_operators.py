@@ -43,12 +43,14 @@ def skewed(spark):
     return facts, spark.createDataFrame(names, "k string, label string")
 
 
+@pytest.mark.parametrize("hot_rows", [0, 500, 10**6])
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_salted_lookup_agrees_with_plain_join(skewed, how):
+def test_salted_lookup_agrees_with_plain_join(skewed, how, hot_rows):
     facts, names = skewed
+    facts = facts.unionByName(facts.where("id < 50").withColumn("k", F.lit(None).cast("string")))
     expected = rows(facts.join(names, ["k"], how))
     assert rows(joins.lookup_join(facts, names, ["k"], how)) == expected
-    salted = joins.lookup_join(facts, names, ["k"], how, max_bytes=0)
+    salted = joins.lookup_join(facts, names, ["k"], how, max_bytes=0, hot_rows=hot_rows)
     assert salted.columns == facts.join(names, ["k"], how).columns
     assert rows(salted) == expected
 
@@ -65,11 +67,21 @@ def test_lookup_is_broadcast_only_below_the_bound(skewed, spark):
     assert "SortMergeJoin" in salted and "_salt" in salted
 
 
-def test_salt_spreads_a_hot_key(skewed):
+def test_salt_spreads_a_hot_key_only(skewed, spark):
+    """With one salt per task the hot third is spread and other keys stay whole."""
     facts, names = skewed
-    salted = joins.lookup_join(facts, names, ["k"], max_bytes=0)
-    left = salted._jdf.queryExecution().analyzed().toString()
-    assert "pmod(xxhash64(id" in left
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    saved = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        joined = joins.lookup_join(facts, names, ["k"], max_bytes=0, hot_rows=500)
+        placed = joined.select("k", F.spark_partition_id().alias("task")).groupBy("k")
+        spread = {r["k"]: r["tasks"] for r in placed.agg(F.count_distinct("task").alias("tasks")).collect()}
+    finally:
+        for key, value in saved.items():
+            spark.conf.set(key, value)
+    assert spread.pop("hot") > 4 and set(spread.values()) == {1}
 
 
 def test_map_keys(spark):
