@@ -15,7 +15,7 @@ from strataflow.operators.project import with_audit, year_between
 from strataflow.plans import defaults
 from strataflow.plans.ledger import SKIPPED, RunLedger
 from strataflow.sinks.tables import Written, write_raw
-from strataflow.sources.landed import envelope_records, unpack_envelope
+from strataflow.sources.landed import unpack_envelope
 
 
 def baseline_year(checkpoint: str | None, min_year: int | None) -> int | None:
@@ -57,8 +57,7 @@ def ingest_records(
     stamp = now or datetime.now(timezone.utc)
     with ledger.run(run_scope) as run:
         checkpoint = ledger.load_checkpoint(checkpoint_key)
-        payloads = unpack_envelope(envelopes)
-        fresh = new_records(envelope_records(payloads), baseline_year(checkpoint, min_year), max_year)
+        fresh = new_records(unpack_envelope(envelopes), baseline_year(checkpoint, min_year), max_year)
         path = f"{raw_root.rstrip('/')}/{run_scope}_raw_{stamp:%Y%m%dT%H%M%S%fZ}"
         audited = with_audit(
             fresh,

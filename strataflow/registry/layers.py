@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from strataflow import schemas
 from strataflow.functions.text import partition_value
-from strataflow.operators.project import with_audit
+from strataflow.operators.project import union_all, with_audit
 from strataflow.plans import defaults
 from strataflow.plans.analytics import build_correlation_summary
 from strataflow.plans.full_run import run_layers
@@ -133,9 +133,11 @@ def file_listing(spark, sf):
     return parts.groupBy("year_text").agg((F.sum("length") > 0).alias("filled"))
 
 
-@query("missing_table", "SELECT country_code, year FROM (SELECT '' AS country_code, 0 AS year) WHERE false")
-def missing_table(spark, sf):
-    return read_table(spark, f"{sf}/absent", schemas.PROCESSED_GDP).select("country_code", "year")
+@query("absent_table_union", f"WITH {ECON_SQL} SELECT country_code, year, gdp_per_capita_usd FROM econ")
+def absent_table_union(spark, sf):
+    """Rows joined with those of a table that has not been written yet."""
+    absent = read_table(spark, fresh_folder(spark, "absent"), schemas.PROCESSED_GDP)
+    return union_all([econ(spark, sf), absent]).select("country_code", "year", "gdp_per_capita_usd")
 
 
 def _raw_orders(spark, sf):

@@ -9,7 +9,7 @@ from strataflow.operators.html_tables import element_texts, page_tables
 from strataflow.plans.ingest import changed_pages, table_snapshots
 from strataflow.registry import query
 from strataflow.registry.inputs import table
-from strataflow.sources.landed import envelope_records, revision_fields, unpack_envelope
+from strataflow.sources.landed import revision_fields, unpack_envelope
 
 # A reference may lack its semicolon before anything but a letter or digit.
 _TEXT_SQL = r"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
@@ -154,8 +154,8 @@ def envelope_unpack(spark, sf):
     )
     page = F.concat(F.lit('[{"page":1,"pages":1},'), F.to_json(F.array(first, second)), F.lit("]"))
     body = F.when(F.col("o_orderstatus") == "P", F.lit('{"message":"no data"}')).otherwise(page)
-    payloads = unpack_envelope(table(spark, sf, "orders").select(body.alias("body")), strict=False)
-    return envelope_records(payloads).select(
+    records = unpack_envelope(table(spark, sf, "orders").select(body.alias("body")), strict=False)
+    return records.select(
         F.col("countryiso3code").alias("code"), "date", F.col("country.value").alias("name")
     )
 

@@ -15,7 +15,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
+    # Call-site capture costs several round trips per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _test_folders: dict[str, str] = {}

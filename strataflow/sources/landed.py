@@ -28,7 +28,7 @@ def read_envelopes(spark: SparkSession, path: str | list[str], *, per_line: bool
 
 
 def unpack_envelope(envelopes: DataFrame, body: str = "body", *, strict: bool = True) -> DataFrame:
-    """Records of ``[meta, [record, ...]]`` pages as canonical JSON in ``payload``.
+    """Records of ``[meta, [record, ...]]`` pages: typed fields, and canonical JSON as ``payload``.
 
     A body of another shape fails the job; without ``strict`` it gives no rows.
     """
@@ -43,14 +43,13 @@ def unpack_envelope(envelopes: DataFrame, body: str = "body", *, strict: bool =
     if strict:
         message = F.concat(F.lit("unexpected page structure: "), F.substring(F.coalesce(body, F.lit("")), 1, 200))
         records = F.coalesce(records, F.raise_error(message).cast("array<variant>"))
-    return envelopes.select(F.explode(records).alias("_record")).select(F.to_json("_record").alias("payload"))
-
-
-def envelope_records(payloads: DataFrame, payload: str = "payload") -> DataFrame:
-    """Typed view of API records, with the payload kept for hashing."""
-    fields = schemas.RAW_RECORD.fields[:5]
-    record = F.from_json(payload, StructType(fields), {"mode": "PERMISSIVE"})
-    return payloads.select(record.alias("_record"), payload).select("_record.*", payload)
+    return envelopes.select(F.explode(records).alias("_record")).select(
+        *[
+            F.try_variant_get("_record", f"$.{field.name}", field.dataType.simpleString()).alias(field.name)
+            for field in schemas.RAW_RECORD.fields[:5]
+        ],
+        F.to_json("_record").alias("payload"),
+    )
 
 
 def revision_fields(body: Column | str) -> list[Column]:

@@ -64,7 +64,7 @@ def test_envelopes_per_file_and_per_line(spark, tmp_path):
         landed.read_envelopes(spark, str(tmp_path / "files")),
         landed.read_envelopes(spark, lines, per_line=True),
     ):
-        payloads = [r[0] for r in landed.unpack_envelope(frame).orderBy("payload").collect()]
+        payloads = [r[0] for r in landed.unpack_envelope(frame).select("payload").orderBy("payload").collect()]
         assert payloads == ['{"a":2,"date":"2000","z":1}', '{"date":"2001"}', '{"date":"2002"}']
 
 
@@ -76,6 +76,18 @@ def test_envelope_of_another_shape(spark, body):
     assert landed.unpack_envelope(frame, strict=False).count() == 0
 
 
+def test_envelope_fields_are_lenient(spark):
+    body = envelope(
+        {"country": {"id": "A", "value": "Alpha"}, "indicator": "odd", "date": 2001, "value": 1000.5},
+        {"country": None, "date": "2002", "value": None, "countryiso3code": ""},
+    )
+    frame = spark.createDataFrame([(body,)], "body string")
+    rows = landed.unpack_envelope(frame).drop("payload").orderBy("date").collect()
+    assert [tuple(r) for r in rows] == [
+        (None, ("A", "Alpha"), None, "2001", "1000.5"), (None, None, "", "2002", None),
+    ]
+
+
 def test_revision_fields(spark):
     good = {"query": {"pages": [{"pageid": 1, "revisions": [{"revid": 2, "timestamp": "t"}]}]}}
     bodies = [json.dumps(good), json.dumps({"query": {"pages": [{"pageid": 3, "revisions": []}]}}), "{}", "bad"]
