@@ -69,7 +69,7 @@ def drop_hidden(html: Column | str) -> Column:
 
 def visible_text(fragment: Column | str) -> Column:
     """Text of a fragment, the pieces between tags joined by one blank."""
-    spaced = F.regexp_replace(col_of(fragment), rf"(?U)(?:\s*{_TAG}\s*)+", " ")
+    spaced = F.regexp_replace(col_of(fragment), rf"(?U)(?:\s*+{_TAG}\s*+)++", " ")
     return F.trim(decode_entities(spaced))
 
 
@@ -85,7 +85,8 @@ def elements(html: Column | str, tag: str) -> Column:
     regular expression finds; the rest is matched with a stack.
     """
     opening, closing = rf"<(?:{tag})(?=[\s/>])", rf"</(?:{tag})(?=[\s>])"
-    one_level = rf"(?is){opening}.*?(?={closing}|\z)"
+    # Possessive, so that long elements need neither backtracking nor stack.
+    one_level = rf"(?i){opening}[^<]*+(?:<(?!/(?:{tag})[\s>])[^<]*+)*+"
     reopened = rf"(?i)^.[\s\S]*?{opening}"
 
     def find(text: Column) -> Column:

@@ -90,6 +90,12 @@ def test_long_page_does_not_overflow(parsed):
     assert len(row["rows"]) == 5000 and row["rows"][-1] == {"A": "n4999", "B": "4999"}
 
 
+def test_many_empty_cells_do_not_overflow(parsed):
+    body = "<tr>" + "<td></td>" * 20000 + "</tr>"
+    row = parsed(f'<table class="wikitable"><tr><th>A</th></tr>{body}</table>')[0]
+    assert row["rows"] == [{"A": None}]
+
+
 def test_element_texts(spark):
     pages = spark.createDataFrame([(1, "<ul><li>a <b>b</b></li><li> </li><li>c[1]</li></ul>")], "page_id int, html string")
     rows = html_tables.element_texts(pages, "li", keep=["page_id"]).orderBy("pos").collect()
