@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strataflow.llm.decontaminate import find_leaks
 from strataflow.llm.mixing import mix_sources
 from strataflow.llm.oracles import MIX_SQL, SECRETS_SQL, SHARD_SQL, URL_SQL
+from strataflow.llm.quality import score_quality
+from strataflow.llm.rules import judge_quality
 from strataflow.llm.secrets import secret_digest
 from strataflow.llm.sharding import shard_digest
+from strataflow.llm.simhash import duplicate_digest
+from strataflow.llm.tokens import count_tokens
+from strataflow.llm.toxicity import score_toxicity
 from strataflow.llm.url_filter import LISTED_SITES, canonical, host_of, judge_urls
 from strataflow.registry.inputs import table
 
@@ -47,3 +53,33 @@ def op4_url_filter(spark, sf):
 @query("op5_secrets", SECRETS_SQL)
 def op5_secrets(spark, sf):
     return secret_digest(table(spark, sf, "documents"))
+
+
+@query("op3_quality_classifier")
+def op3_quality_classifier(spark, sf):
+    return score_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op6_decontamination")
+def op6_decontamination(spark, sf):
+    return find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op7_token_counts")
+def op7_token_counts(spark, sf):
+    return count_tokens(table(spark, sf, "documents"))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark, sf):
+    return score_toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op9_simhash_near_dedup")
+def op9_simhash_near_dedup(spark, sf):
+    return duplicate_digest(table(spark, sf, "documents"))
+
+
+@query("op10_quality_rules")
+def op10_quality_rules(spark, sf):
+    return judge_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
