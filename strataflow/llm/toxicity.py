@@ -27,9 +27,9 @@ from pyspark.sql.types import DoubleType
 from strataflow.llm.plain import plain
 from strataflow.llm.training import PER_CLASS, Adam, held_out, sample, sigmoid
 
-BUCKETS, TERMS, FACTORS = 1 << 18, 2048, 8
+BUCKETS, TERMS, FACTORS = 1 << 18, 512, 8
 PREFIXES = (3, 4, 5)
-STEPS, RATE, DECAY, SEED = 250, 0.05, 2e-4, 11
+STEPS, RATE, DECAY, SEED = 250, 0.05, 5e-4, 11
 TOXIC_AT = 0.5
 CACHE_WORDS = 400_000
 #: A term in fewer documents of the sample tells nothing.
