@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from strataflow.llm.textstats import repeated_words, words_of
+from strataflow.llm.textstats import repeated_words, slices, words_of
 from strataflow.llm.training import PER_CLASS, Adam, held_out, sample, sigmoid
 
 PASSAGE_WORDS = 64
@@ -132,8 +132,11 @@ def fit(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) ->
     """The trained network; where there are no two labels to tell apart, a constant score."""
 
     def extract(texts: Sequence[str | None]) -> list[bytes]:
-        x, first = passages(texts)
-        return [x[a:b].tobytes() for a, b in zip(first, first[1:])]
+        out: list[bytes] = []
+        for some in slices(texts):
+            x, first = passages(some)
+            out += [x[a:b].tobytes() for a, b in zip(first, first[1:])]
+        return out
 
     bags, y, weights = sample(documents, labels, "quality", extract, per_class)
     if len(set(y)) < 2:
@@ -149,8 +152,11 @@ def quality_score(model: Attention | float, spark: SparkSession) -> Column:
     def score(text: pd.Series) -> pd.Series:
         if isinstance(shipped.value, float):
             return pd.Series(shipped.value, index=text.index, dtype="float64")
-        x, first = passages(list(text))
-        return pd.Series(sigmoid(Attention(shipped.value).forward(x.astype(np.float64), first)))
+        out = [np.zeros(0)]
+        for some in slices(list(text)):
+            x, first = passages(some)
+            out.append(sigmoid(Attention(shipped.value).forward(x.astype(np.float64), first)))
+        return pd.Series(np.concatenate(out))
 
     return F.pandas_udf(score, DoubleType())(F.col("text"))
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from strataflow.llm.textstats import duplicate_lines, repeated_words, words_of
+from strataflow.llm.textstats import duplicate_lines, repeated_words, slices, words_of
 from strataflow.llm.training import PER_CLASS, sample, sigmoid
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -124,8 +124,12 @@ def train(x: np.ndarray, y: np.ndarray, weights: np.ndarray, trees: int = TREES)
     return Trees(*zip(*nodes), roots, base)
 
 
+def _sampled(texts: Sequence[str | None]) -> list[bytes]:
+    return [row.tobytes() for some in slices(texts) for row in statistics(some)[1]]
+
+
 def fit(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Trees | float:
-    found, y, weights = sample(documents, labels, "quality", lambda texts: [row.tobytes() for row in statistics(texts)[1]], per_class)
+    found, y, weights = sample(documents, labels, "quality", _sampled, per_class)
     if len(set(y)) < 2:
         return float((y.sum() + 1) / (len(y) + 2))
     return train(np.array([np.frombuffer(b) for b in found]), y, weights)
@@ -139,11 +143,13 @@ def rule_statistics(model: Trees | float, spark: SparkSession) -> Column:
     shipped = spark.sparkContext.broadcast(model)
 
     def judge(text: pd.Series) -> pd.DataFrame:
-        counts, features = statistics(list(text))
-        out = pd.DataFrame(counts, columns=list(COUNTS))
-        model = shipped.value
-        out["score"] = model if isinstance(model, float) else model.score(features)
-        return out
+        model, parts = shipped.value, [pd.DataFrame(columns=[*COUNTS, "score"]).astype({"score": float})]
+        for some in slices(list(text)):
+            counts, features = statistics(some)
+            part = pd.DataFrame(counts, columns=list(COUNTS))
+            part["score"] = model if isinstance(model, float) else model.score(features)
+            parts.append(part)
+        return pd.concat(parts[1:], ignore_index=True) if len(parts) > 1 else parts[0]
 
     return F.pandas_udf(judge, _RESULT)(F.col("text"))
 

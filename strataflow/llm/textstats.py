@@ -16,6 +16,8 @@ PIECE = 1 << 20
 WINDOW = 5
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
+#: Characters of text handled at once; the word columns take some twenty bytes for each.
+SLICE = 3_000_000
 _SPACE = b" \t\n\x0b\x0c\r"
 
 
@@ -95,6 +97,19 @@ def _pieces(texts: Sequence[str | None]) -> Iterator[tuple[bytes, np.ndarray, np
         yield b" ".join(held) + b" ", np.array(ends), np.array(docs)
 
 
+def slices(texts: Sequence[str | None]) -> Iterator[Sequence[str | None]]:
+    """The texts in order, in runs of ``SLICE`` characters or one longer text."""
+    begin = size = 0
+    for at, text in enumerate(texts):
+        length = len(text or "")
+        if at > begin and size + length > SLICE:
+            yield texts[begin:at]
+            begin, size = at, 0
+        size += length
+    if begin < len(texts):
+        yield texts[begin:]
+
+
 def words_of(texts: Sequence[str | None]) -> Words:
     docs, hashes, counts = [], [], {name: [] for name in CLASSES}
     for data, ends, owner in _pieces(texts):
