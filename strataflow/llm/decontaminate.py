@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterator
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
@@ -184,13 +184,17 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, rate: float = RATE, b
     return out
 
 
+def _leaks(matcher: Callable[[], Matcher]) -> Callable[[Column], Column]:
+    """Whether a text holds an item of the block."""
+
+    def leaks(text: pd.Series) -> pd.Series:
+        return pd.Series([any(True for _ in matcher().find(plain(t), first_only=True)) for t in text], dtype="bool")
+
+    return F.pandas_udf(leaks, BooleanType())
+
+
 def drop_leaks(documents: DataFrame, benchmark: DataFrame, rate: float = RATE, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Documents in which no item was found, all columns as they were."""
     for items in item_blocks(benchmark, block_chars):
-        matcher = _shared(documents, items, rate)
-
-        def leaks(text: pd.Series, matcher=matcher) -> pd.Series:
-            return pd.Series([any(True for _ in matcher().find(plain(t), first_only=True)) for t in text], dtype="bool")
-
-        documents = documents.where(~F.pandas_udf(leaks, BooleanType())(F.col("text")))
+        documents = documents.where(~_leaks(_shared(documents, items, rate))(F.col("text")))
     return documents
