@@ -1,4 +1,4 @@
-"""Row numbers and joins that hold up when one key has a large part of the rows."""
+"""Row numbers that hold up when one key has a large part of the rows."""
 
 from __future__ import annotations
 
@@ -10,7 +10,6 @@ from pyspark.sql.window import Window
 
 from strataflow.session import settle
 
-SALTS = 32
 _BITS = 33  # of the row's place in its partition, in monotonically_increasing_id
 
 
@@ -35,15 +34,3 @@ def number_rows(df: DataFrame, order: Sequence[Column | str], number: str) -> tu
     in_part = F.col(at).bitwiseAND(F.lit((1 << _BITS) - 1))
     numbered = stored.withColumn(part, F.shiftright(at, _BITS)).join(F.broadcast(firsts), part)
     return numbered.withColumn(number, F.col("first") + in_part).drop(at, part, "first"), total
-
-
-def salted_lookup(left: DataFrame, right: DataFrame, key: str, how: str = "left", salts: int = SALTS) -> DataFrame:
-    """Join to a right side with one row a key, each key's left rows spread over ``salts`` tasks.
-
-    The right side is repeated once a salt, so it should be the small one. The salt
-    comes from the left row's place, since copies of a row must part.
-    """
-    salt = f"{key}_salt"
-    salted = left.withColumn(salt, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int"))
-    copies = right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [key, salt], how).drop(salt)

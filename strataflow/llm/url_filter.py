@@ -5,7 +5,8 @@ block, and eight slices of a second one the bits, so a lookup reads one row of t
 The filter is a table of (block, words), built by one OR-aggregate and broadcast; its
 number of blocks has a fixed upper bound, whatever the list's length. A longer list
 means fuller blocks and more false hits, never another result: possible hits go to an
-exact hash join with the list, on salted keys, since one URL may be most of the hits.
+exact hash join with the list. URLs are made distinct first, and the page rows then meet
+one row a URL at most, so adaptive execution may split the pages of a hot URL at will.
 
 Defined cases: a NULL url, or one without ``://``, has empty host and path, fits no
 rule, is on no list and is allowed. Repeated rows are judged each. Empty tables, of
@@ -20,7 +21,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.rows import salted_lookup
 from strataflow.session import settle
 
 #: Fixed values of the contract: host, path, verdict.
@@ -108,10 +108,7 @@ def on_list(rows: DataFrame, listed: DataFrame, url: str, max_blocks: int = MAX_
     """Rows (any columns, ``url`` among them) whose URL is in ``listed`` (one column ``url``, distinct)."""
     known = settle(listed.where(F.col(url).isNotNull()).select(url).distinct())
     blocks = max(1, min(max_blocks, -(-known.count() * BITS_PER_URL // (64 * WORDS))))
-    possible = possible_hits(rows, url, bloom_filter(known, url, blocks), blocks)
-    # The list is cut to URLs some row may have before it is repeated once a salt.
-    wanted = known.join(possible.select(url).distinct(), url, "left_semi")
-    return salted_lookup(possible, wanted, url, "inner")
+    return possible_hits(rows, url, bloom_filter(known, url, blocks), blocks).join(known, url)
 
 
 def judge_urls(
@@ -129,7 +126,7 @@ def judge_urls(
     rows = read.withColumn("best", best_rule(F.col("host"), F.col("path"), rules))
     # Distinct URLs first: the page rows themselves only meet the hits.
     hits = on_list(rows.where(F.col("canonical").isNotNull()).select("canonical").distinct(), listed, "canonical", max_blocks)
-    judged = salted_lookup(rows, hits.withColumn("hit", F.lit(True)), "canonical")
+    judged = rows.join(hits.withColumn("hit", F.lit(True)), "canonical", "left")
     hit = F.coalesce("hit", F.lit(False))
     return judged.select(
         F.col("page.page_id").alias("page_id"),
