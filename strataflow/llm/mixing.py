@@ -120,7 +120,7 @@ def mix_sources(
     last = F.lit(periods) * F.col("part") - 1
     if spread:
         step = F.col("blocks") * EPOCHS_PER_TASK
-        emitted = emitted.withColumn("block", F.explode(F.sequence("block", last, step))).repartition()
+        emitted = emitted.withColumn("block", F.explode(F.sequence("block", last, step))).repartition("source", "index", "block")
         last = F.least(last, F.col("block") + step - 1)
     emitted = emitted.withColumn("turn", F.explode(F.sequence(F.col("block"), last, F.col("blocks"))))
     timed = emitted.withColumn("k", F.expr("turn % part")).join(
