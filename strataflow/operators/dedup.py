@@ -11,15 +11,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, VariantType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
+from strataflow.functions.hashing import struct_json
 
-def _orderable(df: DataFrame, exclude: Sequence[str]) -> list[str]:
-    return [
-        field.name
-        for field in df.schema.fields
-        if field.name not in exclude and not isinstance(field.dataType, (MapType, VariantType))
-    ]
+
+def holds_map(kind: DataType) -> bool:
+    """Whether a type has a map or a variant at any depth, which can't be ordered or hashed."""
+    if isinstance(kind, ArrayType):
+        return holds_map(kind.elementType)
+    if isinstance(kind, StructType):
+        return any(holds_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, (MapType, VariantType))
+
+
+def comparable(df: DataFrame, exclude: Sequence[str] = ()) -> list[Column]:
+    """All columns but the excluded ones; those with maps as canonical text."""
+    kept = [f for f in df.schema.fields if f.name not in exclude]
+    return [struct_json(f.name) if holds_map(f.dataType) else F.col(f.name) for f in kept]
 
 
 def first_per_key(
@@ -27,7 +36,7 @@ def first_per_key(
 ) -> DataFrame:
     """The first ``n`` rows of each key in the given order; ``rank`` keeps the position."""
     named = [o for o in order if isinstance(o, str)]
-    ties = [F.col(name) for name in _orderable(df, [*keys, *named])]
+    ties = comparable(df, [*keys, *named])
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     window = Window.partitionBy(*keys).orderBy(*order, *ties)
     position = rank or "_position"

@@ -8,21 +8,24 @@ from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, VariantType
 
 from strataflow.functions.parsing import blank_to_null
-from strataflow.operators.dedup import first_per_key
+from strataflow.operators.dedup import comparable, first_per_key
 from strataflow.operators.project import require_columns
 from strataflow.session import settle
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_ROWS = 4_000_000
-SALTS = 64
+#: The list of hot keys may take this much in any case.
+HOT_LIST_BYTES = 1024 * 1024
+#: A row in memory, as a part of a hash relation, next to its JSON text.
+ROW_OVERHEAD = 64
 
 
 def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows written out as JSON, which is no less than their values take."""
-    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")).first()["bytes"]
+    """Upper bound of the rows in memory: their JSON text, NULL fields included, and a header each."""
+    text = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    size = df.agg(F.sum(F.octet_length(text) + ROW_OVERHEAD).alias("bytes")).first()["bytes"]
     return size or 0
 
 
@@ -35,39 +38,45 @@ def lookup_join(
     right_bytes: int | None = None,
     max_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join a large left side, hot keys and all, to a right side unique on ``on``.
 
     ``right`` should be cheap to read again (a stored table or a settled result):
     unless ``right_bytes`` is known it is measured first. Up to ``max_bytes`` it is
     broadcast, so the left side is not shuffled. Beyond that both sides are
-    shuffled, with the rows of hot and NULL keys spread over ``salts`` tasks.
+    shuffled, with the rows of a hot key spread over pieces of an eighth of
+    ``hot_rows``. NULL keys, which match nothing, are spread likewise.
     """
     on = list(on)
     if (measured_bytes(right) if right_bytes is None else right_bytes) <= max_bytes:
         return left.join(F.broadcast(right), on, how)
-    return _salted_join(left, right, on, how, hot_rows, salts)
+    return _salted_join(left, right, on, how, hot_rows, max_bytes)
 
 
-def _salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str, hot_rows: int, salts: int) -> DataFrame:
+def _salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str, hot_rows: int, max_bytes: int) -> DataFrame:
     """Shuffle join in which only the right rows of hot keys are repeated, once per salt.
 
     A key is hot above ``hot_rows`` rows, so there are at most (rows / hot_rows) of
-    them and their list is small enough to broadcast.
+    them. Their list is measured as well: beyond its bound the two sides are joined as they
+    are, which adaptive execution may split.
     """
-    counted = left.na.drop(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    hot = F.broadcast(settle(counted.where(F.col("_n") > hot_rows).select(*on, F.lit(True).alias("_hot"))))
-    hashable = [f.name for f in left.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+    counted = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    # Pieces well below the threshold, as several of them may meet in one task.
+    pieces = F.ceil(F.col("_n") / max(1, hot_rows // 8)).cast("int").alias("_pieces")
+    hot = settle(counted.where(F.col("_n") > hot_rows).select(*on, pieces))
+    keyless = reduce(or_, [F.col(name).isNull() for name in on])
+    no_key = hot.where(keyless).agg(F.sum("_pieces")).first()[0] or 1
+    keyed = hot.where(~keyless)
+    if measured_bytes(keyed) > max(max_bytes, HOT_LIST_BYTES):
+        return left.join(right, on, how)
     # From the row's own content, so that a retried task gives the same salt.
-    spread = F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")
-    no_key = reduce(or_, [F.col(name).isNull() for name in on])
-    salted_left = left.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | no_key, spread).otherwise(F.lit(0))
+    spread = F.xxhash64(*comparable(left))
+    salted_left = left.join(F.broadcast(keyed), on, "left").withColumn(
+        "_salt", F.pmod(spread, F.when(keyless, F.lit(no_key)).otherwise(F.coalesce("_pieces", F.lit(1)))).cast("int")
     )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.join(hot, on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return salted_left.drop("_hot").join(salted_right, [*on, "_salt"], how).drop("_salt")
+    copies = F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)
+    salted_right = right.join(F.broadcast(keyed), on, "left").withColumn("_salt", F.explode(copies)).drop("_pieces")
+    return salted_left.drop("_pieces").join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
 def map_keys(facts: DataFrame, mapping: DataFrame, *, key: str, values: Sequence[str]) -> DataFrame:

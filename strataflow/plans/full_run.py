@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -45,12 +46,15 @@ def run_layers(
     max_year: int | None = None,
     overrides_path: str | None = None,
     skip_empty_fit: bool = False,
+    page_values: Mapping[str, int] | None = None,
+    report_years: Sequence[int] = defaults.REPORT_YEARS,
     now: datetime | None = None,
 ) -> Artefacts:
     """Ingest, type, map, curate and report.
 
-    The table step runs only when a page changed; the curated step always. With
-    ``skip_empty_fit`` a missing regression does not end the run.
+    Typed tables are fed by the file streams of RAW: whatever an earlier run landed
+    but failed to type is typed now, and a changed page replaces its own rows alone.
+    With ``skip_empty_fit`` a missing regression does not end the run.
     """
     layers, done = Layers(root), Artefacts()
     ledger = RunLedger(spark, layers.path("metadata"))
@@ -65,12 +69,13 @@ def run_layers(
         envelopes, layers.path("raw", "gdp"), ledger, min_year=min_year, max_year=max_year, now=now
     )
     note("records_raw", raw)
-    note("records_processed", process_records(spark, raw.path, gdp))
+    note("records_processed", process_records(spark, layers.path("raw", "gdp"), gdp, layers.path("state", "gdp")))
     note("mapping", build_and_save_mapping(spark, gdp, mapping, overrides_path))
-    snapshot = ingest_pages(pages, layers.path("raw", "co2"), ledger, now=now)
-    note("tables_raw", snapshot)
-    if snapshot is not None:
-        note("tables_processed", process_tables(spark, snapshot.path, co2, read_mapping(spark, mapping)))
+    note("tables_raw", ingest_pages(pages, layers.path("raw", "co2"), ledger, rejects=layers.path("rejects", "co2"), now=now))
+    typed = process_tables(
+        spark, layers.path("raw", "co2"), co2, layers.path("state", "co2"), read_mapping(spark, mapping), values=page_values
+    )
+    note("tables_processed", typed)
     note("curated", build_and_save_curated(spark, gdp, co2, curated, ledger, now=now))
     try:
         done.paths.update(build_regression(spark, curated, layers.path("analytics"), now=now))
@@ -78,6 +83,6 @@ def run_layers(
         if not skip_empty_fit:
             raise
     done.paths["summary"] = build_correlation_summary(
-        spark, curated, layers.path("analytics"), defaults.REPORT_YEARS, now
+        spark, curated, layers.path("analytics"), report_years, now
     )
     return done

@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from strataflow.functions.hashing import canonical_json
 from strataflow.functions.parsing import parse_year
+from strataflow import schemas
 from strataflow.operators.html_tables import page_tables
 from strataflow.operators.joins import not_seen
 from strataflow.operators.project import with_audit, year_between
 from strataflow.plans import defaults
 from strataflow.plans.ledger import SKIPPED, RunLedger
+from strataflow.session import discard, settle
 from strataflow.sinks.tables import Written, write_raw
-from strataflow.sources.landed import unpack_envelope
+from strataflow.sources.landed import read_json_lines, unpack_envelope
 
 
 def baseline_year(checkpoint: str | None, min_year: int | None) -> int | None:
@@ -122,28 +124,48 @@ def ingest_pages(
     run_scope: str = defaults.TABLE_SCOPE,
     checkpoint_key: str = defaults.TABLE_CHECKPOINT,
     strict: bool = True,
+    rejects: str | None = None,
     now: datetime | None = None,
 ) -> Written | None:
     """Append table snapshots of changed pages to RAW; None when nothing changed.
 
     ``pages`` has (url, html, pageid, revid, rev_timestamp). Each page keeps its
-    own mark, ``checkpoint_key`` followed by its URL. ``rows_processed`` counts
-    table rows, as a snapshot is one record.
+    own mark, ``checkpoint_key`` followed by its URL, and only a page whose snapshot was
+    written moves it. Pages without a usable table go to the ``rejects`` table with the
+    reason and are tried again; where no page is usable, a strict load fails.
+    ``rows_processed`` counts table rows, as a snapshot is one record.
     """
     stamp = now or datetime.now(timezone.utc)
     with ledger.run(run_scope) as run:
         keyed = pages.withColumn("source", F.concat(F.lit(f"{checkpoint_key}:"), "url"))
-        changed = changed_pages(keyed, ledger.checkpoints())
+        changed = settle(changed_pages(keyed, ledger.checkpoints()))
         if changed.isEmpty():
             run.status, run.rows = SKIPPED, 0
             run.checkpoint = _text(pages.agg(F.max("revid")).first()[0])
+            # There may be none yet; the stream behind needs the folder.
+            spark = pages.sparkSession
+            spark.createDataFrame([], schemas.RAW_TABLE).write.mode("append").json(f"{raw_root.rstrip('/')}/_none")
             return None
         path = f"{raw_root.rstrip('/')}/{run_scope}_raw_{stamp:%Y%m%dT%H%M%S%fZ}"
-        records = table_snapshots(
-            changed, run_id=run.run_id, ingestion_ts=stamp.isoformat(), location=path, strict=strict
-        )
+        records = table_snapshots(changed, run_id=run.run_id, ingestion_ts=stamp.isoformat(), location=path)
         written = write_raw(records, path, {"table_rows": F.sum(F.size("raw_table_json.rows")), "revid": F.max("revid")})
-        ledger.save_checkpoints(changed.select("source", F.coalesce(F.col("revid").cast("string"), F.lit("")).alias("value")))
+        stored = read_json_lines(pages.sparkSession, path, schemas.RAW_TABLE).select("page_url", "revid")
+        ledger.save_checkpoints(
+            stored.select(
+                F.concat(F.lit(f"{checkpoint_key}:"), "page_url").alias("source"),
+                F.coalesce(F.col("revid").cast("string"), F.lit("")).alias("value"),
+            )
+        )
+        if rejects is not None:
+            bad = changed.join(stored.select(F.col("page_url").alias("url")).distinct(), "url", "left_anti")
+            reason = F.when(F.coalesce(F.trim("html"), F.lit("")) == "", "empty page").otherwise("no table with a header and rows")
+            bad.select(
+                "url", "pageid", "revid", "rev_timestamp", reason.alias("reason"),
+                F.lit(run.run_id).alias("ingestion_run_id"), F.lit(stamp).alias("rejected_ts"),
+            ).write.mode("append").parquet(rejects)
+        if strict and not written.rows:
+            raise ValueError("no changed page has a usable table")
         run.rows = int(written.metrics.get("table_rows") or 0)
         run.checkpoint = _text(written.metrics.get("revid"))
+        discard(changed)
     return written

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from strataflow import schemas
 from strataflow.functions.parsing import default_if_blank, parse_cell_number, parse_number, parse_utc_timestamp, parse_year
 from strataflow.functions.text import name_key
+from strataflow.operators.dedup import first_per_key
 from strataflow.operators.joins import map_keys
 from strataflow.operators.project import align, drop_blank
 from strataflow.operators.reshape import unnest_rows, wide_to_long
 from strataflow.plans import defaults
-from strataflow.sinks.tables import Written, overwrite_partitions
-from strataflow.sources.landed import read_json_lines
+from strataflow.sinks.tables import Written
+from strataflow.streaming.increments import load_new_files
 
 
 def type_records(raw: DataFrame) -> DataFrame:
@@ -51,10 +52,12 @@ def type_table_rows(
             "ingestion_run_id",
             parse_utc_timestamp("ingestion_ts").alias("ingestion_ts"),
             default_if_blank("data_source", defaults.CO2_SOURCE).alias("data_source"),
+            F.col("raw_table_json.page_url").alias("page_url"),
         ],
     )
-    ids = ["country_name", "country_name_normalized", "ingestion_run_id", "ingestion_ts", "data_source"]
+    ids = ["page_url", "country_name", "country_name_normalized", "ingestion_run_id", "ingestion_ts", "data_source"]
     wide = rows.where(F.col("row")[location] != "").select(
+        "page_url",
         F.col("row")[location].alias("country_name"),
         name_key(F.col("row")[location]).alias("country_name_normalized"),
         "ingestion_run_id",
@@ -70,11 +73,33 @@ def type_table_rows(
     return mapped.select(*schemas.PROCESSED_CO2.fieldNames())
 
 
-def process_records(spark: SparkSession, raw_path: str, out: str) -> Written:
-    """RAW API folder to the year-partitioned typed table."""
-    return overwrite_partitions(type_records(read_json_lines(spark, raw_path, schemas.RAW_RECORD)), out)
+def process_records(spark: SparkSession, raw_root: str, out: str, state: str) -> Written:
+    """New RAW API files to the year-partitioned typed table: the latest row per (code, indicator, year)."""
+    return load_new_files(
+        spark, raw_root, schemas.RAW_RECORD, out, state, type_records,
+        merge_on=["country_code", "indicator_id", "year"], latest_by=["ingestion_ts"],
+    )
 
 
-def process_tables(spark: SparkSession, raw_path: str, out: str, mapping: DataFrame | None = None) -> Written:
-    """RAW table snapshots to the year-partitioned long table."""
-    return overwrite_partitions(type_table_rows(read_json_lines(spark, raw_path, schemas.RAW_TABLE), mapping), out)
+def latest_page(raw: DataFrame) -> DataFrame:
+    """The newest snapshot of each page."""
+    return first_per_key(raw, ["page_url"], [F.col("ingestion_ts").desc_nulls_last(), F.col("revid").desc_nulls_last()])
+
+
+def process_tables(
+    spark: SparkSession,
+    raw_root: str,
+    out: str,
+    state: str,
+    mapping: DataFrame | None = None,
+    *,
+    values: Mapping[str, int] | None = None,
+) -> Written:
+    """New RAW table snapshots to the year-partitioned long table.
+
+    A page's new snapshot replaces what the page had, in whichever year; other pages stay.
+    """
+    return load_new_files(
+        spark, raw_root, schemas.RAW_TABLE, out, state,
+        lambda raw: type_table_rows(latest_page(raw), mapping, values=values), owner="page_url",
+    )

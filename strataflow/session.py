@@ -19,6 +19,8 @@ SESSION_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+SETTLED = "settled"
+
 _test_folders: dict[str, str] = {}
 
 
@@ -61,8 +63,18 @@ def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, as a table in the shared folder, and go on from there.
 
     Lost executors cost nothing, columns can be pruned on the next read, and the
-    planner knows the size. A checkpoint would run the last stage twice.
+    planner knows the size. A checkpoint would run the last stage twice. Whoever
+    writes the final result can ``discard`` the table then.
     """
-    path = fresh_folder(df.sparkSession, "settled")
+    path = fresh_folder(df.sparkSession, SETTLED)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*settled: DataFrame) -> None:
+    """Free settled tables that nothing will read again: each is overwritten by no rows."""
+    for df in settled:
+        folders = {file.rsplit("/", 1)[0] for file in df.inputFiles()}
+        for folder in folders:
+            if f"/{SETTLED}-" in folder:
+                df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(folder)

@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from strataflow import schemas
 from strataflow.functions.text import partition_value
 
-# Above this many partitions a semi-join replaces the literal filter.
+# Up to this many partitions are also named in a literal filter, which prunes the scan.
 MAX_LITERAL_PARTITIONS = 500
 
 
@@ -38,30 +38,39 @@ def for_years(table: DataFrame, years: Iterable[int] | None, year: str = "year")
 
 
 def only_partitions(table: DataFrame, wanted: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows of the partitions listed in ``wanted``, one row per partition.
+    """Rows of the partitions listed in ``wanted``, one row per partition; NULL is a value like others.
 
-    A short list becomes a literal filter, so other partitions are not opened; a
-    long one a semi-join.
+    A short list becomes a literal filter, so other partitions are not opened. A
+    long one is joined by the same null-safe rule, with the same rows.
     """
     columns = list(columns)
     values = wanted.select(*columns).limit(MAX_LITERAL_PARTITIONS + 1).collect()
     if len(values) > MAX_LITERAL_PARTITIONS:
-        return table.join(wanted, columns, "left_semi")
+        named = wanted.select(*[F.col(c).alias(f"_wanted_{c}") for c in columns])
+        return table.join(named, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_wanted_{c}")) for c in columns]), "left_semi")
     if not values:
         return table.where(F.lit(False))
     return table.where(reduce(or_, [reduce(and_, [F.col(c).eqNullSafe(v[c]) for c in columns]) for v in values]))
 
 
+def stored_partitions(table: DataFrame, path: str, columns: Sequence[str]) -> DataFrame:
+    """Distinct partition values of a stored table, from its file paths: no data file is opened."""
+    parts = list_files(table.sparkSession, path).where(F.endswith("path", F.lit(".parquet")))
+    values = [F.nullif(partition_value("path", c), F.lit("__HIVE_DEFAULT_PARTITION__")).cast(table.schema[c].dataType).alias(c) for c in columns]
+    return parts.select(*values).distinct()
+
+
 def latest_snapshots(
-    table: DataFrame, *, as_of: str | None = None, key: str = "year", snapshot: str = "snapshot_date"
+    table: DataFrame, path: str, *, as_of: str | None = None, key: str = "year", snapshot: str = "snapshot_date"
 ) -> DataFrame:
     """Rows of the newest snapshot of each key, optionally as it stood on ``as_of``.
 
-    The newest pairs come from partition columns alone.
+    The newest pairs come from the partition folders below ``path``, where the table
+    is stored; older snapshots are neither scanned for it nor for the result.
     """
-    seen = table if as_of is None else table.where(F.col(snapshot) <= as_of)
-    newest = seen.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(snapshot).alias(snapshot))
-    return only_partitions(seen, newest, [key, snapshot])
+    pairs = stored_partitions(table, path, [key, snapshot]).where(F.col(key).isNotNull())
+    seen = pairs if as_of is None else pairs.where(F.col(snapshot) <= as_of)
+    return only_partitions(table, seen.groupBy(key).agg(F.max(snapshot).alias(snapshot)), [key, snapshot])
 
 
 def read_curated(
@@ -73,9 +82,10 @@ def read_curated(
     as_of: str | None = None,
 ) -> DataFrame:
     """Curated rows: chosen years, newest snapshot of each unless all are wanted."""
-    table = for_years(read_table(spark, path, schemas.CURATED), years)
+    stored = read_table(spark, path, schemas.CURATED)
+    table = for_years(stored, years)
     if latest_only:
-        return latest_snapshots(table, as_of=as_of)
+        return latest_snapshots(table, path, as_of=as_of) if stored.inputFiles() else table
     return table if as_of is None else table.where(F.col("snapshot_date") <= as_of)
 
 

@@ -4,29 +4,65 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strataflow.operators.dedup import first_per_key
-from strataflow.session import settle
-from strataflow.sinks.tables import overwrite_partitions
+from strataflow.session import discard, settle
+from strataflow.sinks.tables import Written, overwrite_partitions
 from strataflow.sources.tables import only_partitions, read_table
 
 
+def _touched(batch: DataFrame, stored: DataFrame, keys: Sequence[str], partitions: Sequence[str]) -> DataFrame:
+    """Partitions a batch has rows for, and those that hold a stored row with one of its keys."""
+    new = batch.select(*[F.col(k).alias(f"_new_{k}") for k in keys]).distinct()
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_new_{k}")) for k in keys])
+    moved = stored.join(new, same, "left_semi")
+    return batch.select(*partitions).unionByName(moved.select(*partitions)).distinct()
+
+
 def merge_partitions(
     batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], partitions: Sequence[str] = ("year",)
-) -> DataFrame:
-    """Rows of a batch with the stored rows of the same partitions, the latest per key.
+) -> tuple[DataFrame, DataFrame]:
+    """The touched partitions after a merge, the latest row per key, and which partitions those are.
 
-    Only the partitions the batch touches are read. The result is settled, since
-    it is about to overwrite what it read.
+    A key that the batch has in another partition than before leaves the old one.
+    NULL counts as a value, in keys and in partitions. The result is settled, since it is about to overwrite what it read.
     """
-    spark = batch.sparkSession
-    stored = read_table(spark, path, batch.schema)
-    touched = batch.select(*partitions).distinct()
+    stored = read_table(batch.sparkSession, path, batch.schema)
+    touched = settle(_touched(batch, stored, keys, partitions))
     both = batch.unionByName(only_partitions(stored, touched, partitions))
-    return settle(first_per_key(both, keys, [F.col(name).desc_nulls_last() for name in order]))
+    return settle(first_per_key(both, keys, [F.col(name).desc_nulls_last() for name in order])), touched
+
+
+def replace_owned(
+    batch: DataFrame, owners: DataFrame, path: str, owner: str, partitions: Sequence[str] = ("year",)
+) -> tuple[DataFrame, DataFrame]:
+    """The touched partitions with all stored rows of the given owners replaced by those of the batch.
+
+    For sources that are read whole, such as a page: what it no longer has must go,
+    and what other owners have stays.
+    """
+    stored = read_table(batch.sparkSession, path, batch.schema)
+    named = settle(owners.select(owner).distinct())
+    old = stored.join(named, owner, "left_semi")
+    touched = settle(batch.select(*partitions).unionByName(old.select(*partitions)).distinct())
+    others = only_partitions(stored, touched, partitions).join(named, owner, "left_anti")
+    return settle(batch.unionByName(others)), touched
+
+
+def write_touched(rows: DataFrame, touched: DataFrame, path: str, partitions: Sequence[str] = ("year",)) -> None:
+    """Overwrite the touched partitions; one that has no row left is emptied."""
+    overwrite_partitions(rows, path, partitions)
+    left = rows.select(*partitions).distinct()
+    same = [touched[c].eqNullSafe(left[c]) for c in partitions]
+    for gone in touched.where(F.col(partitions[0]).isNotNull()).join(left, same, "left_anti").toLocalIterator():
+        names = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if gone[c] is None else gone[c]}" for c in partitions]
+        rows.drop(*partitions).limit(0).write.mode("overwrite").parquet("/".join([path.rstrip("/"), *names]))
 
 
 def load_new_files(
@@ -40,20 +76,37 @@ def load_new_files(
     partitions: Sequence[str] = ("year",),
     merge_on: Sequence[str] | None = None,
     latest_by: Sequence[str] = (),
+    owner: str | None = None,
     max_files: int | None = None,
-) -> None:
-    """Process files not seen before and stop.
+) -> Written:
+    """Process files not seen before and stop; ``rows`` of the result counts those made of them.
 
-    A batch replaces the partitions it has rows for, so a repeated batch gives
-    the same table. With ``merge_on`` it is merged with what they hold instead,
-    for partitions that are spread over several files.
+    A batch that failed is processed again by the next run.
+
+    A batch replaces the partitions it has rows for, so a repeated batch gives the
+    same table. With ``merge_on`` it is merged by key with what is stored, and with
+    ``owner`` (a column of the files and of the rows made of them) it replaces all that
+    its owners have stored. Partitions spread over batches need one of the two, so
+    ``max_files`` alone is refused.
     """
+    if max_files is not None and merge_on is None and owner is None:
+        raise ValueError("max_files makes several batches, of which each would replace the last one's partitions: give merge_on or owner")
+
+    counts: list[int] = []
 
     def write(batch: DataFrame, _: int) -> None:
-        rows = transform(batch).where(F.col(partitions[0]).isNotNull())
-        if merge_on is not None:
-            rows = merge_partitions(settle(rows), target, merge_on, latest_by, partitions)
-        overwrite_partitions(rows, target, partitions)
+        if merge_on is None and owner is None:
+            counts.append(overwrite_partitions(transform(batch).where(F.col(partitions[0]).isNotNull()), target, partitions).rows)
+            return
+        read = settle(batch)
+        rows = settle(transform(read).where(F.col(partitions[0]).isNotNull()))
+        if owner is not None:
+            new, touched = replace_owned(rows, read.where(F.col(owner).isNotNull()), target, owner, partitions)
+        else:
+            new, touched = merge_partitions(rows, target, merge_on, latest_by, partitions)
+        write_touched(new, touched, target, partitions)
+        counts.append(rows.count())
+        discard(read, rows, new, touched)
 
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("mode", "FAILFAST")
     if max_files is not None:
@@ -66,3 +119,4 @@ def load_new_files(
         .start()
     )
     query.awaitTermination()
+    return Written(target, sum(counts))

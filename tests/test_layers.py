@@ -5,13 +5,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataflow import fresh_folder, schemas
+from strataflow.operators import joins
 from strataflow.operators.project import align
 from strataflow.plans import analytics, curate, defaults, ingest, mapping, processed
 from strataflow.plans.full_run import run_layers
 from strataflow.plans.ledger import RunLedger
-from strataflow.sinks.tables import write_snapshot
+from strataflow.sinks.tables import overwrite_partitions, write_snapshot
+from strataflow.sources import tables
 from strataflow.sources.landed import read_json_lines
 from strataflow.sources.tables import read_curated, read_mapping, read_table
+from strataflow.streaming import increments
 from strataflow.streaming.increments import load_new_files
 
 DAY = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -279,3 +282,129 @@ def test_each_file_is_streamed_once(spark):
     land(record("CCC", "C", "2001", 4, ingestion_ts="2024-01-02"), record("BBB", "Beta", "2001", 5, ingestion_ts="2024-01-02"))
     merged = load(merge_on=["country_code", "year"], latest_by=["ingestion_ts"])
     assert merged == [("AAA", 2000, 1.0), ("BBB", 2001, 5.0), ("CCC", 2001, 4.0)]
+
+
+def several_pages(spark, tables, revisions):
+    """One page per name: its rows of (location, late, early)."""
+    frames = [
+        co2_page(spark, rows, revisions[name]).withColumns({"url": F.lit(f"https://example.org/{name}")})
+        for name, rows in tables.items()
+    ]
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame)
+    return out
+
+
+def page_rows(spark, root):
+    table = read_table(spark, f"{root}/processed/co2", schemas.PROCESSED_CO2)
+    return sorted((r["page_url"][-1], r["country_name"], r["year"], r["co2_tons_per_capita"]) for r in table.collect())
+
+
+def test_second_run_keeps_other_pages(spark):
+    """A revised page replaces its own rows, also those it no longer has; other pages stay."""
+    root = fresh_folder(spark, "layers")
+    api = envelopes(spark, [record("AAA", "Alpha", y, 100) for y in ("2000", "2023")])
+    old = {"a": [("Aland", "1", "2"), ("Bland", "3", "4")], "b": [("Cland", "5", "6"), ("Dland", "7", "8")]}
+    run_layers(spark, api, several_pages(spark, old, {"a": 1, "b": 1}), root, skip_empty_fit=True, now=DAY)
+    assert len(page_rows(spark, root)) == 8
+    new = {"a": old["a"], "b": [("Cland", "9", "–")]}
+    run_layers(spark, api, several_pages(spark, new, {"a": 1, "b": 2}), root, skip_empty_fit=True, now=datetime(2024, 1, 2, tzinfo=timezone.utc))
+    assert page_rows(spark, root) == [
+        ("a", "Aland", 2000, 2.0), ("a", "Aland", 2023, 1.0), ("a", "Bland", 2000, 4.0), ("a", "Bland", 2023, 3.0), ("b", "Cland", 2023, 9.0),
+    ]
+
+
+def test_a_year_left_by_all_pages_is_emptied(spark):
+    root = fresh_folder(spark, "layers")
+    api = envelopes(spark, [record("AAA", "Alpha", "2000", 100)])
+    run_layers(spark, api, several_pages(spark, {"a": [("Aland", "1", "2")]}, {"a": 1}), root, skip_empty_fit=True, now=DAY)
+    run_layers(spark, api, several_pages(spark, {"a": [("Aland", "5", "–")]}, {"a": 2}), root, skip_empty_fit=True, now=datetime(2024, 1, 2, tzinfo=timezone.utc))
+    assert page_rows(spark, root) == [("a", "Aland", 2023, 5.0)]
+
+
+def test_records_are_typed_after_a_failed_step(spark, monkeypatch):
+    root = fresh_folder(spark, "layers")
+    api = envelopes(spark, [record("AAA", "Alpha", y, 100) for y in ("2000", "2023")])
+    pages = co2_page(spark, [("Alpha", "1.5", "2")], 10)
+    whole = processed.type_records
+
+    def failing(raw):
+        raise RuntimeError("typing failed")
+
+    monkeypatch.setattr(processed, "type_records", failing)
+    with pytest.raises(Exception, match="typing failed"):
+        run_layers(spark, api, pages, root, now=DAY)
+    monkeypatch.setattr(processed, "type_records", whole)
+    done = run_layers(spark, api, pages, root, now=datetime(2024, 1, 2, tzinfo=timezone.utc))
+    assert done.rows["records_raw"] == 0 and done.rows["records_processed"] == 2 and done.rows["curated"] == 2
+
+
+def test_marks_only_of_written_pages(spark):
+    root = fresh_folder(spark, "pages")
+    ledger = RunLedger(spark, f"{root}/metadata")
+    good = several_pages(spark, {"a": [("Aland", "1", "2")]}, {"a": 1})
+    bad = good.withColumns({"url": F.lit("https://example.org/bad"), "html": F.lit("<p>no table</p>")})
+    both = good.unionByName(bad)
+    assert ingest.ingest_pages(both, f"{root}/raw", ledger, rejects=f"{root}/rejects", now=DAY).rows == 1
+    assert [r["source"][-3:] for r in ledger.checkpoints().collect()] == ["g/a"]
+    assert [(r["url"][-3:], r["revid"]) for r in spark.read.parquet(f"{root}/rejects").collect()] == [("bad", 1)]
+    # The bad page is tried again, and alone it fails a strict load.
+    with pytest.raises(ValueError, match="no changed page"):
+        ingest.ingest_pages(both, f"{root}/raw", ledger, now=datetime(2024, 1, 2, tzinfo=timezone.utc))
+    fixed = bad.withColumn("html", F.lit(good.first()["html"]))
+    assert ingest.ingest_pages(good.unionByName(fixed), f"{root}/raw", ledger, now=datetime(2024, 1, 3, tzinfo=timezone.utc)).rows == 1
+
+
+def test_merge_moves_keys_and_keeps_null_partitions(spark):
+    path = fresh_folder(spark, "merge")
+    schema = "id string, v int, year int, region string"
+    frame = lambda rows: spark.createDataFrame(rows, schema)
+    parts = ["year", "region"]
+    overwrite_partitions(frame([("a", 1, 2000, None), ("b", 1, 2000, "n"), ("y", 1, 2001, None), ("z", 1, 2002, "n")]), path, parts)
+    for limit in (500, 0):
+        batch = frame([("c", 2, 2000, None), ("z", 2, 2001, None)])
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(tables, "MAX_LITERAL_PARTITIONS", limit)
+            rows, touched = increments.merge_partitions(batch, path, ["id"], ["v"], parts)
+            assert sorted((r["id"], r["v"], r["year"]) for r in rows.collect()) == [("a", 1, 2000), ("c", 2, 2000), ("y", 1, 2001), ("z", 2, 2001)]
+            assert touched.count() == 3
+    increments.write_touched(rows, touched, path, parts)
+    stored = read_table(spark, path, spark.createDataFrame([], schema).schema)
+    assert sorted((r["id"], r["v"], r["year"], r["region"]) for r in stored.collect()) == [
+        ("a", 1, 2000, None), ("b", 1, 2000, "n"), ("c", 2, 2000, None), ("y", 1, 2001, None), ("z", 2, 2001, None),
+    ]
+
+
+def test_files_of_one_partition_in_several_batches(spark):
+    root = fresh_folder(spark, "stream")
+    for i in range(3):
+        row = record(f"A{i}", f"Alpha {i}", "2000", i)
+        spark.createDataFrame([(json.dumps(row),)], "value string").coalesce(1).write.mode("append").text(f"{root}/in")
+    args = (spark, f"{root}/in", schemas.RAW_RECORD, f"{root}/out", f"{root}/state", processed.type_records)
+    with pytest.raises(ValueError, match="max_files"):
+        load_new_files(*args, max_files=1)
+    assert load_new_files(*args, max_files=1, merge_on=["country_code", "year"], latest_by=["ingestion_ts"]).rows == 3
+    assert read_table(spark, f"{root}/out", schemas.PROCESSED_GDP).count() == 3
+
+
+def test_old_snapshots_are_not_opened(spark):
+    path = fresh_folder(spark, "curated")
+    rows = spark.createDataFrame([("AAA", "Alpha", 2000, 1.0)], "country_code string, country_name string, year int, gdp_per_capita_usd double")
+    write_snapshot(rows, path, "20240101")
+    write_snapshot(rows, path, "20240201")
+    import glob
+
+    for file in glob.glob(f"{path.removeprefix('file:')}/year=2000/snapshot_date=20240101/*.parquet"):
+        with open(file, "wb") as broken:
+            broken.write(b"this is no data file")
+    got = tables.read_curated(spark, path).collect()
+    assert [(r["country_code"], r["snapshot_date"]) for r in got] == [("AAA", "20240201")]
+
+
+def test_rows_with_nested_maps_are_deduplicated(spark):
+    row = {"page_url": "u", "raw_table_json": {"page_url": "u", "headers": ["x"], "rows": [{"b": "1", "a": "2"}]}, "revid": 1}
+    raw = spark.createDataFrame([row, row | {"revid": 2}, row], schemas.RAW_TABLE)
+    assert [r["revid"] for r in processed.latest_page(raw).collect()] == [2]
+    names = spark.createDataFrame([("u", "label")], "page_url string, label string")
+    assert joins.lookup_join(raw, names, ["page_url"], max_bytes=0, hot_rows=1).where("label = 'label'").count() == 3
