@@ -132,6 +132,12 @@ def unmatched(left: DataFrame, right: DataFrame, keys: Sequence[str], measure: s
     return left.join(right.where(F.col(measure).isNotNull()).select(*keys), list(keys), "left_anti")
 
 
+def count_unmatched(left: DataFrame, right: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
+    """How many rows of the left have no measured partner, and how many there are."""
+    joined = left.select(*keys).join(right.select(*keys, measure), list(keys), "left")
+    return joined.agg(F.count_if(F.col(measure).isNull()).alias("missing"), F.count(F.lit(1)).alias("pairs"))
+
+
 def not_seen(new: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key was not seen before. A NULL key counts as new.
 

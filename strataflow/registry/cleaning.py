@@ -14,6 +14,7 @@ from strataflow.functions.parsing import (
     parse_year,
 )
 from strataflow.functions.text import clean_cell, name_key
+from strataflow.operators.dedup import distinct_years
 from strataflow.operators.joins import map_keys
 from strataflow.operators.project import align, drop_blank
 from strataflow.operators.reshape import long_to_wide, unnest_rows, wide_to_long, zip_cells
@@ -143,11 +144,13 @@ def schema_align(spark, sf):
 @query(
     "unpivot_years",
     f"""WITH {ENV_SQL}
-SELECT country_code, CAST(year AS INTEGER) AS year, co2_tons_per_capita FROM env WHERE year IN (1998, 2000)""",
+SELECT country_code, CAST(year AS INTEGER) AS year, co2_tons_per_capita FROM env""",
 )
 def unpivot_years(spark, sf):
-    columns = {"first": 1998, "second": 2000}
-    wide = long_to_wide(env(spark, sf), ["country_code"], columns, value="co2_tons_per_capita")
+    """All years to columns, one each, and back."""
+    long = settle(env(spark, sf))
+    columns = {f"y{row['year']}": row["year"] for row in distinct_years(long).collect()}
+    wide = long_to_wide(long, ["country_code"], columns, value="co2_tons_per_capita")
     return wide_to_long(wide, ["country_code"], columns, value="co2_tons_per_capita")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strataflow.functions.text import fixed_point
 from strataflow.operators.dedup import distinct_years, first_per_key, last_per_key
-from strataflow.operators.joins import unmatched
+from strataflow.operators.joins import count_unmatched, lookup_join, unmatched
 from strataflow.operators.project import drop_null, keep_expected, union_all, year_between
 from strataflow.operators.stats import correlation, fit_line, linear_fit, residual_outliers, top_n, top_rows
 from strataflow.plans.analytics import HIGHEST, LOWEST, NAME, RATIO, X, Y, correlation_summary, regression
@@ -14,12 +14,10 @@ from strataflow.registry import query
 from strataflow.session import settle
 from strataflow.registry.inputs import (
     CURATED_SQL,
-    ECON_SQL,
-    ENV_SQL,
     PART_SQL,
-    econ,
-    env,
     nation_years,
+    part_prices,
+    part_returns,
     part_years,
     table,
 )
@@ -50,23 +48,22 @@ def part_year_curated(spark, sf):
 
 @query(
     "missing_pairs",
-    f"""WITH {ECON_SQL}, {ENV_SQL}
-SELECT country_code, country_name, year FROM econ e WHERE NOT EXISTS (
-  SELECT 1 FROM env v WHERE v.country_code = e.country_code AND v.year = e.year)""",
+    f"""WITH {PART_SQL}
+SELECT country_code, year FROM prices p WHERE NOT EXISTS (
+  SELECT 1 FROM returned r WHERE r.country_code = p.country_code AND r.year = p.year)""",
 )
 def missing_pairs(spark, sf):
-    return unmatched(econ(spark, sf), env(spark, sf), KEYS, Y).select("country_code", "country_name", "year")
+    return unmatched(part_prices(spark, sf), part_returns(spark, sf), KEYS, Y).select(*KEYS)
 
 
 @query(
     "missing_pair_count",
-    f"""WITH {ECON_SQL}, {ENV_SQL}
-SELECT count(*) FILTER (WHERE v.co2_tons_per_capita IS NULL) AS missing, count(*) AS pairs
-FROM econ e LEFT JOIN env v ON v.country_code = e.country_code AND v.year = e.year""",
+    f"""WITH {PART_SQL}
+SELECT count(*) FILTER (WHERE r.co2_tons_per_capita IS NULL) AS missing, count(*) AS pairs
+FROM prices p LEFT JOIN returned r ON r.country_code = p.country_code AND r.year = p.year""",
 )
 def missing_pair_count(spark, sf):
-    joined = econ(spark, sf).join(env(spark, sf), KEYS, "left")
-    return joined.agg(F.count_if(F.col(Y).isNull()).alias("missing"), F.count(F.lit(1)).alias("pairs"))
+    return count_unmatched(part_prices(spark, sf), part_returns(spark, sf), KEYS, Y)
 
 
 @query(
@@ -308,3 +305,34 @@ def union_by_name(spark, sf):
 def topk_global(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     return top_rows(orders, [F.desc("o_totalprice"), "o_orderkey"], 100)
+
+
+_CHATS_SQL = """chats AS (
+  SELECT conv_id % 97 AS k, turn, role, conv_id, row_number() OVER (
+    PARTITION BY conv_id % 97 ORDER BY turn DESC, conv_id DESC, role) AS p FROM conversations)"""
+
+
+@query("dedup_nested", f"WITH {_CHATS_SQL} SELECT k, conv_id, turn, role FROM chats WHERE p = 1")
+def dedup_nested(spark, sf):
+    """Rows that hold maps inside an array inside a struct, the last of each key."""
+    chats = table(spark, sf, "conversations").select(
+        (F.col("conv_id") % 97).alias("k"),
+        "turn",
+        "conv_id",
+        F.struct(F.array(F.create_map(F.lit("role"), F.col("role"))).alias("turns")).alias("nested"),
+    )
+    rows = last_per_key(chats, ["k"], ["turn", "conv_id"])
+    return rows.select("k", "conv_id", "turn", F.col("nested.turns")[0]["role"].alias("role"))
+
+
+@query(
+    "salted_lookup",
+    """SELECT l_orderkey, l_linenumber, l_returnflag, n FROM lineitem JOIN (
+  SELECT l_returnflag AS f, count(*) AS n FROM lineitem GROUP BY 1) ON l_returnflag = f""",
+)
+def salted_lookup(spark, sf):
+    """A shuffled join on a key of three values, every one of them hot."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    flags = lines.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+    joined = lookup_join(lines, settle(flags), ["l_returnflag"], "inner", max_bytes=0, hot_rows=1000)
+    return joined.select("l_orderkey", "l_linenumber", "l_returnflag", "n")

@@ -46,10 +46,9 @@ def econ(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def env(spark: SparkSession, sf: str) -> DataFrame:
-    """Quantity shipped per nation and year from 1997 on, as the CO2 side."""
+    """Quantity shipped per nation and year, as the CO2 side."""
     per_supplier = (
         table(spark, sf, "lineitem")
-        .where(F.col("l_shipdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
         .groupBy("l_suppkey", F.year("l_shipdate").alias(YEAR))
         .agg(F.sum("l_quantity").alias("total"))
     )
@@ -68,21 +67,25 @@ def nation_years(spark: SparkSession, sf: str) -> DataFrame:
     return curate(econ(spark, sf), env(spark, sf), run_id=RUN_ID, snapshot_ts=SNAPSHOT_TS)
 
 
-def part_years(spark: SparkSession, sf: str) -> DataFrame:
-    """Curated rows at the grain (part, year): mean price against quantity returned."""
+def part_prices(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean price per part and year."""
+    price = F.col("l_extendedprice").cast("decimal(15,2)")
     lines = table(spark, sf, "lineitem").select(
-        F.col("l_partkey").cast("string").alias(CODE),
-        F.year("l_shipdate").alias(YEAR),
-        F.col("l_extendedprice").cast("decimal(15,2)").alias("price"),
-        "l_quantity",
-        "l_returnflag",
-    )
-    prices = lines.groupBy(CODE, YEAR).agg(
-        (F.sum("price").cast("double") / F.count(F.lit(1))).alias("gdp_per_capita_usd")
-    )
-    returned = lines.where(F.col("l_returnflag") == "R").groupBy(CODE, YEAR).agg(
-        F.sum("l_quantity").alias("co2_tons_per_capita")
+        F.col("l_partkey").cast("string").alias(CODE), F.year("l_shipdate").alias(YEAR), price.alias("price")
     )
+    return lines.groupBy(CODE, YEAR).agg((F.sum("price").cast("double") / F.count(F.lit(1))).alias("gdp_per_capita_usd"))
+
+
+def part_returns(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantity returned per part and year; not every part has one in every year."""
+    lines = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R")
+    keyed = lines.select(F.col("l_partkey").cast("string").alias(CODE), F.year("l_shipdate").alias(YEAR), "l_quantity")
+    return keyed.groupBy(CODE, YEAR).agg(F.sum("l_quantity").alias("co2_tons_per_capita"))
+
+
+def part_years(spark: SparkSession, sf: str) -> DataFrame:
+    """Curated rows at the grain (part, year): mean price against quantity returned."""
+    prices, returned = part_prices(spark, sf), part_returns(spark, sf)
     named = prices.withColumn("country_name", F.concat(F.lit("part "), CODE))
     return curate(named, returned, run_id=RUN_ID, snapshot_ts=SNAPSHOT_TS)
 
@@ -97,8 +100,7 @@ ECON_SQL = """econ AS (
 ENV_SQL = """env AS (
   SELECT CAST(s_nationkey AS VARCHAR) AS country_code, CAST(year(l_shipdate) AS INTEGER) AS year,
          sum(l_quantity) AS co2_tons_per_capita
-  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-  WHERE l_shipdate >= TIMESTAMP '1997-01-01' GROUP BY 1, 2)"""
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2)"""
 
 CURATED_SQL = f"""{ECON_SQL}, {ENV_SQL}, curated AS (
   SELECT e.country_code, e.country_name, e.year, e.gdp_per_capita_usd, v.co2_tons_per_capita,

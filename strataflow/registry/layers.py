@@ -9,20 +9,22 @@ from pyspark.sql import functions as F
 from strataflow import schemas
 from strataflow.functions.text import partition_value
 from strataflow.operators.project import union_all, with_audit
-from strataflow.plans import defaults
-from strataflow.plans.analytics import build_correlation_summary
+from strataflow.plans.analytics import build_correlation_summary, build_regression
 from strataflow.plans.full_run import run_layers
+from strataflow.plans.ingest import ingest_pages
+from strataflow.plans.ledger import RunLedger
 from strataflow.plans.mapping import build_mapping, default_overrides
 from strataflow.plans.processed import type_records, type_table_rows
 from strataflow.registry import query
 from strataflow.registry.cleaning import DEFAULT_OVERRIDE_ROWS
 from strataflow.registry.facts import SUMMARY_YEARS, summary_sql
 from strataflow.registry.inputs import CURATED_SQL, ECON_SQL, ENV_SQL, econ, env, nation_years, table
+from strataflow.operators.dedup import distinct_years
 from strataflow.operators.html_tables import page_tables
 from strataflow.operators.reshape import long_to_wide
 from strataflow.session import fresh_folder, settle
 from strataflow.sinks.tables import overwrite_partitions, replace_table, write_raw, write_snapshot
-from strataflow.sources.landed import read_envelopes, read_json_lines
+from strataflow.sources.landed import read_envelopes, read_json_lines, read_overrides
 from strataflow.sources.tables import (
     for_years,
     list_files,
@@ -165,11 +167,14 @@ def _write_raw_orders(spark, sf) -> str:
 
 @query(
     "raw_round_trip",
-    """SELECT country.value AS name, date, value, ingestion_run_id, raw_file_path, length(record_hash) AS hash_length FROM (
-  SELECT {'value': 'Order ' || o_orderkey} AS country,
-         CASE WHEN o_orderstatus = 'P' THEN 'n.d.' ELSE CAST(year(o_orderdate) AS VARCHAR) END AS date,
-         CASE WHEN o_orderpriority = '2-HIGH' THEN NULL ELSE o_totalprice END AS value,
-         'run-1' AS ingestion_run_id, 'raw/run-1' AS raw_file_path, sha1('x') AS record_hash FROM orders)""",
+    """WITH parts AS (
+  SELECT *, CASE WHEN o_orderstatus = 'P' THEN 'n.d.' ELSE CAST(year(o_orderdate) AS VARCHAR) END AS date,
+    CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE CAST(o_orderkey AS VARCHAR) END AS code,
+    CASE WHEN o_orderpriority = '2-HIGH' THEN 'bad' ELSE CAST(o_totalprice AS VARCHAR) END AS value FROM orders)
+SELECT 'Order ' || o_orderkey AS name, date, TRY_CAST(value AS DOUBLE) AS value, 'run-1' AS ingestion_run_id,
+  'raw/run-1' AS raw_file_path, sha1('{"country":{"id":"' || o_orderstatus || '","value":"Order ' || o_orderkey
+  || '"},"countryiso3code":"' || code || '","date":"' || date || '","indicator":{"id":"I1","value":"price"},"value":"' || value || '"}') AS record_hash
+FROM parts""",
 )
 def raw_round_trip(spark, sf):
     raw = read_json_lines(spark, _write_raw_orders(spark, sf), schemas.RAW_RECORD)
@@ -179,7 +184,7 @@ def raw_round_trip(spark, sf):
         F.col("value").try_cast("double").alias("value"),
         "ingestion_run_id",
         "raw_file_path",
-        F.length("record_hash").alias("hash_length"),
+        "record_hash",
     )
 
 
@@ -201,45 +206,47 @@ def records_to_table(spark, sf):
     )
 
 
-_EARLY, _LATE = 1998, 2001
-
-
-def nation_pages(spark, sf):
-    """One page per nation, its table holding the values of two years."""
-    wide = long_to_wide(env(spark, sf), ["country_code"], {"early": _EARLY, "late": _LATE}, value="co2_tons_per_capita")
+def nation_pages(spark, sf, values=None):
+    """One page per nation, its table holding one column per year; and the years by header."""
+    long = settle(env(spark, sf) if values is None else values)
+    years = [row["year"] for row in distinct_years(long).collect()]
+    columns = {f"y{year}": year for year in years}
+    wide = long_to_wide(long, ["country_code"], columns, value="co2_tons_per_capita")
     names = table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("country_code"), "n_name")
-    cell = lambda name: F.coalesce(F.format_number(name, 1), F.lit("–"))
+    cells = [F.concat(F.lit("<td>"), F.coalesce(F.format_number(c, 1), F.lit("–")), F.lit("</td>")) for c in columns]
+    heads = "".join(f"<th>Value {year}</th>" for year in years)
     html = F.concat(
-        F.lit('<table class="wikitable"><caption>CO2</caption><tr><th>Location</th>'),
-        F.lit("<th>Emissions per capita (tons per year)</th><th>% change from 2000</th></tr>"),
-        F.lit("<tr><td><a href='#'>"), F.lower("n_name"), F.lit("</a>[a]</td><td>"), cell("late"),
-        F.lit("</td><td>"), cell("early"), F.lit("</td></tr><tr><td></td><td>7</td><td>8</td></tr></table>"),
+        F.lit(f'<table class="wikitable"><caption>CO2</caption><tr><th>Location</th>{heads}</tr>'),
+        F.lit("<tr><td><a href='#'>"), F.lower("n_name"), F.lit("</a>[a]</td>"), *cells,
+        F.lit("</tr><tr><td></td>" + "<td>7</td>" * len(years) + "</tr></table>"),
     )
-    return names.join(wide, "country_code", "left").select(
+    pages = names.join(wide, "country_code", "left").select(
         F.col("country_code").cast("bigint").alias("pageid"),
         F.concat(F.lit("https://example.org/wiki/"), "n_name").alias("url"),
         html.alias("html"),
         F.lit(1).cast("bigint").alias("revid"),
         F.lit("2024-01-01T00:00:00Z").alias("rev_timestamp"),
     )
+    return pages, {f"Value {year}": year for year in years}
 
 
 @query(
     "tables_to_long",
     f"""WITH {ECON_SQL}, {ENV_SQL}, names AS (SELECT DISTINCT country_code, country_name FROM econ)
 SELECT replace(lower(n.country_name), '_', ' ') AS country_name_normalized, n.country_code, n.country_name,
-  CAST(CASE v.year WHEN {_EARLY} THEN 2000 ELSE 2023 END AS INTEGER) AS year, v.co2_tons_per_capita
-FROM names n JOIN env v ON n.country_code = v.country_code WHERE v.year IN ({_EARLY}, {_LATE})""",
+  v.year, v.co2_tons_per_capita
+FROM names n JOIN env v ON n.country_code = v.country_code""",
 )
 def tables_to_long(spark, sf):
-    raw = page_tables(nation_pages(spark, sf)).select(
+    pages, headers = nation_pages(spark, sf)
+    raw = page_tables(pages).select(
         F.lit("run-1").alias("ingestion_run_id"),
         F.lit("2024-01-01T00:00:00Z").alias("ingestion_ts"),
         F.lit("").alias("data_source"),
         F.struct(F.col("url").alias("page_url"), "headers", "rows").alias("raw_table_json"),
     )
     mapping = settle(build_mapping(econ(spark, sf), default_overrides(spark)))
-    long = type_table_rows(raw, mapping)
+    long = type_table_rows(raw, mapping, values=headers)
     return long.select("country_name_normalized", "country_code", "country_name", "year", "co2_tons_per_capita")
 
 
@@ -269,29 +276,134 @@ def summary_report(spark, sf):
     return stored.withColumn("pearson_correlation_gdp_co2", F.round("pearson_correlation_gdp_co2", 6)).fillna("")
 
 
-@query(
-    "layered_run",
-    f"""WITH {ECON_SQL}, {ENV_SQL}
-SELECT e.country_code, e.country_name, CAST(CASE e.year WHEN {_EARLY} THEN 2000 ELSE 2023 END AS INTEGER) AS year,
-  e.gdp_per_capita_usd, v.co2_tons_per_capita
-FROM econ e JOIN env v ON e.country_code = v.country_code AND e.year = v.year WHERE e.year IN ({_EARLY}, {_LATE})""",
-)
-def layered_run(spark, sf):
-    """All layers over landed files: API pages of the GDP side and HTML pages of the CO2 side."""
-    root, landed = fresh_folder(spark, "layers"), fresh_folder(spark, "landed")
-    year = F.when(F.col("year") == _EARLY, F.lit("2000")).when(F.col("year") == _LATE, F.lit("2023"))
+def _landed_envelopes(spark, sf):
+    landed = fresh_folder(spark, "landed")
     record = F.struct(
         F.struct(F.lit("I1").alias("id"), F.lit("GDP").alias("value")).alias("indicator"),
         F.struct(F.lit("C").alias("id"), F.col("country_name").alias("value")).alias("country"),
         F.col("country_code").alias("countryiso3code"),
-        year.alias("date"),
+        F.col("year").cast("string").alias("date"),
         F.col("gdp_per_capita_usd").alias("value"),
     )
     body = F.concat(F.lit('[{"page":1},'), F.to_json(F.array(record)), F.lit("]"))
     econ(spark, sf).select(body.alias("value")).write.text(landed)
-    envelopes = read_envelopes(spark, landed, per_line=True)
+    return read_envelopes(spark, landed, per_line=True)
+
+
+@query(
+    "layered_run",
+    f"""WITH {ECON_SQL}, {ENV_SQL}
+SELECT e.country_code, e.country_name, e.year, e.gdp_per_capita_usd, v.co2_tons_per_capita
+FROM econ e JOIN env v ON e.country_code = v.country_code AND e.year = v.year""",
+)
+def layered_run(spark, sf):
+    """All layers over landed files: API pages of the GDP side and HTML pages of the CO2 side."""
+    root = fresh_folder(spark, "layers")
+    pages, headers = nation_pages(spark, sf)
     run_layers(
-        spark, envelopes, nation_pages(spark, sf), root, skip_empty_fit=True, now=datetime(2024, 1, 1, tzinfo=timezone.utc)
-    )
-    curated = read_curated(spark, f"{root}/curated/country_year", defaults.REPORT_YEARS)
+        spark, _landed_envelopes(spark, sf), pages, root, skip_empty_fit=True, page_values=headers,
+        now=datetime(2024, 1, 1, tzinfo=timezone.utc),
+    )
+    curated = read_curated(spark, f"{root}/curated/country_year")
     return curated.select("country_code", "country_name", "year", "gdp_per_capita_usd", "co2_tons_per_capita")
+
+
+@query(
+    "layered_rerun",
+    f"""WITH {ECON_SQL}, {ENV_SQL}
+SELECT v.country_code, v.year, CASE WHEN CAST(v.country_code AS INTEGER) % 5 = 0 THEN v.co2_tons_per_capita + 1
+  ELSE v.co2_tons_per_capita END AS co2_tons_per_capita
+FROM env v JOIN econ e ON e.country_code = v.country_code AND e.year = v.year
+WHERE NOT (CAST(v.country_code AS INTEGER) % 5 = 0 AND v.year > 1998)""",
+)
+def layered_rerun(spark, sf):
+    """A second run in which each fifth page is revised and has lost its years after 1998."""
+    root, envelopes = fresh_folder(spark, "layers"), _landed_envelopes(spark, sf)
+    long = settle(env(spark, sf))
+    pages, headers = nation_pages(spark, sf, long)
+    fifth = F.col("country_code").cast("int") % 5 == 0
+    revised = long.where(~fifth | (F.col("year") <= 1998)).withColumn(
+        "co2_tons_per_capita", F.col("co2_tons_per_capita") + F.when(fifth, 1).otherwise(0)
+    )
+    newer, _ = nation_pages(spark, sf, revised)
+    later = newer.withColumn("revid", F.when(F.col("pageid") % 5 == 0, F.lit(2)).otherwise(F.col("revid")).cast("bigint"))
+    for day, frame in ((1, pages), (2, later)):
+        run_layers(
+            spark, envelopes, frame, root, skip_empty_fit=True, page_values=headers,
+            now=datetime(2024, 1, day, tzinfo=timezone.utc),
+        )
+    # What is typed now; older snapshots of the curated table keep what they had.
+    stored = read_table(spark, f"{root}/processed/co2", schemas.PROCESSED_CO2)
+    return stored.select("country_code", "year", "co2_tons_per_capita")
+
+
+def _ingested_pages(spark, sf) -> tuple[str, RunLedger]:
+    """Pages without a table where the nation's key is odd."""
+    root = fresh_folder(spark, "pages")
+    pages, _ = nation_pages(spark, sf)
+    broken = pages.withColumn("html", F.when(F.col("pageid") % 2 == 1, F.lit("<p>moved</p>")).otherwise(F.col("html")))
+    ledger = RunLedger(spark, f"{root}/metadata")
+    ingest_pages(broken, f"{root}/raw", ledger, rejects=f"{root}/rejects")
+    return root, ledger
+
+
+@query(
+    "page_rejects",
+    """SELECT 'https://example.org/wiki/' || n_name AS url, CAST(1 AS BIGINT) AS revid,
+  'no table with a header and rows' AS reason FROM nation WHERE n_nationkey % 2 = 1""",
+)
+def page_rejects(spark, sf):
+    root, _ = _ingested_pages(spark, sf)
+    return spark.read.parquet(f"{root}/rejects").select("url", "revid", "reason")
+
+
+@query(
+    "page_marks",
+    "SELECT 'https://example.org/wiki/' || n_name AS url, '1' AS value FROM nation WHERE n_nationkey % 2 = 0",
+)
+def page_marks(spark, sf):
+    _, ledger = _ingested_pages(spark, sf)
+    return ledger.checkpoints().select(F.regexp_replace("source", "^[^:]*:", "").alias("url"), "value")
+
+
+_REPORT_YEAR = 1998
+
+
+@query(
+    "regression_report",
+    f"""WITH {CURATED_SQL}, one AS (SELECT * FROM curated WHERE year = {_REPORT_YEAR}), fit AS (
+  SELECT regr_slope(co2_tons_per_capita, gdp_per_capita_usd) AS slope, regr_intercept(co2_tons_per_capita, gdp_per_capita_usd) AS intercept,
+    corr(co2_tons_per_capita, gdp_per_capita_usd) AS r, count(*) AS n, min(gdp_per_capita_usd) AS lo, max(gdp_per_capita_usd) AS hi FROM one)
+SELECT 'fit' AS part, 'line' AS label, round(slope, 8) AS a, round(intercept, 4) AS b, round(r * r, 6) AS c FROM fit
+UNION ALL SELECT 'points', country_code, round(gdp_per_capita_usd, 4), round(co2_tons_per_capita, 4),
+  round(co2_tons_per_capita - slope * gdp_per_capita_usd - intercept, 4) FROM one, fit
+UNION ALL SELECT 'line', CAST(i AS VARCHAR), round(x, 4), round(slope * x + intercept, 4), NULL FROM (
+  SELECT i, slope, intercept, CASE WHEN i = 199 THEN hi ELSE lo + i * ((hi - lo) / 199) END AS x FROM fit, range(200) t(i))""",
+)
+def regression_report(spark, sf):
+    """The stored regression of one year, all three tables read back."""
+    path = fresh_folder(spark, "curated")
+    write_snapshot(nation_years(spark, sf), path, OLD)
+    paths = build_regression(spark, path, fresh_folder(spark, "analytics"), _REPORT_YEAR)
+    part = lambda name, label, a, b, c: spark.read.parquet(paths[name]).select(
+        F.lit(name).alias("part"), label.alias("label"), a.alias("a"), b.alias("b"), c.alias("c")
+    )
+    nothing = F.lit(None).cast("double")
+    fit = part("fit", F.lit("line"), F.round("slope", 8), F.round("intercept", 4), F.round("r2", 6))
+    points = part("points", F.col("country_code"), F.round("x", 4), F.round("y", 4), F.round("residual", 4))
+    line = part("line", F.col("i").cast("string"), F.round("x_line", 4), F.round("y_line", 4), nothing)
+    return union_all([fit, points, line])
+
+
+@query(
+    "override_file",
+    "SELECT lower(n_name) AS country_name_normalized, 'N' || n_nationkey AS country_code, n_name || ', the land' AS country_name FROM nation",
+)
+def override_file(spark, sf):
+    """The override file as it is on disk: a header, and names with commas that need no quotes."""
+    path = fresh_folder(spark, "overrides")
+    name = F.concat(F.col("n_name"), F.lit(", the land"))
+    line = F.concat_ws(",", F.lower("n_name"), F.concat(F.lit("N"), F.col("n_nationkey")), F.when(F.col("n_nationkey") % 2 == 0, name).otherwise(F.concat(F.lit('"'), name, F.lit('"'))))
+    header = spark.range(1).select(F.lit(",".join(schemas.OVERRIDES.fieldNames())).alias("value"))
+    header.unionByName(table(spark, sf, "nation").select(line.alias("value"))).coalesce(1).write.text(path)
+    return read_overrides(spark, path)

@@ -11,7 +11,8 @@ from strataflow.registry import query
 from strataflow.registry.inputs import table
 from strataflow.session import fresh_folder
 from strataflow.sources.landed import read_envelopes
-from strataflow.streaming.increments import load_new_files
+from strataflow.sinks.tables import overwrite_partitions
+from strataflow.streaming.increments import load_new_files, merge_partitions, write_touched
 
 
 @query(
@@ -177,3 +178,28 @@ def stream_merge_files(spark, sf):
     events = table(spark, sf, "events").select(_EVENT_COLUMNS)
     revised = events.where(F.col("value") < 10).withColumn("value", F.col("value") + 1)
     return _stream_events(spark, sf, [events, revised], merge_on=["event_id"], latest_by=["value"])
+
+
+@query("stream_split_partitions", "SELECT event_id, user_id, event_type, value, props FROM events")
+def stream_split_partitions(spark, sf):
+    """Files read one a batch, each of them with rows of every partition."""
+    events = table(spark, sf, "events").select(_EVENT_COLUMNS)
+    thirds = [events.where(F.col("event_id") % 3 == i) for i in range(3)]
+    return _stream_events(spark, sf, thirds, merge_on=["event_id"], latest_by=["value"], max_files=1)
+
+
+@query(
+    "merge_null_partition",
+    """SELECT event_id, event_type, CASE WHEN user_id % 2 = 0 THEN 'even' END AS side,
+  CASE WHEN event_id % 10 = 0 THEN value + 1 ELSE value END AS value FROM events""",
+)
+def merge_null_partition(spark, sf):
+    """A merge into partitions of which half have NULL as their second value."""
+    path, parts = fresh_folder(spark, "merged"), ["event_type", "side"]
+    side = F.when(F.col("user_id") % 2 == 0, F.lit("even")).alias("side")
+    events = table(spark, sf, "events").select("event_id", "value", "event_type", side)
+    overwrite_partitions(events, path, parts)
+    revised = events.where(F.col("event_id") % 10 == 0).withColumn("value", F.col("value") + 1)
+    rows, touched = merge_partitions(revised, path, ["event_id"], ["value"], parts)
+    write_touched(rows, touched, path, parts)
+    return spark.read.schema(events.schema).parquet(path).select("event_id", "event_type", "side", "value")

@@ -9,7 +9,7 @@ from strataflow.operators.html_tables import element_texts, page_tables
 from strataflow.plans.ingest import changed_pages, table_snapshots
 from strataflow.registry import query
 from strataflow.registry.inputs import table
-from strataflow.sources.landed import revision_fields, unpack_envelope
+from strataflow.sources.landed import pages_with_revisions, read_pages, revision_fields, unpack_envelope
 
 # A reference may lack its semicolon before anything but a letter or digit.
 _TEXT_SQL = r"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
@@ -79,7 +79,10 @@ def html_table_pick(spark, sf):
     "page_snapshots",
     f"""WITH {_ITEMS_SQL}
 SELECT url AS page_url, page_id AS pageid, page_id * 10 AS revid, 'wikipedia_co2' AS data_source,
-       count(*) AS n_rows, CAST(3 AS INTEGER) AS n_headers, CAST(40 AS INTEGER) AS hash_length
+       count(*) AS n_rows, CAST(3 AS INTEGER) AS n_headers,
+       sha1('{{"headers":["Location","N 1","V"],"page_url":' || to_json(url) || ',"rows":[' || string_agg(
+         '{{"Location":' || coalesce(CAST(to_json(nullif(text, '')) AS VARCHAR), 'null') || ',"N 1":null,"V":"1,5"}}', ',' ORDER BY pos)
+         || ']}}') AS record_hash
 FROM texts GROUP BY url, page_id""",
 )
 def page_snapshots(spark, sf):
@@ -98,7 +101,7 @@ def page_snapshots(spark, sf):
         "data_source",
         F.size("raw_table_json.rows").cast("bigint").alias("n_rows"),
         F.size("raw_table_json.headers").alias("n_headers"),
-        F.length("record_hash").alias("hash_length"),
+        "record_hash",
     )
 
 
@@ -173,3 +176,20 @@ def revision_of_pages(spark, sf):
     page = F.struct(F.col("page_id").alias("pageid"), revision.alias("revisions"))
     response = F.to_json(F.struct(F.struct(F.array(page).alias("pages")).alias("query")))
     return table(spark, sf, "pages").select(F.col("page_id").alias("key"), *revision_fields(response))
+
+
+@query(
+    "pages_with_revisions",
+    """SELECT p.page_id, p.url, length(p.html) AS html_length, CAST(length(p.url) AS BIGINT) AS pageid,
+  CASE WHEN p.url LIKE '%/en/%' THEN CAST(length(p.url) * 10 AS BIGINT) END AS revid FROM pages p""",
+)
+def revised_pages(spark, sf):
+    """Stored pages joined with their landed revision responses; some have no revision."""
+    pages = read_pages(spark, f"{sf.rstrip('/')}/pages.parquet")
+    size = F.length("url").cast("bigint")
+    revision = F.when(F.col("url").like("%/en/%"), F.array(F.struct((size * 10).alias("revid")))).otherwise(F.array())
+    page = F.struct(size.alias("pageid"), revision.alias("revisions"))
+    body = F.to_json(F.struct(F.struct(F.array(page).alias("pages")).alias("query")))
+    responses = pages.select("url").distinct().select("url", body.alias("body"))
+    joined = pages_with_revisions(pages, responses)
+    return joined.select("page_id", "url", F.length("html").cast("bigint").alias("html_length"), "pageid", "revid")

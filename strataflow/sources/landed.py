@@ -63,6 +63,15 @@ def revision_fields(body: Column | str) -> list[Column]:
     ]
 
 
+def pages_with_revisions(pages: DataFrame, responses: DataFrame) -> DataFrame:
+    """Stored pages as the page ingest takes them: each with the revision of its landed response.
+
+    ``responses`` has (url, body), one a URL. A page without a response has no revision.
+    """
+    revisions = responses.select("url", *revision_fields("body"))
+    return pages.join(revisions, "url", "left")
+
+
 def parse_overrides(lines: DataFrame, value: str = "value") -> DataFrame:
     """Rows of ``key,code,name`` text lines; the name may hold commas and need not be quoted."""
     parts = F.split(F.col(value), ",", 3)
