@@ -29,6 +29,8 @@ def _fold_table() -> tuple[str, str, dict[str, str]]:
         if 0xD800 <= point <= 0xDFFF:
             continue
         char = chr(point)
+        if not unicodedata.decomposition(char) and not unicodedata.combining(char):
+            continue
         base = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
         if not base:
             gone.append(char)

@@ -145,12 +145,16 @@ def absent_table_union(spark, sf):
 def _raw_orders(spark, sf):
     """One API-style record per order, with the gaps the typed table must deal with."""
     status = F.col("o_orderstatus")
+    code = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("")).otherwise(F.col("o_orderkey").cast("string"))
+    date = F.when(status == "P", F.lit("n.d.")).otherwise(F.year("o_orderdate").cast("string"))
+    value = F.when(F.col("o_orderpriority") == "2-HIGH", F.lit("bad")).otherwise(F.col("o_totalprice").cast("string"))
+    # Fields in name order, so that the JSON text is canonical as it is.
     payload = F.struct(
-        F.struct(F.lit("I1").alias("id"), F.lit("price").alias("value")).alias("indicator"),
         F.struct(status.alias("id"), F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")).alias("value")).alias("country"),
-        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("")).otherwise(F.col("o_orderkey").cast("string")).alias("countryiso3code"),
-        F.when(status == "P", F.lit("n.d.")).otherwise(F.year("o_orderdate").cast("string")).alias("date"),
-        F.when(F.col("o_orderpriority") == "2-HIGH", F.lit("bad")).otherwise(F.col("o_totalprice").cast("string")).alias("value"),
+        code.alias("countryiso3code"),
+        date.alias("date"),
+        F.struct(F.lit("I1").alias("id"), F.lit("price").alias("value")).alias("indicator"),
+        value.alias("value"),
     )
     return table(spark, sf, "orders").select(F.to_json(payload).alias("payload"), payload.alias("record")).select("record.*", "payload")
 
@@ -159,7 +163,7 @@ def _write_raw_orders(spark, sf) -> str:
     path = fresh_folder(spark, "raw")
     audited = with_audit(
         _raw_orders(spark, sf), "payload", run_id="run-1", ingestion_ts="2024-01-01T00:00:00+00:00",
-        data_source="", location="raw/run-1",
+        data_source="", location="raw/run-1", canonical=True,
     )
     write_raw(audited.drop("payload"), path)
     return path
