@@ -67,7 +67,7 @@ def settle(df: DataFrame) -> DataFrame:
     writes the final result can ``discard`` the table then.
     """
     path = fresh_folder(df.sparkSession, SETTLED)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
