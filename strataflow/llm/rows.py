@@ -20,7 +20,9 @@ def number_rows(df: DataFrame, order: Sequence[Column | str], number: str) -> tu
     (one row a partition) give the number of its first row. A tie-break from the
     row's place in the input spreads rows equal in every order column over
     partitions, so a repeated row can fill more than one task. The sorted rows are
-    settled, so that all later steps see one and the same order.
+    settled, so that all later steps see one and the same order. ``df`` should be a scan
+    or a settled table with row-local expressions: then a retried task reads its rows in
+    the same order and repeats its tie-breaks.
     """
     tie, at, part = f"{number}_tie", f"{number}_at", f"{number}_part"
     keys = [F.col(o) if isinstance(o, str) else o for o in order] + [F.col(tie)]
