@@ -11,7 +11,8 @@ pieces are never read out of a text.
 
 The pieces come from a vocabulary file whose path is a parameter; it is read on the
 driver and shipped (a vocabulary is of fixed size). Counts of words are kept in each
-worker in a table of bounded size, as the same words come again and again.
+worker in a table of bounded size, as the same words come again and again. A word of any
+length takes memory for the longest piece alone.
 
 Defined cases: NULL and empty texts and those of white space have 0 tokens; a text of
 any length is counted whole; repeated rows are rows; an empty table gives no rows;
@@ -34,6 +35,7 @@ MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Words whose counts a worker keeps, and the longest such word.
 CACHE_WORDS, CACHE_LENGTH = 500_000, 48
+_NO_MORE = (-1, (0, 0.0))
 #: Characters with the Unicode property White_Space.
 SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 
@@ -56,33 +58,37 @@ class Counter:
             self.automaton.add_word(piece, (len(piece), score))
         if pieces:
             self.automaton.make_automaton()
+        self.longest = max((len(piece) for piece, _ in pieces), default=1)
         self.unknown = min((score for _, score in pieces), default=0.0) - UNKNOWN_PENALTY
         self.has_bytes = has_bytes
         self.kept: dict[str, int] = {}
 
     def count(self, text: str) -> int:
         """Tokens of one marked word."""
-        ends: list[list[tuple[int, float]]] = [[] for _ in text]
-        for end, piece in self.automaton.iter(text) if len(self.automaton) else ():
-            ends[end].append(piece)
-        scores, counts, loose = [0.0], [0], [False]  # loose: the way ends in an unknown character
-        for at, pieces in enumerate(ends):
+        # Only as many earlier places are kept as the longest piece reaches back.
+        span = self.longest + 1
+        scores, counts = [0.0] * span, [0] * span
+        loose = [False] * span  # the way ends in an unknown character
+        found = self.automaton.iter(text) if len(self.automaton) else iter(())
+        end, piece = next(found, _NO_MORE)
+        for at, char in enumerate(text):
             best, number, unknown, single = None, 0, False, False
-            for length, score in pieces:
-                start = at + 1 - length
+            while end == at:
+                length, score = piece
+                start = (at + 1 - length) % span
                 total = score + scores[start]
                 if best is None or total > best:
-                    best, number, unknown = total, counts[start] + 1, False
+                    best, number = total, counts[start] + 1
                 single = single or length == 1
+                end, piece = next(found, _NO_MORE)
+            here, there = at % span, (at + 1) % span
             if not single:
-                total = self.unknown + scores[at]
+                total = self.unknown + scores[here]
                 if best is None or total > best:
-                    more = len(text[at].encode("utf-8", "surrogatepass")) if self.has_bytes else not loose[at]
-                    best, number, unknown = total, counts[at] + more, True
-            scores.append(best)
-            counts.append(number)
-            loose.append(unknown)
-        return counts[-1]
+                    more = len(char.encode("utf-8", "surrogatepass")) if self.has_bytes else not loose[here]
+                    best, number, unknown = total, counts[here] + more, True
+            scores[there], counts[there], loose[there] = best, number, unknown
+        return counts[len(text) % span]
 
     def total(self, text: str | None) -> int:
         kept, out = self.kept, 0
