@@ -16,7 +16,8 @@ from alternating star contraction of the edges, each round a settled table.
 
 Defined cases: NULL text counts as empty; repeated rows and rows with equal ids are rows;
 ``component_id`` is the smallest doc_id in reach (NULLs are left out, and a component of
-NULLs alone has NULL); an empty table gives no rows; other columns are not looked at.
+NULLs alone has NULL); texts under one id that don't link are components of their own;
+an empty table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -231,7 +232,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def component_ids(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(fingerprint, component_id) of rows (doc_id, fingerprint), one row a distinct fingerprint."""
+    """(fingerprint, root, component_id) of rows (doc_id, fingerprint), one row a distinct fingerprint.
+
+    The root tells components apart even where they have no id or the same one.
+    """
     classes = settle(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first")))
     roots = components(near_links(classes, radius=radius))
     rooted = classes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn(
@@ -239,7 +243,7 @@ def component_ids(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
     )
     firsts = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     # A component's classes are rows of one key here: adaptive execution splits a large one.
-    return rooted.join(firsts, "root").select("fingerprint", "component_id")
+    return rooted.join(firsts, "root").select("fingerprint", "root", "component_id")
 
 
 def near_duplicates(documents: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -269,8 +273,6 @@ def drop_near_duplicates(documents: DataFrame, radius: int = RADIUS) -> DataFram
     )
     rows = packed.select("doc_id", "fingerprint", "row")
     named = rows.join(component_ids(rows.select("doc_id", "fingerprint"), radius), "fingerprint")
-    # Where a component has no id at all, its fingerprints stand for it.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id"), F.col("row")))
-    group = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("alone")]
-    stay = named.groupBy(*group).agg(first.alias("first")).select(F.col("first.row").alias("row"))
+    stay = named.groupBy("root").agg(first.alias("first")).select(F.col("first.row").alias("row"))
     return packed.join(stay, "row", "left_semi").select("document.*")

@@ -147,6 +147,23 @@ def test_near_duplicates_in_odd_rows(odd, nothing):
     assert near_duplicates(nothing).count() == 0 and drop_near_duplicates(nothing).count() == 0
 
 
+def test_groups_that_their_id_does_not_tell_apart(spark):
+    r = random.Random(8)
+    words = [str(r.random()) for _ in range(400)]
+    text = " ".join(words)
+    near = next(
+        other
+        for i in range(len(words))
+        if 1 <= ((fingerprint(text) ^ fingerprint(other := " ".join(words[:i] + ["x"] + words[i + 1 :]))) % 2**64).bit_count() <= 2
+    )
+    apart = " ".join(str(r.random()) for _ in range(400))
+    rows = [(None, text), (None, near), (7, apart), (7, "of another kind"), (8, apart)]
+    kept = drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    left = [(row["doc_id"], row["text"]) for row in kept]
+    assert len(left) == 3 and {(7, apart), (7, "of another kind")} < set(left)
+    assert sum(i is None for i, _ in left) == 1
+
+
 needs_vocabulary = pytest.mark.skipif(not os.path.exists(VOCABULARY), reason="no vocabulary file")
 
 
