@@ -1,4 +1,4 @@
-"""Row numbers that hold up when one key has a large part of the rows."""
+"""Row numbers and joins that hold up when one key has a large part of the rows."""
 
 from __future__ import annotations
 
@@ -36,3 +36,13 @@ def number_rows(df: DataFrame, order: Sequence[Column | str], number: str) -> tu
     in_part = F.col(at).bitwiseAND(F.lit((1 << _BITS) - 1))
     numbered = stored.withColumn(part, F.shiftright(at, _BITS)).join(F.broadcast(firsts), part)
     return numbered.withColumn(number, F.col("first") + in_part).drop(at, part, "first"), total
+
+
+def join_hot(many: DataFrame, one: DataFrame, keys: str | Sequence[str], how: str = "inner") -> DataFrame:
+    """``many`` joined to ``one``, which has one row a key at most.
+
+    Adaptive execution splits a hot key only where both sides come straight out of a
+    shuffle, which an aggregate or join on the same key does not. So ``one`` is settled
+    and shuffled anew; the hint keeps it from being repeated to every executor.
+    """
+    return many.join(settle(one).hint("merge"), keys, how)

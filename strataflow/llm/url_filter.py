@@ -6,7 +6,7 @@ The filter is a table of (block, words), built by one OR-aggregate and broadcast
 number of blocks has a fixed upper bound, whatever the list's length. A longer list
 means fuller blocks and more false hits, never another result: possible hits go to an
 exact hash join with the list. URLs are made distinct first, and the page rows then meet
-one row a URL at most, so adaptive execution may split the pages of a hot URL at will.
+one row a URL at most, so adaptive execution can split the pages of a hot URL.
 
 Defined cases: a NULL url, or one without ``://``, has empty host and path, fits no
 rule, is on no list and is allowed. Repeated rows are judged each. Empty tables, of
@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataflow.llm.rows import join_hot
 from strataflow.session import settle
 
 #: Fixed values of the contract: host, path, verdict.
@@ -126,7 +127,10 @@ def judge_urls(
     rows = read.withColumn("best", best_rule(F.col("host"), F.col("path"), rules))
     # Distinct URLs first: the page rows themselves only meet the hits.
     hits = on_list(rows.where(F.col("canonical").isNotNull()).select("canonical").distinct(), listed, "canonical", max_blocks)
-    judged = rows.join(hits.withColumn("hit", F.lit(True)), "canonical", "left")
+    # Rows without a canonical URL meet nothing; a number deals them out instead of the NULL.
+    dealt = F.when(F.col("canonical").isNull(), F.monotonically_increasing_id())
+    rows = rows.withColumn("deal", F.coalesce(dealt, F.lit(-1).cast("long")))
+    judged = join_hot(rows, hits.select("canonical", F.lit(-1).cast("long").alias("deal"), F.lit(True).alias("hit")), ["canonical", "deal"], "left")
     hit = F.coalesce("hit", F.lit(False))
     return judged.select(
         F.col("page.page_id").alias("page_id"),
