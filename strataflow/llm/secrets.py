@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strataflow.llm.rows import join_hot
 from strataflow.session import settle
 
 #: Fixed patterns of the contract. A shorter access or hex run can't be part of a longer one.
@@ -142,8 +143,7 @@ def find_secrets(
     candidates = some.select("row", "owner", "repository", F.explode(F.concat("base", "weak")).alias("span")).select(
         "row", "owner", "repository", "span", F.col("span.value").alias("value")
     )
-    # One row a value on the right; adaptive execution splits the left rows of a hot value.
-    told = candidates.join(ownership(candidates), "value")
+    told = join_hot(candidates, ownership(candidates), "value")
     live = F.col("owners") <= live_owners
     is_base = F.col("span.rank") <= KINDS.index("hex")
     # Only spans that become part of the result are gathered, and only those of one text.
