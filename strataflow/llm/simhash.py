@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from strataflow.llm.rows import join_hot
 from strataflow.session import settle
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -219,10 +220,10 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        down = large.where("a <> b").distinct()
+        large = join_hot(both.where("b > a"), least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        down = settle(large.where("a <> b").distinct())
         lowest = down.groupBy("a").agg(F.min("b").alias("least"))
-        small = down.join(lowest, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        small = join_hot(down, lowest, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         stars = small.unionByName(lowest.select("a", F.col("least").alias("b"))).where("a <> b").distinct()
         now = settle(stars)
         seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -242,8 +243,8 @@ def component_ids(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
         "root", F.coalesce("root", "fingerprint")
     )
     firsts = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    # A component's classes are rows of one key here: adaptive execution splits a large one.
-    return rooted.join(firsts, "root").select("fingerprint", "root", "component_id")
+    # A component's classes are rows of one key here.
+    return join_hot(rooted, firsts, "root").select("fingerprint", "root", "component_id")
 
 
 def near_duplicates(documents: DataFrame, radius: int = RADIUS) -> DataFrame:
