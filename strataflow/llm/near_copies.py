@@ -1,0 +1,143 @@
+"""Near copies: what SimHash links, and all texts alike on five-word shingles.
+
+Two texts are near copies if their sets of five-word shingles have a Jaccard index of
+0.8 or more. Such pairs are up to a dozen fingerprint bits apart, where a search by
+Hamming distance compares nearly all points with all. Candidates come from MinHash
+instead: a text has ``BANDS`` keys of ``ROWS`` minima each, and texts with a key in
+common are candidates; a pair at 0.8 has none with probability 0.0004, a closer one less.
+Each candidate link is verified on the texts themselves.
+
+Texts of one shingle set are taken once. In the first round each text of a bucket is
+compared with the bucket's first; in the second, texts of a bucket that are still in
+different components are compared pair by pair. So a large family of near copies is
+linked by as many comparisons as it has members, and no pair goes unseen that could
+join two components.
+
+Defined cases: as in ``simhash``; a text of fewer than five words is one shingle, and
+texts without words are copies of each other.
+"""
+
+from __future__ import annotations
+
+from functools import lru_cache
+
+import numpy as np
+import pandas as pd
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StructType
+
+from strataflow.llm.rows import join_hot
+from strataflow.llm.simhash import SEED, component_ids, components, fingerprints, first_rows
+from strataflow.session import settle
+
+SHINGLE = 5
+#: The least Jaccard index, as a fraction.
+ALIKE = (4, 5)
+BANDS, ROWS = 20, 5
+_AT_ONCE = 4096
+
+_draw = np.random.default_rng(SEED)
+_FLIP = _draw.integers(0, 2**64, (BANDS * ROWS, 1), np.uint64)
+_TIMES = _draw.integers(0, 2**64, (BANDS * ROWS, 1), np.uint64) | np.uint64(1)
+
+
+def shingle_set(text: str | None) -> np.ndarray:
+    """Sorted distinct hashes of the five-word shingles; words as in ``simhash``."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined = memoryview(b" ".join(words))
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    count = max(1, len(words) - SHINGLE + 1)
+    starts = np.concatenate(([0], ends[:-1] + 1))[:count].tolist()
+    stops = ends[len(words) - count :].tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops)), np.uint64, count))
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> bool:
+    if not len(a) or not len(b):
+        return len(a) == len(b)
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both * ALIKE[1] >= ALIKE[0] * (len(a) + len(b) - both)
+
+
+def band_keys(hashes: np.ndarray) -> list[int]:
+    if not len(hashes):
+        return []
+    least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
+    for at in range(0, len(hashes), _AT_ONCE):
+        np.minimum(least, ((hashes[at : at + _AT_ONCE] ^ _FLIP) * _TIMES).min(axis=1), out=least)
+    return [xxhash.xxh64_intdigest(band.tobytes()) - 2**63 for band in least.reshape(BANDS, ROWS)]
+
+
+@F.pandas_udf(StructType().add("content", LongType()).add("bands", ArrayType(LongType())))
+def signatures(text: pd.Series) -> pd.DataFrame:
+    sets = [shingle_set(t) for t in text]
+    return pd.DataFrame(
+        {"content": [xxhash.xxh64_intdigest(s.tobytes()) - 2**63 for s in sets], "bands": [band_keys(s) for s in sets]}
+    )
+
+
+@F.pandas_udf(BooleanType())
+def texts_alike(a: pd.Series, b: pd.Series) -> pd.Series:
+    # The text of a bucket's first comes many times in a row.
+    known = lru_cache(64)(shingle_set)
+    return pd.Series([alike(known(x), known(y)) for x, y in zip(a, b)], dtype="bool")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of row numbers whose texts are alike."""
+    asked = pairs.select(F.col("a").alias("row")).union(pairs.select(F.col("b").alias("row"))).distinct()
+    needed = settle(texts.join(asked, "row", "left_semi"))
+    first = join_hot(pairs, needed.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a")
+    both = join_hot(first, needed.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b")
+    return settle(both.where(texts_alike("text_a", "text_b")).select("a", "b"))
+
+
+def copy_links(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Edges (a, b) of fingerprints whose texts are alike; rows (row, fingerprint, content, bands), texts (row, text)."""
+    firsts = settle(
+        rows.groupBy("content").agg(F.min(F.struct("row", "fingerprint", "bands")).alias("first")).select("content", "first.*")
+    )
+    bucket = ["band", "key"]
+    placed = firsts.select("row", F.posexplode("bands").alias(*bucket))
+    leaders = placed.groupBy(*bucket).agg(F.min("row").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    shared = settle(join_hot(placed, leaders, bucket))
+    led = settle(shared.where("row <> leader").select(F.col("row").alias("a"), F.col("leader").alias("b")).distinct())
+    links = _verified(led, texts)
+    roots = components(links)
+    named = shared.join(roots.withColumnRenamed("node", "row"), "row", "left").select(
+        *bucket, "row", F.coalesce("root", "row").alias("root")
+    )
+    split = named.groupBy(*bucket).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    open_ = settle(join_hot(named, split, bucket).select(*bucket, "row", "root"))
+    other = open_.select(*bucket, F.col("row").alias("b"), F.col("root").alias("other"))
+    rest = open_.withColumnRenamed("row", "a").join(other, bucket).where("root > other").select("a", "b").distinct()
+    links = links.unionByName(_verified(settle(rest.join(led, ["a", "b"], "left_anti")), texts))
+    mark = lambda end: firsts.select(F.col("row").alias(end), F.col("fingerprint").alias(f"mark_{end}"))
+    across = links.join(mark("a"), "a").join(mark("b"), "b").select(F.col("mark_a").alias("a"), F.col("mark_b").alias("b"))
+    # Texts of one shingle set can differ in their repeats and so in their fingerprint.
+    same = rows.select("content", F.col("fingerprint").alias("a")).distinct()
+    within = same.join(firsts.select("content", F.col("fingerprint").alias("b")), "content").select("a", "b")
+    return across.unionByName(within).where("a <> b").distinct()
+
+
+def drop_near_copies(documents: DataFrame) -> DataFrame:
+    """One row of each group of near copies, chosen as ``drop_near_duplicates`` does, with all columns."""
+    packed = settle(
+        documents.select(
+            F.struct("*").alias("document"),
+            "doc_id",
+            fingerprints("text").alias("fingerprint"),
+            signatures("text").alias("signature"),
+            F.monotonically_increasing_id().alias("row"),
+        )
+    )
+    links = copy_links(
+        packed.select("row", "fingerprint", "signature.content", "signature.bands"),
+        packed.select("row", F.col("document.text").alias("text")),
+    )
+    return first_rows(packed, component_ids(packed.select("doc_id", "fingerprint"), links=links))

@@ -232,13 +232,15 @@ def components(edges: DataFrame) -> DataFrame:
         mark = seen
 
 
-def component_ids(rows: DataFrame, radius: int = RADIUS) -> DataFrame:
+def component_ids(rows: DataFrame, radius: int = RADIUS, links: DataFrame | None = None) -> DataFrame:
     """(fingerprint, root, component_id) of rows (doc_id, fingerprint), one row a distinct fingerprint.
 
-    The root tells components apart even where they have no id or the same one.
+    The root tells components apart even where they have no id or the same one. ``links``
+    are further edges (a, b) of fingerprints.
     """
     classes = settle(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first")))
-    roots = components(near_links(classes, radius=radius))
+    edges = near_links(classes, radius=radius)
+    roots = components(edges if links is None else edges.unionByName(links))
     rooted = classes.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn(
         "root", F.coalesce("root", "fingerprint")
     )
@@ -272,8 +274,12 @@ def drop_near_duplicates(documents: DataFrame, radius: int = RADIUS) -> DataFram
             F.struct("*").alias("document"), "doc_id", fingerprints("text").alias("fingerprint"), F.monotonically_increasing_id().alias("row")
         )
     )
-    rows = packed.select("doc_id", "fingerprint", "row")
-    named = rows.join(component_ids(rows.select("doc_id", "fingerprint"), radius), "fingerprint")
+    return first_rows(packed, component_ids(packed.select("doc_id", "fingerprint"), radius))
+
+
+def first_rows(packed: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents of settled rows (document, doc_id, fingerprint, row) that come first in their component."""
+    named = packed.select("doc_id", "fingerprint", "row").join(ids, "fingerprint")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id"), F.col("row")))
     stay = named.groupBy("root").agg(first.alias("first")).select(F.col("first.row").alias("row"))
     return packed.join(stay, "row", "left_semi").select("document.*")

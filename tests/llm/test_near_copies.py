@@ -1,0 +1,48 @@
+"""Near copies further apart than the radius of op9."""
+
+import random
+
+from strataflow.llm.near_copies import alike, drop_near_copies, shingle_set
+from strataflow.llm.simhash import drop_near_duplicates, fingerprint
+
+
+def planted(r, sizes=(90, 200, 600)):
+    """Groups of texts at 0.8 or more of their first, all further than two bits from it."""
+    groups = []
+    for number in range(30):
+        words = [f"w{r.randrange(4000)}" for _ in range(sizes[number % len(sizes)])]
+        base, group = " ".join(words), []
+        while not group:
+            copy = list(words)
+            for _ in range(len(words) // 55):
+                copy[r.randrange(len(copy))] = f"x{r.randrange(4000)}"
+            text = " ".join(copy)
+            apart = ((fingerprint(base) ^ fingerprint(text)) % 2**64).bit_count()
+            if alike(shingle_set(base), shingle_set(text)) and apart > 2:
+                group = [base, text]
+        groups.append(group)
+    return groups
+
+
+def test_drops_planted_near_copies(spark):
+    groups = planted(random.Random(9))
+    rows = [(2 * i + j, text) for i, group in enumerate(groups) for j, text in enumerate(group)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert drop_near_duplicates(docs).count() == len(rows)
+    kept = {r["doc_id"] for r in drop_near_copies(docs).collect()}
+    assert kept == {2 * i for i in range(len(groups))}
+
+
+def test_chains_and_unlike_texts(spark):
+    r = random.Random(10)
+    words = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(6):  # each alike with the next; the ends are not
+        rows.append((i, " ".join(words)))
+        for j in range(i * 40, i * 40 + 24):
+            words[j] = f"y{i}-{j}"
+    assert not alike(shingle_set(rows[0][1]), shingle_set(rows[-1][1]))
+    rows += [(100 + i, " ".join(f"v{r.randrange(60)}" for _ in range(80))) for i in range(10)]
+    rows += [(50, None), (51, ""), (None, "no id"), (None, "no id")]
+    kept = [row["doc_id"] for row in drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(k for k in kept if k is not None) == [0, 50, *range(100, 110)] and kept.count(None) == 1
