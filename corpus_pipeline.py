@@ -43,7 +43,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows of the mixture; a row comes once an epoch of its source, each once at least."""
     packed = docs.select(F.struct("*").alias("document"), "doc_id", "source")
-    return mix_sources(packed).select("document.*")
+    return mix_sources(packed, whole=True).select("document.*")
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

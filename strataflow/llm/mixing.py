@@ -15,23 +15,37 @@ that is through begins again (``epoch`` counts), as many full periods as that ta
 Defined cases: NULL is a source of its own, and so is the empty name; repeated rows
 are rows; texts are not looked at; an empty table gives no rows; a source with fewer
 rows than a block has one short block. Input columns named as an added one are
-replaced. More sources than slots raise an error.
+replaced.
+
+Rounding to a period of ``SLOTS`` gives tiny sources more than their weight and the
+others less. ``whole_run`` takes block k of a source of weight w from slot floor(k / w)
+to ceil((k + 1) / w) of the whole run instead, in exact integers, so that after any
+number of slots each source is less than one block off its given weight. More sources
+than slots of a period raise an error. The driver then holds one record a source and at most ``PLANNED`` slots at a time; the plan is a table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
+from heapq import heappop, heappush
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.llm.rows import number_rows
+from strataflow.session import settle
 
 SLOTS = 1024
 BLOCK_ROWS = 16
 TEMPER = 0.85
 #: Repeats of one row made in one task; more are dealt out first.
 EPOCHS_PER_TASK = 1024
+#: Weights of a whole run are taken as integers of this sum, about.
+WEIGHT_SUM = 2**60
+#: Slots of a whole run planned at a time, and those of one row that is handed over.
+PLANNED, HANDED = 1 << 20, 1 << 12
 
 ADDED = ("epoch", "slot", "place")
 
@@ -69,18 +83,68 @@ def period_schedule(spark, parts: Sequence[int]) -> DataFrame:
     return weights.select(F.explode(F.expr(fold)).alias("s")).select("s.t", "s.source", "s.k")
 
 
+def whole_weights(weights: Sequence[float]) -> list[int]:
+    if any(w <= 0 for w in weights):
+        raise ValueError("weights must be positive")
+    total = sum(weights)
+    return [max(1, round(w / total * WEIGHT_SUM)) for w in weights]
+
+
+def run_slots(weights: Sequence[int], blocks: Sequence[int]) -> int:
+    """Slots until the last block of each source is due."""
+    total = sum(weights)
+    return max(-(-b * total // w) for b, w in zip(blocks, weights))
+
+
+def whole_run(weights: Sequence[int], slots: int) -> Iterator[int]:
+    """The source of each slot: of the released blocks the one that is due first."""
+    total, done = sum(weights), [0] * len(weights)
+    waiting, released = [(0, i) for i in range(len(weights))], []
+    for t in range(slots):
+        while waiting and waiting[0][0] <= t:
+            i = heappop(waiting)[1]
+            heappush(released, (-(-(done[i] + 1) * total // weights[i]), i))
+        i = heappop(released)[1]
+        done[i] += 1
+        heappush(waiting, (done[i] * total // weights[i], i))
+        yield i
+
+
+def run_schedule(spark, weights: Sequence[int], slots: int) -> tuple[DataFrame, list[int]]:
+    """As ``period_schedule``, of a whole run, and how many slots each source has."""
+    done, turns, chunks, tables = [0] * len(weights), whole_run(weights, slots), [], []
+    at = 0
+    while at < slots:
+        here = []
+        for i in islice(turns, HANDED):
+            here.append((i, done[i]))
+            done[i] += 1
+        chunks.append((at, here))
+        at += len(here)
+        if at == slots or len(chunks) * HANDED >= PLANNED:
+            handed = spark.createDataFrame(chunks, "first long, plan array<struct<source: int, k: bigint>>")
+            tables.append(settle(handed.select("first", F.posexplode("plan").alias("i", "s")).select(
+                (F.col("first") + F.col("i")).alias("t"), "s.source", "s.k"
+            )))
+            chunks = []
+    return reduce(DataFrame.unionByName, tables), done
+
+
 def mix_sources(
     df: DataFrame,
     weights: Mapping[str | None, float] | None = None,
     *,
     source: str = "source",
     order: Sequence[Column | str] = ("doc_id",),
-    slots: int = SLOTS,
+    slots: int | None = None,
     block_rows: int = BLOCK_ROWS,
     temper: float = TEMPER,
+    whole: bool = False,
 ) -> DataFrame:
     """Rows with ``epoch``, ``slot`` of their block and ``place`` in it, the mixture being in (slot, place) order.
 
+    ``whole`` schedules the whole run by the given weights; otherwise a period of ``slots`` (``SLOTS`` if not named) repeats.
+
     Without ``weights`` a source of n rows weighs n ** ``temper``. Sources that
     ``weights`` doesn't name are an error, since leaving them out would drop rows.
     """
@@ -95,7 +159,7 @@ def mix_sources(
     ranks = ["key", *[F.col(f"o{i}").asc_nulls_first() for i in range(len(orders))]]
     numbered, _ = number_rows(packed, ranks, "number")
     found = numbered.groupBy("key").agg(F.min("number").alias("start"), F.count(F.lit(1)).alias("n"))
-    sources = sorted(found.limit(slots + 1).collect(), key=lambda r: r["key"])
+    sources = sorted((found if slots is None else found.limit(slots + 1)).collect(), key=lambda r: r["key"])
     if not sources:
         return numbered.select("row.*").select(
             *kept, F.lit(0).cast("long").alias("epoch"), F.lit(0).cast("long").alias("slot"), F.lit(0).cast("int").alias("place")
@@ -103,11 +167,14 @@ def mix_sources(
     named = [None if r["key"] == "n" else r["key"][1:] for r in sources]
     if weights is not None and (missing := [x for x in named if x not in weights]):
         raise ValueError(f"no weight for sources {missing}")
-    parts = apportion(
-        [float(r["n"]) ** temper if weights is None else weights[x] for r, x in zip(sources, named)], slots
-    )
+    wanted = [float(r["n"]) ** temper if weights is None else weights[x] for r, x in zip(sources, named)]
     blocks = [-(-r["n"] // block_rows) for r in sources]
-    periods = max(-(-b // a) for b, a in zip(blocks, parts))
+    if whole:
+        exact = whole_weights(wanted)
+        (schedule, parts), periods = run_schedule(spark, exact, run_slots(exact, blocks)), 1
+    else:
+        parts = apportion(wanted, slots or SLOTS)
+        schedule, periods = F.broadcast(period_schedule(spark, parts)), max(-(-b // a) for b, a in zip(blocks, parts))
     table = spark.createDataFrame(
         [(r["key"], i, r["start"], b, a) for i, (r, b, a) in enumerate(zip(sources, blocks, parts))],
         "key string, source int, start long, blocks long, part long",
@@ -123,9 +190,7 @@ def mix_sources(
         emitted = emitted.withColumn("block", F.explode(F.sequence("block", last, step))).repartition("source", "index", "block")
         last = F.least(last, F.col("block") + step - 1)
     emitted = emitted.withColumn("turn", F.explode(F.sequence(F.col("block"), last, F.col("blocks"))))
-    timed = emitted.withColumn("k", F.expr("turn % part")).join(
-        F.broadcast(period_schedule(spark, parts)), ["source", "k"]
-    )
+    timed = emitted.withColumn("k", F.expr("turn % part")).join(schedule, ["source", "k"])
     return timed.select(
         *[F.col("row")[c].alias(c) for c in kept],
         F.expr("turn div blocks").alias("epoch"),

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from strataflow.llm.mixing import apportion, mix_sources, period_schedule
+from strataflow.llm.mixing import apportion, mix_sources, period_schedule, run_slots, whole_run, whole_weights
 from strataflow.llm.rows import number_rows
 from strataflow.llm.sharding import permute, shard_digest, shard_documents
 
@@ -103,3 +103,28 @@ def test_mixing_odd_rows(odd, nothing):
         mix_sources(odd, slots=2)
     with pytest.raises(ValueError):
         mix_sources(odd, {"a": 1})
+
+
+@pytest.mark.parametrize("sizes", [[10**5] * 3 + [16] * 5, [50_000 // i for i in range(1, 601)], [1] * 1500 + [3000], [7]])
+def test_whole_run_stays_within_a_block_of_the_weights(sizes):
+    weights = [n**0.85 for n in sizes]
+    exact = whole_weights(weights)
+    blocks = [-(-n // 16) for n in sizes]
+    slots = run_slots(exact, blocks)
+    share, done = np.array(weights) / sum(weights), np.zeros(len(sizes))
+    for t, i in enumerate(whole_run(exact, slots), 1):
+        done[i] += 1
+        if t % 7 == 0 or t == slots:
+            assert np.abs(done - share * t).max() < 1 + 1e-6
+    assert (done >= blocks).all()
+
+
+def test_whole_run_mixture_meets_the_given_weights(spark):
+    rows = spark.createDataFrame([(i, "big" if i > 3 else f"tiny{i}") for i in range(1000)], "doc_id long, source string")
+    weights = {"big": 1000, **{f"tiny{i}": 1 for i in range(4)}}
+    mixed = mix_sources(rows, weights, block_rows=2, whole=True).collect()
+    assert {r["doc_id"] for r in mixed} == set(range(1000))
+    blocks = Counter(source for source, _ in {(r["source"], r["slot"]) for r in mixed})
+    slots = sum(blocks.values())
+    assert {r["slot"] for r in mixed} == set(range(slots))
+    assert all(abs(n - weights[s] / 1004 * slots) < 1 for s, n in blocks.items())
