@@ -20,8 +20,10 @@ replaced.
 Rounding to a period of ``SLOTS`` gives tiny sources more than their weight and the
 others less. ``whole_run`` takes block k of a source of weight w from slot floor(k / w)
 to ceil((k + 1) / w) of the whole run instead, in exact integers, so that after any
-number of slots each source is less than one block off its given weight. More sources
-than slots of a period raise an error. The driver then holds one record a source and at most ``PLANNED`` slots at a time; the plan is a table.
+number of slots each source is less than one block off its given weight. So are
+mixtures of more than ``SLOTS`` sources, where a period has no slot for each. More
+sources than a number of slots that the caller names raise an error. The driver then
+holds one record a source and at most ``PLANNED`` slots at a time; the plan is a table.
 """
 
 from __future__ import annotations
@@ -143,7 +145,8 @@ def mix_sources(
 ) -> DataFrame:
     """Rows with ``epoch``, ``slot`` of their block and ``place`` in it, the mixture being in (slot, place) order.
 
-    ``whole`` schedules the whole run by the given weights; otherwise a period of ``slots`` (``SLOTS`` if not named) repeats.
+    ``whole`` schedules the whole run by the given weights, as is done for more than
+    ``SLOTS`` sources; otherwise a period of ``slots`` (``SLOTS`` if not named) repeats.
 
     Without ``weights`` a source of n rows weighs n ** ``temper``. Sources that
     ``weights`` doesn't name are an error, since leaving them out would drop rows.
@@ -169,7 +172,7 @@ def mix_sources(
         raise ValueError(f"no weight for sources {missing}")
     wanted = [float(r["n"]) ** temper if weights is None else weights[x] for r, x in zip(sources, named)]
     blocks = [-(-r["n"] // block_rows) for r in sources]
-    if whole:
+    if whole or slots is None and len(sources) > SLOTS:
         exact = whole_weights(wanted)
         (schedule, parts), periods = run_schedule(spark, exact, run_slots(exact, blocks)), 1
     else:

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from strataflow.llm.mixing import apportion, mix_sources, period_schedule, run_slots, whole_run, whole_weights
+from strataflow.llm.mixing import SLOTS, apportion, mix_sources, period_schedule, run_slots, whole_run, whole_weights
 from strataflow.llm.rows import number_rows
 from strataflow.llm.sharding import permute, shard_digest, shard_documents
 
@@ -128,3 +128,11 @@ def test_whole_run_mixture_meets_the_given_weights(spark):
     slots = sum(blocks.values())
     assert {r["slot"] for r in mixed} == set(range(slots))
     assert all(abs(n - weights[s] / 1004 * slots) < 1 for s, n in blocks.items())
+
+
+def test_more_sources_than_slots(spark):
+    n = SLOTS + 300
+    rows = spark.createDataFrame([(i, f"s{i % n}") for i in range(n + 50)], "doc_id long, source string")
+    mixed = mix_sources(rows).collect()
+    assert {r["doc_id"] for r in mixed} == set(range(n + 50))
+    assert len({(r["slot"], r["place"]) for r in mixed}) == len(mixed)
