@@ -1,10 +1,12 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 Both sides are taken in plain form (lower case, no ASCII punctuation, single blanks).
-An item of n characters may differ in ``int(n * rate)`` edits. It is cut into one piece
-more than that, so that a passage within the budget has at least one piece unchanged.
-One Aho-Corasick pass over a document finds the pieces; each hit tells where the item
-would lie, and Myers' bit-parallel distance on that window alone decides.
+An item of n characters may differ in ``int(n * rate)`` edits. It is cut into ``SPARE``
+pieces more than that (fewer if they fell below ``PIECE_LEAST`` characters, one at least),
+so that a passage within the budget has that many pieces unchanged. One Aho-Corasick pass
+over a document finds the pieces; each hit tells where the item would lie. Only where
+as many different pieces as are spared tell of places no further apart than the budget,
+Myers' bit-parallel distance on that window decides: chance hits don't get there.
 
 The test items are the stated query set: they are taken in blocks of a fixed size, each
 block being shipped to the tasks and run over all documents. No document is shuffled.
@@ -28,7 +30,10 @@ from pyspark.sql.types import BooleanType
 
 from strataflow.llm.plain import plain
 
-RATE = 0.05
+#: A tenth: one or two words of a short passage may be others.
+RATE = 0.1
+#: Pieces that stay unchanged within the budget, where pieces are long enough.
+SPARE, PIECE_LEAST = 3, 6
 #: Characters of items taken at once; bounds what a task holds.
 BLOCK_CHARS = 4_000_000
 
@@ -68,23 +73,45 @@ def best_end(pattern: str, text: str, anchored: bool = False) -> tuple[int, int]
 
 
 def pieces_of(item: str, rate: float) -> tuple[int, list[tuple[int, str]]]:
-    """The error budget and (offset, piece) of one piece more, of near equal length."""
+    """The error budget and (offset, piece) of at least one piece more, of near equal length."""
     budget = min(int(len(item) * rate), len(item) - 1)
-    count = budget + 1
+    count = budget + max(1, min(SPARE, len(item) // PIECE_LEAST - budget))
     cuts = [len(item) * i // count for i in range(count + 1)]
     return budget, [(a, item[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
+def _agreed(told: list[tuple[int, int]], budget: int, spared: int) -> Iterator[int]:
+    """Starts, ascending, that lie in a run within the budget with as many different pieces as are spared."""
+    if spared == 1:
+        yield from (start for start, _ in told)
+        return
+    seen: dict[int, int] = defaultdict(int)
+    first = given = 0
+    for at, (start, offset) in enumerate(told):
+        seen[offset] += 1
+        while told[first][0] < start - budget:
+            gone = told[first][1]
+            seen[gone] -= 1
+            if not seen[gone]:
+                del seen[gone]
+            first += 1
+        if len(seen) >= spared:
+            for here in range(max(first, given), at + 1):
+                yield told[here][0]
+            given = at + 1
+
+
 class Matcher:
     """All items of a block; ``find`` gives (item index, distance, start, end) of each item in a text."""
 
     def __init__(self, items: list[str], rate: float):
         self.items = items
-        self.budgets = []
+        self.budgets, self.spared = [], []
         where: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for index, item in enumerate(items):
             budget, pieces = pieces_of(item, rate)
             self.budgets.append(budget)
+            self.spared.append(len(pieces) - budget)
             for offset, piece in pieces:
                 where[piece].append((index, offset))
         self.automaton = ahocorasick.Automaton()
@@ -94,21 +121,24 @@ class Matcher:
 
     def windows(self, text: str) -> dict[int, list[tuple[int, int]]]:
         """Windows of the text in which an item may lie, overlapping ones as one."""
-        begins: dict[int, set[int]] = defaultdict(set)
+        hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for end, (length, places) in self.automaton.iter(text):
             for index, offset in places:
-                begins[index].add(end + 1 - length - offset)
+                hits[index].append((end + 1 - length - offset, offset))
         found = {}
-        for index, starts in begins.items():
-            budget, size = self.budgets[index], len(self.items[index])
+        for index, told in hits.items():
+            budget, size, spared = self.budgets[index], len(self.items[index]), self.spared[index]
+            if len(told) < spared:
+                continue
             merged: list[list[int]] = []
-            for start in sorted(starts):
+            for start in _agreed(sorted(told), budget, spared):
                 low, high = max(0, start - budget), min(len(text), start + size + budget)
                 if merged and low <= merged[-1][1]:
                     merged[-1][1] = max(high, merged[-1][1])
                 else:
                     merged.append([low, high])
-            found[index] = merged
+            if merged:
+                found[index] = merged
         return found
 
     def find(self, text: str, first_only: bool = False) -> Iterator[tuple[int, int, int, int]]:

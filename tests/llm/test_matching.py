@@ -51,6 +51,22 @@ def test_every_item_within_the_budget_is_found():
             assert edit_best(items[i], text[start:end])[0] == d
 
 
+def test_replaced_words_at_the_production_rate(spark):
+    one = "the harbour of the northern island was closed for repairs when heavy winter storms broke the old wall"
+    two = one + " and the ferries went by another route until early spring of that year when masons had set it up again"
+    assert len(one) >= 100 and len(two) >= 200
+    texts = [
+        f"before it {one.replace('winter', 'summer')} and after it",
+        f"x {two.replace('winter', 'summer').replace('masons', 'people')} y",
+        f"x {one.replace('winter storms', 'and very long rain').replace('island', 'district')} y",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, one), (2, two)], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in find_leaks(docs, benchmark).collect()}
+    assert {(0, 1), (1, 2)} <= found and not any(doc == 2 for doc, _ in found)
+    assert [r["doc_id"] for r in drop_leaks(docs, benchmark).collect()] == [2]
+
+
 def test_leaks_in_odd_rows(spark, odd, nothing):
     items = [(1, "Plain words, of a text with MORE than ten!"), (2, None), (3, ""), (4, "..."), (1, "same id and another"), (None, "still a text")]
     benchmark = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, doc_id string")
