@@ -4,8 +4,9 @@ Base spans (kinds assign, access and hex) are always kept. Besides them come wea
 candidates: assigned values of 8 to 11 characters (``short``) and long runs that mix
 digits with both cases (``mixed``). The hash of each candidate value is counted over the
 whole corpus by distinct repositories and distinct owners. A weak candidate becomes a
-span only where its value belongs to one owner, as live credentials do; a value that
-several owners have is a copied example. Base values are told apart in the same way, in
+span only where its value belongs to one owner and few repositories, as live credentials
+do; a value that several owners or many repositories have is a copied example. The query
+``op5_secrets`` sets no limit on repositories, as its SQL counts owners alone. Base values are told apart in the same way, in
 ``n_live`` and ``n_shared``.
 
 Positions are not collected per text in Python: the gaps that ``split`` leaves and the
@@ -35,6 +36,8 @@ MIXED = "[A-Za-z0-9+/_-]{24,}"
 SHORT_LEAST = 8
 KINDS = ("assign", "access", "hex", "short", "mixed")
 LIVE_OWNERS = 1
+#: Repositories of its owner that a live value is in at most; a value in more is a copied example.
+LIVE_REPOSITORIES = 5
 
 _SPAN = "struct<start: bigint, end: bigint, value: string>"
 _CHUNK = 256
@@ -135,9 +138,16 @@ def span_text(spans: Column) -> Column:
 
 
 def find_secrets(
-    documents: DataFrame, owner: str = "source", repository: str = "doc_id", live_owners: int = LIVE_OWNERS
+    documents: DataFrame,
+    owner: str = "source",
+    repository: str = "doc_id",
+    live_owners: int = LIVE_OWNERS,
+    live_repositories: int | None = LIVE_REPOSITORIES,
 ) -> DataFrame:
-    """One row a document: doc_id, base spans, all spans, and how many values are live or shared."""
+    """One row a document: doc_id, base spans, all spans, and how many values are live or shared.
+
+    ``live_repositories`` of None sets no limit on the repositories of a live value.
+    """
     scanned = scan(documents, owner, repository)
     some = scanned.where((F.size("base") > 0) | (F.size("weak") > 0))
     candidates = some.select("row", "owner", "repository", F.explode(F.concat("base", "weak")).alias("span")).select(
@@ -145,6 +155,8 @@ def find_secrets(
     )
     told = join_hot(candidates, ownership(candidates), "value")
     live = F.col("owners") <= live_owners
+    if live_repositories is not None:
+        live &= F.col("repositories") <= live_repositories
     is_base = F.col("span.rank") <= KINDS.index("hex")
     # Only spans that become part of the result are gathered, and only those of one text.
     per_row = told.groupBy("row").agg(
@@ -164,7 +176,7 @@ def find_secrets(
 
 def secret_digest(documents: DataFrame) -> DataFrame:
     count = lambda kind: F.size(F.filter("base", lambda s: s["rank"] == KINDS.index(kind))).cast("long")
-    return find_secrets(documents).select(
+    return find_secrets(documents, live_repositories=None).select(
         "doc_id",
         *[count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
         F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),

@@ -113,6 +113,15 @@ def test_ownership_tells_live_from_copied(spark):
     assert owned.first().asDict() == {"value": "v", "repositories": 4, "owners": 3}
 
 
+def test_value_copied_through_one_source(spark):
+    few, many = secrets.LIVE_REPOSITORIES, 40
+    rows = [(i, "hot", "passwd=example99") for i in range(many)] + [(many + i, "hot", "passwd=onlyhere9") for i in range(few)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = {r["doc_id"]: (len(r["spans"]), r["n_live"], r["n_shared"]) for r in find_secrets(docs).collect()}
+    assert all(got[i] == ((0, 0, 1) if i < many else (1, 1, 0)) for i in range(many + few))
+    assert {r["n_live"] for r in find_secrets(docs, live_repositories=None).collect()} == {1}
+
+
 def test_secrets_in_odd_rows(odd, nothing):
     rows = find_secrets(odd).collect()
     assert len(rows) == odd.count()
