@@ -61,3 +61,11 @@ def test_pipeline_on_odd_tables(spark, odd, labels, tmp_path):
         got = corpus_pipeline.run(spark, sf)
         assert set(odd.columns) <= set(got.columns) and {"shard", "slot"} <= set(got.columns)
         assert (got.count() > 0) == (folder == "odd")
+
+
+def test_mixing_stage_is_in_schedule_order(spark):
+    docs = spark.range(960).selectExpr("id AS doc_id", "concat('s', id % 3) AS source")
+    sources = [r["source"] for r in corpus_pipeline.mixing(spark, docs, "").collect()]
+    blocks = [sources[at : at + 16] for at in range(0, len(sources), 16)]
+    assert all(len(set(block)) == 1 for block in blocks)
+    assert all(len({block[0] for block in blocks[at : at + 3]}) == 3 for at in range(0, len(blocks), 3))
