@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from strataflow.llm import mixing, secrets, sharding, url_filter
+from itertools import permutations
+
+from strataflow.llm import collocations, exact_dedup, filter_audit, mixing, secrets, sharding, url_filter
 
 
 def _mix_sql(half: str, key: int) -> str:
@@ -150,4 +152,78 @@ SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(
 FROM numbered LEFT JOIN per_row USING (row)"""
 
 
+def _phrases_sql() -> str:
+    upper, lower, least = exact_dedup.UPPER, exact_dedup.LOWER, collocations.LEAST
+    return rf"""WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, doc_id,
+    unnest(string_split_regex(translate(coalesce(text, ''), '{upper}', '{lower}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS (SELECT lang, doc_id, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM split GROUP BY lang),
+grams AS (
+  SELECT lang, doc_id, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM split, range(1, {collocations.LONGEST + 1}) t(m)),
+counted AS (
+  SELECT lang, m, phrase, count(*) AS f, min(doc_id) AS first_doc FROM grams GROUP BY ALL HAVING count(*) >= {least}),
+cuts AS (
+  SELECT *, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM counted WHERE m > 1),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.first_doc, c.k, l.f AS l, r.f AS r,
+    CAST((CAST({collocations.SCALE} AS HUGEINT) * c.a) // (l.f + r.f) AS BIGINT) AS score
+  FROM cuts c JOIN counted l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:c.k], ' ')
+    JOIN counted r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+covers AS (
+  SELECT lang, phrase, max(f) AS cover FROM (
+    SELECT lang, f, unnest(list_transform(range(1, m - s + 2), lambda i: array_to_string(w[i:i + s - 1], ' '))) AS phrase
+    FROM (SELECT lang, f, m, string_split(phrase, ' ') AS w, unnest(range(2, m)) AS s FROM counted WHERE m > 2)) GROUP BY ALL),
+ranked AS (
+  SELECT w.*, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank
+  FROM weakest w LEFT JOIN covers c ON c.lang = w.lang AND c.phrase = w.phrase
+  WHERE cover IS NULL OR CAST(100 AS HUGEINT) * cover < CAST({collocations.COVERED_PERCENT} AS HUGEINT) * a)
+SELECT lang, rank, phrase, a, l, r, n, score, first_doc FROM ranked JOIN totals USING (lang) WHERE rank <= {collocations.TOP}"""
+
+
+def _audit_sql() -> str:
+    names = filter_audit.FILTERS
+    orders = ", ".join(f"('{''.join(p)}')" for p in permutations(names))
+    bits = " + ".join(f"CAST({f.lower()} AS INTEGER) * {1 << i}" for i, f in enumerate(names))
+    step = "least(" + ", ".join(f"CASE WHEN mask & {1 << i} > 0 THEN strpos(filter_order, '{f}') ELSE 6 END" for i, f in enumerate(names)) + ")"
+    return rf"""WITH marks AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+texts AS (
+  SELECT coalesce(lang, '') AS part, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+failing AS (
+  SELECT part, doc_id, len(w) < {filter_audit.LEAST_WORDS} AS a, 100 * len(list_distinct(w)) < {filter_audit.DISTINCT_PERCENT} * len(w) AS b,
+    100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > {filter_audit.UPPER_PERCENT} * length(text) AS c,
+    regexp_matches(text, '[#$%&*|]') AS d, coalesce(min(doc_id) OVER (PARTITION BY text) < doc_id, false) AS e
+  FROM texts),
+masks AS (
+  SELECT part, {bits} AS mask, count(*) AS n, count(*) FILTER (WHERE good) AS good, count(*) FILTER (WHERE toxic) AS toxic
+  FROM failing LEFT JOIN marks USING (doc_id) GROUP BY ALL),
+orders(filter_order) AS (VALUES {orders}),
+steps AS (SELECT *, {step} AS gone FROM masks, orders),
+cells AS (
+  SELECT part, filter_order, i AS step, 1 << (ascii(filter_order[i]) - 65) AS bit
+  FROM (SELECT DISTINCT part FROM masks), orders, range(1, 6) t(i)),
+told AS (
+  SELECT c.part, c.filter_order, CAST(c.step AS INTEGER) AS step, any_value(bit) AS bit,
+    sum(n) FILTER (WHERE gone > c.step) AS kept, sum(n) FILTER (WHERE gone = c.step) AS removed,
+    sum(n) FILTER (WHERE gone < c.step AND mask & bit > 0) AS redundant, sum(n) FILTER (WHERE mask = bit) AS unique_fails,
+    sum(good) FILTER (WHERE gone = c.step) AS good_lost, sum(toxic) FILTER (WHERE gone = c.step) AS toxic_lost
+  FROM cells c JOIN steps s ON s.part = c.part AND s.filter_order = c.filter_order GROUP BY ALL)
+SELECT part, filter_order, step, {", ".join(f"CAST(coalesce({m}, 0) AS BIGINT) AS {m}" for m in filter_audit.MEASURES[:-1])},
+  CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM told"""
+
+
+def _dedup_sql() -> str:
+    return f"""WITH read AS (
+  SELECT doc_id, translate(coalesce(text, ''), '{exact_dedup.UPPER}', '{exact_dedup.LOWER}') AS norm FROM documents)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+  row_number() OVER (PARTITION BY norm ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(norm) AS text_sha256
+FROM read"""
+
+
 SHARD_SQL, MIX_SQL, URL_SQL, SECRETS_SQL = _shard_sql(), _mixing_sql(), _url_sql(), _secrets_sql()
+PHRASES_SQL, AUDIT_SQL, DEDUP_SQL = _phrases_sql(), _audit_sql(), _dedup_sql()

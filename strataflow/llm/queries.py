@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strataflow.llm.collocations import mine_phrases
 from strataflow.llm.decontaminate import find_leaks
+from strataflow.llm.exact_dedup import dedup_exact
+from strataflow.llm.filter_audit import audit_filters
 from strataflow.llm.mixing import mix_sources
-from strataflow.llm.oracles import MIX_SQL, SECRETS_SQL, SHARD_SQL, URL_SQL
+from strataflow.llm.oracles import AUDIT_SQL, DEDUP_SQL, MIX_SQL, PHRASES_SQL, SECRETS_SQL, SHARD_SQL, URL_SQL
 from strataflow.llm.quality import score_quality
 from strataflow.llm.rules import judge_quality
 from strataflow.llm.secrets import secret_digest
@@ -83,3 +86,19 @@ def op9_simhash_near_dedup(spark, sf):
 @query("op10_quality_rules")
 def op10_quality_rules(spark, sf):
     return judge_quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op11_collocations", PHRASES_SQL)
+def op11_collocations(spark, sf):
+    return mine_phrases(table(spark, sf, "documents"))
+
+
+@query("op12_filter_audit", AUDIT_SQL)
+def op12_filter_audit(spark, sf):
+    return audit_filters(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op13_exact_dedup", DEDUP_SQL)
+def op13_exact_dedup(spark, sf):
+    """Of equal texts the row with the largest doc_id stays."""
+    return dedup_exact(table(spark, sf, "documents"), keep="largest")

@@ -16,8 +16,8 @@ def test_query_and_sql(spark, sf_dir, name, monkeypatch):
     assert compare.difference(spark, sf_dir, name, queries.QUERIES[name], queries.ORACLES[name], con) is None
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+def test_all_queries():
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 NATIVE = ["op2_mixing", "op4_url_filter", "op5_secrets"]
