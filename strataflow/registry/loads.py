@@ -143,23 +143,27 @@ def ledger_of_loads(spark, sf):
     return ledger.list_runs(_INGEST_SCOPE).select("run_scope", "status", "rows_processed", "last_checkpoint")
 
 
-_EVENT_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double, props string"
 _EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value", "props"]
 
 
-def _stream_events(spark, sf, batches, **options):
-    """Write JSON files in turn, running the file stream after each."""
+def _stream_events(spark, sf, batches, columns=_EVENT_COLUMNS, partitions=("event_type",), again=False, **options):
+    """Write JSON files in turn, running the file stream after each; ``again`` reads all files anew at the end."""
     from pyspark.sql.types import StructType
 
     root = fresh_folder(spark, "stream")
-    schema = StructType.fromDDL(_EVENT_SCHEMA)
-    for batch in batches:
-        batch.write.mode("append").json(f"{root}/in")
+
+    def load(state):
         load_new_files(
-            spark, f"{root}/in", schema, f"{root}/out", f"{root}/state", lambda df: df,
-            partitions=["event_type"], **options,
+            spark, f"{root}/in", schema, f"{root}/out", f"{root}/{state}", lambda df: df, partitions=list(partitions), **options
         )
-    return spark.read.schema(schema).parquet(f"{root}/out").select(_EVENT_COLUMNS)
+
+    for batch in batches:
+        schema = StructType(batch.schema.fields)
+        batch.write.mode("append").json(f"{root}/in")
+        load("state")
+    if again:
+        load("lost")
+    return spark.read.schema(schema).parquet(f"{root}/out").select(columns)
 
 
 @query("stream_new_files", "SELECT event_id, user_id, event_type, value, props FROM events")
@@ -169,6 +173,14 @@ def stream_new_files(spark, sf):
     return _stream_events(spark, sf, [events.where(early), events.where(~early)])
 
 
+@query("stream_same_partition", "SELECT event_id, user_id, event_type, value, props FROM events")
+def stream_same_partition(spark, sf):
+    """Two runs with rows of the same partitions, and a third that has lost its state and reads all files again."""
+    events = table(spark, sf, "events").select(_EVENT_COLUMNS)
+    halves = [events.where(F.col("event_id") % 2 == i) for i in range(2)]
+    return _stream_events(spark, sf, halves, again=True, max_files=2)
+
+
 @query(
     "stream_merge_files",
     """SELECT event_id, user_id, event_type, CASE WHEN value < 10 THEN value + 1 ELSE value END AS value, props FROM events""",
@@ -203,3 +215,36 @@ def merge_null_partition(spark, sf):
     rows, touched = merge_partitions(revised, path, ["event_id"], ["value"], parts)
     write_touched(rows, touched, path, parts)
     return spark.read.schema(events.schema).parquet(path).select("event_id", "event_type", "side", "value")
+
+
+_PLACES = "a:b|a/b|50%|x=y z|ü#?"
+_PLACE_SQL = f"string_split('{_PLACES}', '|')[CAST(user_id % 5 AS INTEGER) + 1]"
+
+
+@query(
+    "merge_escaped_partition",
+    f"""SELECT event_id, value, CASE WHEN user_id % 5 < 3 OR event_id % 7 = 0 THEN '' || event_type ELSE {_PLACE_SQL} END AS place,
+  CAST(date_trunc('month', ts) AS DATE)::VARCHAR AS month, CASE WHEN user_id % 2 = 1 THEN 'odd' END AS side FROM events""",
+)
+def merge_escaped_partition(spark, sf):
+    """Keys leave partitions whose values are escaped in a path (colons, slashes, percent signs), are dates, or empty, which is stored as NULL."""
+    path, parts = fresh_folder(spark, "merged"), ["place", "month", "side"]
+    place = F.get(F.split(F.lit(_PLACES), "[|]"), (F.col("user_id") % 5).cast("int"))
+    events = table(spark, sf, "events").withColumns(
+        {
+            "place": place,
+            "month": F.trunc("ts", "month"),
+            "side": F.when(F.col("user_id") % 2 == 1, F.lit("odd")).otherwise(F.lit("")),
+            "version": F.lit(1),
+        }
+    )
+    columns = ["event_id", "value", "version", *parts]
+    stored = events.select(columns)
+    overwrite_partitions(stored, path, parts)
+    leave = (F.col("user_id") % 5 < 3) | (F.col("event_id") % 7 == 0)
+    moved = events.where(leave).withColumns({"place": F.col("event_type"), "version": F.lit(2)}).select(columns)
+    rows, touched = merge_partitions(moved, path, ["event_id"], ["version"], parts)
+    write_touched(rows, touched, path, parts)
+    return spark.read.schema(stored.schema).parquet(path).select(
+        "event_id", "value", "place", F.col("month").cast("string").alias("month"), "side"
+    )

@@ -41,15 +41,19 @@ def write_raw(df: DataFrame, path: str, metrics: dict[str, Column] | None = None
     return _result(path, observation)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partitions: Sequence[str] = ("year",)) -> Written:
-    """Replace only the partitions that have rows in ``df``; the others stay.
+def as_stored(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Empty text in a partition column as NULL, since a path can't tell the two apart."""
+    kinds = dict(df.dtypes)
+    texts = [p for p in partitions if kinds[p] == "string"]
+    return df.withColumns({p: F.nullif(p, F.lit("")) for p in texts}) if texts else df
 
-    Rows without a value for the first partition column are not written.
-    """
-    keyed = df.where(F.col(partitions[0]).isNotNull()).hint("rebalance", *[F.col(p) for p in partitions])
+
+def _write_partitions(df: DataFrame, path: str, partitions: Sequence[str], mode: str) -> Written:
+    """Rows without a value for the first partition column are not written."""
+    keyed = as_stored(df, partitions).where(F.col(partitions[0]).isNotNull()).hint("rebalance", *[F.col(p) for p in partitions])
     counted, observation = _observed(keyed, {})
     (
-        counted.write.mode("overwrite")
+        counted.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)
@@ -57,6 +61,16 @@ def overwrite_partitions(df: DataFrame, path: str, partitions: Sequence[str] = (
     return _result(path, observation)
 
 
+def overwrite_partitions(df: DataFrame, path: str, partitions: Sequence[str] = ("year",)) -> Written:
+    """Replace only the partitions that have rows in ``df``; the others stay."""
+    return _write_partitions(df, path, partitions, "overwrite")
+
+
+def append_partitions(df: DataFrame, path: str, partitions: Sequence[str] = ("year",)) -> Written:
+    """Add rows to the partitions they belong to; nothing stored is read or written anew."""
+    return _write_partitions(df, path, partitions, "append")
+
+
 def write_snapshot(df: DataFrame, path: str, snapshot_date: str) -> Written:
     """Write ``year=/snapshot_date=`` partitions; a rerun of the same day replaces them."""
     stamped = df.drop("snapshot_date").withColumn("snapshot_date", F.lit(snapshot_date))

@@ -3,6 +3,7 @@ from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strataflow import fresh_folder, schemas
 from strataflow.operators import joins
@@ -10,8 +11,10 @@ from strataflow.operators.project import align
 from strataflow.plans import analytics, curate, defaults, ingest, mapping, processed
 from strataflow.plans.full_run import run_layers
 from strataflow.plans.ledger import RunLedger
+from strataflow.sinks.seen import SeenKeys
 from strataflow.sinks.tables import overwrite_partitions, write_snapshot
 from strataflow.sources import tables
+from strataflow.sources.folders import partition_values
 from strataflow.sources.landed import read_json_lines
 from strataflow.sources.tables import read_curated, read_mapping, read_table
 from strataflow.streaming import increments
@@ -275,10 +278,10 @@ def test_each_file_is_streamed_once(spark):
         return sorted((r["country_code"], r["year"], r["gdp_per_capita_usd"]) for r in table.collect())
 
     land(record("AAA", "Alpha", "2000", 1), record("AAA", "Alpha", "2001", 2))
-    assert load() == [("AAA", 2000, 1.0), ("AAA", 2001, 2.0)]
-    assert load() == [("AAA", 2000, 1.0), ("AAA", 2001, 2.0)]
+    assert load(replace=True) == [("AAA", 2000, 1.0), ("AAA", 2001, 2.0)]
+    assert load(replace=True) == [("AAA", 2000, 1.0), ("AAA", 2001, 2.0)]
     land(record("BBB", "Beta", "2001", 3))
-    assert load() == [("AAA", 2000, 1.0), ("BBB", 2001, 3.0)]
+    assert load(replace=True) == [("AAA", 2000, 1.0), ("BBB", 2001, 3.0)]
     land(record("CCC", "C", "2001", 4, ingestion_ts="2024-01-02"), record("BBB", "Beta", "2001", 5, ingestion_ts="2024-01-02"))
     merged = load(merge_on=["country_code", "year"], latest_by=["ingestion_ts"])
     assert merged == [("AAA", 2000, 1.0), ("BBB", 2001, 5.0), ("CCC", 2001, 4.0)]
@@ -383,7 +386,11 @@ def test_files_of_one_partition_in_several_batches(spark):
         spark.createDataFrame([(json.dumps(row),)], "value string").coalesce(1).write.mode("append").text(f"{root}/in")
     args = (spark, f"{root}/in", schemas.RAW_RECORD, f"{root}/out", f"{root}/state", processed.type_records)
     with pytest.raises(ValueError, match="max_files"):
-        load_new_files(*args, max_files=1)
+        load_new_files(*args, max_files=1, replace=True)
+    with pytest.raises(ValueError, match="one of"):
+        load_new_files(*args, replace=True, owner="page_url")
+    with pytest.raises(Exception, match="source_file"):
+        load_new_files(*args[:4], f"{root}/other", processed.type_records)
     assert load_new_files(*args, max_files=1, merge_on=["country_code", "year"], latest_by=["ingestion_ts"]).rows == 3
     assert read_table(spark, f"{root}/out", schemas.PROCESSED_GDP).count() == 3
 
@@ -408,3 +415,100 @@ def test_rows_with_nested_maps_are_deduplicated(spark):
     assert [r["revid"] for r in processed.latest_page(raw).collect()] == [2]
     names = spark.createDataFrame([("u", "label")], "page_url string, label string")
     assert joins.lookup_join(raw, names, ["page_url"], max_bytes=0, hot_rows=1).where("label = 'label'").count() == 3
+
+
+def stored_lines(spark, path):
+    table = read_table(spark, path, StructType.fromDDL("v int, year int"))
+    return sorted((r["v"], r["year"]) for r in table.collect())
+
+
+def test_appended_files_are_neither_lost_nor_doubled(spark, monkeypatch):
+    root = fresh_folder(spark, "append")
+    schema = StructType.fromDDL("v int, year int")
+    land = lambda *rows: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(f"{root}/in")
+    load = lambda state="state", **more: load_new_files(spark, f"{root}/in", schema, f"{root}/out", f"{root}/{state}", lambda df: df, **more).rows
+    land((1, 2000), (2, 2000), (3, 2001))
+    assert load() == 3
+    land((4, 2000), (4, 2000), (5, None))
+    assert load() == 2 and load() == 0
+    whole = [(1, 2000), (2, 2000), (3, 2001), (4, 2000), (4, 2000)]
+    assert stored_lines(spark, f"{root}/out") == whole
+    # A batch that dies after its rows were written is repeated.
+    land((6, 2001))
+    written = increments.append_partitions
+
+    def dying(*args):
+        written(*args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(increments, "append_partitions", dying)
+    with pytest.raises(Exception, match="lost"):
+        load()
+    monkeypatch.setattr(increments, "append_partitions", written)
+    assert (6, 2001) in stored_lines(spark, f"{root}/out")
+    assert load() == 1
+    assert stored_lines(spark, f"{root}/out") == sorted([*whole, (6, 2001)])
+    # All files again, one a batch: each replaces its own rows.
+    assert load("another", max_files=1) == 6
+    assert stored_lines(spark, f"{root}/out") == sorted([*whole, (6, 2001)])
+
+
+def test_a_new_file_leaves_stored_files_alone(spark):
+    root = fresh_folder(spark, "append")
+    rows = lambda v: spark.createDataFrame([(v, 2000, f"file:/in/{v}")], "v int, year int, source_file string")
+    for v in (1, 2):
+        increments.append_files(rows(v), rows(v).select("source_file"), f"{root}/out")
+        files = spark.read.parquet(f"{root}/out").inputFiles()
+        assert len(files) == v
+    increments.append_files(rows(2), rows(2).select("source_file"), f"{root}/out")
+    assert stored_lines(spark, f"{root}/out") == [(1, 2000), (2, 2000)]
+
+
+def test_emptied_partitions_of_any_type_go(spark):
+    from datetime import date
+
+    schema = "id int, v int, at timestamp, day date, name string"
+    at = datetime(2024, 1, 1, 12, 30, 5, 250000)
+    places = [(at, date(2024, 1, 1), "a:b"), (at, date(2024, 1, 2), "a/b%"), (None, None, ""), (at, None, "{x}='")]
+    for parts in (["at", "day", "name"], ["name", "at"], ["day", "name", "at"]):
+        path = fresh_folder(spark, "merge")
+        named = [(i, 1, *p) for i, p in enumerate(places) if dict(zip(("at", "day", "name"), p))[parts[0]]]
+        overwrite_partitions(spark.createDataFrame(named, schema), path, parts)
+        batch = spark.createDataFrame([(r[0], 2, at.replace(year=2025), date(2025, 1, 1), "other") for r in named], schema)
+        for _ in range(2):
+            rows, touched = increments.merge_partitions(batch, path, ["id"], ["v"], parts)
+            increments.write_touched(rows, touched, path, parts)
+            stored = read_table(spark, path, StructType.fromDDL(schema)).collect()
+            assert sorted((r["id"], r["v"], r["name"]) for r in stored) == [(r[0], 2, "other") for r in named]
+
+
+def test_empty_text_is_the_null_partition(spark):
+    path, schema = fresh_folder(spark, "merge"), "id int, v int, year int, side string"
+    overwrite_partitions(spark.createDataFrame([(1, 1, 2000, None), (2, 1, 2000, "a")], schema), path, ["year", "side"])
+    rows, touched = increments.merge_partitions(spark.createDataFrame([(3, 1, 2000, "")], schema), path, ["id"], ["v"], ["year", "side"])
+    increments.write_touched(rows, touched, path, ["year", "side"])
+    stored = read_table(spark, path, StructType.fromDDL(schema)).collect()
+    assert sorted((r["id"], r["side"]) for r in stored) == [(1, None), (2, "a"), (3, None)]
+
+
+def test_seen_keys_are_looked_up_by_folder(spark):
+    seen = SeenKeys(spark, fresh_folder(spark, "seen"), buckets=64)
+    frame = lambda rows: spark.createDataFrame(rows, "k string, v string")
+    assert seen.changed(frame([("a", "1"), (None, "1")]), "k", "v").count() == 2
+    seen.add(frame([(f"key{i}", "1") for i in range(500)]), "k", "v")
+    before = set(seen._read(list(partition_values(spark, seen.path, "bucket").values())).inputFiles())
+    seen.add(frame([("key7", "2"), ("new", None)]), "k", "v")
+    after = set(seen._read(list(partition_values(spark, seen.path, "bucket").values())).inputFiles())
+    # A run adds files and rewrites none; a lookup of two keys opens the files of two folders.
+    assert before < after and len(after - before) <= 2
+    asked = frame([("key7", "2"), ("key7", "1"), ("key8", "1"), ("new", None), ("none", "1"), (None, None)])
+    near = seen.near(asked.where("k in ('key8', 'key7')"), "k")
+    assert len({f.rsplit("/", 2)[1] for f in near.inputFiles()}) <= 2 and len(near.inputFiles()) <= 4
+    changed = lambda: sorted((r["k"] or "", r["v"] or "") for r in seen.changed(asked, "k", "v").collect())
+    wanted = [("", ""), ("key7", "1"), ("none", "1")]
+    assert changed() == wanted
+    assert sorted(r["key"] for r in seen.known(asked, "k").collect()) == ["key7", "key8", "new"]
+    for i in range(3):
+        seen.add(frame([("key7", "2")]), "k", "v")
+    assert seen.compact(files=2) == 1 and seen.compact(files=2) == 0
+    assert changed() == wanted
