@@ -108,6 +108,10 @@ def build_correlation_summary(
     return write_report(summary.orderBy("year"), out, defaults.REPORT_NAME, f"{stamp:%Y%m%d}")
 
 
+class EmptyFit(RuntimeError):
+    """There is nothing to fit a line to."""
+
+
 def build_regression(
     spark: SparkSession,
     curated_path: str,
@@ -121,10 +125,10 @@ def build_regression(
     stamp = now or datetime.now(timezone.utc)
     curated = read_curated(spark, curated_path, [year])
     if curated.isEmpty():
-        raise RuntimeError(f"no curated data for year={year}")
+        raise EmptyFit(f"no curated data for year={year}")
     result = regression(unique_curated(curated), outliers)
     if result.fit.isEmpty():
-        raise RuntimeError(f"no complete points for year={year}")
+        raise EmptyFit(f"no complete points for year={year}")
     root = f"{out.rstrip('/')}/run_date={stamp:%Y%m%d}/regression"
     paths = {"fit": f"{root}/fit", "points": f"{root}/points", "line": f"{root}/line"}
     for part, path in paths.items():

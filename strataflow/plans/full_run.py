@@ -9,12 +9,13 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from strataflow.plans import defaults
-from strataflow.plans.analytics import build_correlation_summary, build_regression
+from strataflow.plans.analytics import EmptyFit, build_correlation_summary, build_regression
 from strataflow.plans.curate import build_and_save_curated
 from strataflow.plans.ingest import ingest_pages, ingest_records
 from strataflow.plans.ledger import RunLedger
 from strataflow.plans.mapping import build_and_save_mapping
-from strataflow.plans.processed import process_records, process_tables
+from strataflow.plans.processed import process_records, process_tables, remap_tables
+from strataflow.sinks.seen import SeenKeys
 from strataflow.sources.tables import read_mapping
 
 
@@ -53,7 +54,9 @@ def run_layers(
     """Ingest, type, map, curate and report.
 
     Typed tables are fed by the file streams of RAW: whatever an earlier run landed
-    but failed to type is typed now, and a changed page replaces its own rows alone.
+    but failed to type is typed now, and a changed page replaces its own rows alone. Records
+    are told new by their content, so late revisions of any year arrive, and names
+    that the API brings later are given to the rows of pages typed before.
     With ``skip_empty_fit`` a missing regression does not end the run.
     """
     layers, done = Layers(root), Artefacts()
@@ -66,8 +69,9 @@ def run_layers(
         done.rows[step] = 0 if written is None else written.rows
 
     raw = ingest_records(
-        envelopes, layers.path("raw", "gdp"), ledger, min_year=min_year, max_year=max_year, now=now
-    )
+        envelopes, layers.path("raw", "gdp"), ledger, min_year=min_year, max_year=max_year,
+        seen=SeenKeys(spark, layers.path("metadata", "seen_records")), now=now,
+    )
     note("records_raw", raw)
     note("records_processed", process_records(spark, layers.path("raw", "gdp"), gdp, layers.path("state", "gdp")))
     note("mapping", build_and_save_mapping(spark, gdp, mapping, overrides_path))
@@ -76,10 +80,11 @@ def run_layers(
         spark, layers.path("raw", "co2"), co2, layers.path("state", "co2"), read_mapping(spark, mapping), values=page_values
     )
     note("tables_processed", typed)
+    note("tables_remapped", remap_tables(spark, mapping, layers.path("state", "applied_mapping"), co2))
     note("curated", build_and_save_curated(spark, gdp, co2, curated, ledger, now=now))
     try:
         done.paths.update(build_regression(spark, curated, layers.path("analytics"), now=now))
-    except RuntimeError:
+    except EmptyFit:
         if not skip_empty_fit:
             raise
     done.paths["summary"] = build_correlation_summary(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.functions.hashing import canonical_json
@@ -16,6 +16,7 @@ from strataflow.operators.project import with_audit, year_between
 from strataflow.plans import defaults
 from strataflow.plans.ledger import SKIPPED, RunLedger
 from strataflow.session import discard, settle
+from strataflow.sinks.seen import SeenKeys
 from strataflow.sinks.tables import Written, write_raw
 from strataflow.sources.landed import read_json_lines, unpack_envelope
 
@@ -40,6 +41,11 @@ def new_records(records: DataFrame, baseline: int | None, max_year: int | None,
     return year_between(dated, "_year", baseline, max_year).drop("_year")
 
 
+def record_key() -> Column:
+    """What an API record is about: entity, indicator and date."""
+    return F.sha1(F.to_json(F.struct("countryiso3code", "country.id", "country.value", "indicator.id", "date"), {"ignoreNullFields": "false"}))
+
+
 def ingest_records(
     envelopes: DataFrame,
     raw_root: str,
@@ -49,17 +55,23 @@ def ingest_records(
     max_year: int | None = None,
     run_scope: str = defaults.RECORD_SCOPE,
     checkpoint_key: str = defaults.RECORD_CHECKPOINT,
+    seen: SeenKeys | None = None,
     now: datetime | None = None,
 ) -> Written:
     """Append the new records of landed API pages to RAW and move the year mark.
 
-    Late revisions of years at or below the mark are not loaded. Count and new
-    mark are observed while writing, so the pages are read once.
+    Records above the mark are new. Where ``seen`` keeps the last hash of every record, the hash tells instead:
+    records of any year are loaded that were not met before, or with another content
+    last. The hashes are noted once the records are written; a run that dies in between
+    loads them again, and typing keeps one row a key.
+
+    Count and new mark are observed while writing.
     """
     stamp = now or datetime.now(timezone.utc)
     with ledger.run(run_scope) as run:
         checkpoint = ledger.load_checkpoint(checkpoint_key)
-        fresh = new_records(unpack_envelope(envelopes), baseline_year(checkpoint, min_year), max_year)
+        baseline = baseline_year(None if seen is not None else checkpoint, min_year)
+        fresh = new_records(unpack_envelope(envelopes), baseline, max_year)
         path = f"{raw_root.rstrip('/')}/{run_scope}_raw_{stamp:%Y%m%dT%H%M%S%fZ}"
         audited = with_audit(
             fresh,
@@ -70,8 +82,21 @@ def ingest_records(
             location=path,
             canonical=True,
         ).drop("payload")
-        written = write_raw(audited, path, {"max_year": F.max(parse_year("date"))})
+        if seen is not None:
+            # Read twice, for the folders to look into and for the records.
+            audited = settle(audited.withColumn("_key", record_key()))
+            kept = seen.changed(audited, "_key", "record_hash").drop("_key")
+        else:
+            kept = audited
+        written = write_raw(kept, path, {"max_year": F.max(parse_year("date"))})
+        if seen is not None:
+            stored = read_json_lines(envelopes.sparkSession, path, schemas.RAW_RECORD)
+            seen.add(stored, record_key(), "record_hash", F.lit(stamp))
+            discard(audited)
         newest = written.metrics.get("max_year")
+        if newest is not None and checkpoint is not None and seen is not None:
+            # A run that brought revisions of old years alone doesn't move the mark back.
+            newest = max(newest, baseline_year(checkpoint, None) or newest)
         if newest is not None:
             ledger.save_checkpoint(checkpoint_key, newest)
         run.rows = written.rows

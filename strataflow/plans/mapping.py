@@ -50,6 +50,13 @@ def build_mapping(processed: DataFrame, overrides: DataFrame) -> DataFrame:
     )
 
 
+def mapping_changes(wanted: DataFrame, applied: DataFrame) -> DataFrame:
+    """Mapping rows whose key is new, or whose code or name is another than in ``applied``."""
+    before = applied.select(KEY, F.struct(*VALUES).alias("_before"))
+    joined = wanted.join(before, KEY, "left")
+    return joined.where(~F.col("_before").eqNullSafe(F.struct(*VALUES))).drop("_before")
+
+
 def build_and_save_mapping(
     spark: SparkSession, processed_path: str, out: str, overrides_path: str | None = None
 ) -> Written:

@@ -15,7 +15,10 @@ from strataflow.operators.joins import map_keys
 from strataflow.operators.project import align, drop_blank
 from strataflow.operators.reshape import unnest_rows, wide_to_long
 from strataflow.plans import defaults
-from strataflow.sinks.tables import Written
+from strataflow.plans.mapping import KEY, VALUES, mapping_changes
+from strataflow.session import discard, settle
+from strataflow.sinks.tables import Written, overwrite_partitions, replace_table
+from strataflow.sources.tables import only_partitions, read_mapping, read_table
 from strataflow.streaming.increments import load_new_files
 
 
@@ -67,10 +70,12 @@ def type_table_rows(
     )
     columns = {f"_{year}": year for year in values.values()}
     long = align(wide_to_long(wide, ids, columns, value="co2_tons_per_capita"), schemas.PROCESSED_CO2)
-    if mapping is None:
-        return long
-    mapped = map_keys(long, mapping, key="country_name_normalized", values=["country_code", "country_name"])
-    return mapped.select(*schemas.PROCESSED_CO2.fieldNames())
+    return long if mapping is None else map_names(long, mapping)
+
+
+def map_names(rows: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Typed table rows with the code and name that the mapping has for their name key."""
+    return map_keys(rows, mapping, key=KEY, values=VALUES).select(*rows.columns)
 
 
 def process_records(spark: SparkSession, raw_root: str, out: str, state: str) -> Written:
@@ -103,3 +108,30 @@ def process_tables(
         spark, raw_root, schemas.RAW_TABLE, out, state,
         lambda raw: type_table_rows(latest_page(raw), mapping, values=values), owner="page_url",
     )
+
+
+def remap_tables(spark: SparkSession, mapping: str, applied: str, out: str) -> Written:
+    """Map stored rows anew whose name key the mapping has got or changed since it was last applied.
+
+    ``applied`` keeps the mapping as it was then, and is replaced once the rows are
+    written: a run that dies before repeats the same changes, which alters nothing. Only
+    years that hold a row to be altered are written. A name key that left the mapping keeps what
+    its rows have. ``rows`` counts the altered ones.
+    """
+    wanted = read_mapping(spark, mapping)
+    changes = settle(mapping_changes(wanted, read_table(spark, applied, schemas.MAPPING)))
+    if changes.isEmpty():
+        discard(changes)
+        return Written(out, 0)
+    stored = read_table(spark, out, schemas.PROCESSED_CO2)
+    old = F.struct(*VALUES)
+    altered = map_names(stored.select(KEY, "year", *VALUES, old.alias("_old")).join(changes.select(KEY), KEY, "left_semi"), changes)
+    years = settle(altered.where(~F.struct(*VALUES).eqNullSafe(F.col("_old"))).groupBy("year").agg(F.count(F.lit(1)).alias("n")))
+    count = years.agg(F.sum("n")).first()[0] or 0
+    if count:
+        new = settle(map_names(only_partitions(stored, years, ["year"]), changes))
+        overwrite_partitions(new, out)
+        discard(new)
+    replace_table(wanted, applied)
+    discard(changes, years)
+    return Written(out, count)

@@ -51,9 +51,9 @@ class SeenKeys:
 
         A value that comes back after another one has changed, too.
         """
-        last = self.near(rows, key).select(F.col("key").alias("_key"), F.col("value").alias("_value"))
-        same = F.col(key).eqNullSafe(F.col("_key")) & F.col(key).isNotNull() & F.col(value).eqNullSafe(F.col("_value"))
-        return rows.join(last, F.col(key) == F.col("_key"), "left").where(~F.coalesce(same, F.lit(False))).drop("_key", "_value")
+        last = self.near(rows, key).select(F.col("key").alias("_seen_key"), F.col("value").alias("_seen_value"))
+        same = F.col(key).eqNullSafe(F.col("_seen_key")) & F.col(key).isNotNull() & F.col(value).eqNullSafe(F.col("_seen_value"))
+        return rows.join(last, F.col(key) == F.col("_seen_key"), "left").where(~F.coalesce(same, F.lit(False))).drop("_seen_key", "_seen_value")
 
     def add(self, rows: DataFrame, key: Column | str, value: Column | str | None = None, seen_ts: Column | None = None) -> None:
         """Append the keys of a run: one file for each folder they fall into."""

@@ -512,3 +512,73 @@ def test_seen_keys_are_looked_up_by_folder(spark):
         seen.add(frame([("key7", "2")]), "k", "v")
     assert seen.compact(files=2) == 1 and seen.compact(files=2) == 0
     assert changed() == wanted
+
+
+def co2_rows(spark, root):
+    table = read_table(spark, f"{root}/processed/co2", schemas.PROCESSED_CO2)
+    return {(r["country_name"], r["country_code"], r["year"]) for r in table.collect()}
+
+
+def test_names_that_come_later_reach_typed_rows(spark, monkeypatch):
+    root = fresh_folder(spark, "layers")
+    first = envelopes(spark, [record("AAA", "Alpha", "2000", 100)])
+    both = envelopes(spark, [record("AAA", "Alpha", "2000", 100), record("BBB", "Betaland", "2000", 5)])
+    pages = co2_page(spark, [("ALPHA", "1", "2"), ("Beta-land", "3", "–"), ("betaland", "–", "4"), ("Nowhere", "1", "–")], 10)
+    # A header's year 2023 comes first, then 2000.
+    run_layers(spark, first, pages, root, skip_empty_fit=True, now=DAY)
+    assert ("betaland", None, 2000) in co2_rows(spark, root)
+    monkeypatch.setattr(processed, "overwrite_partitions", lambda *_: 1 / 0)
+    day = lambda n: datetime(2024, 1, n, tzinfo=timezone.utc)
+    with pytest.raises(ZeroDivisionError):
+        run_layers(spark, both, pages, root, skip_empty_fit=True, now=day(2))
+    monkeypatch.undo()
+    # The run that died had the mapping written; the next one makes its rows up.
+    done = run_layers(spark, both, pages, root, skip_empty_fit=True, now=day(3))
+    assert done.rows["tables_remapped"] == 1
+    rows = co2_rows(spark, root)
+    assert rows == {
+        ("Alpha", "AAA", 2000), ("Alpha", "AAA", 2023), ("Beta-land", None, 2023), ("Betaland", "BBB", 2000), ("Nowhere", None, 2023),
+    }
+    assert {r["country_code"] for r in read_curated(spark, f"{root}/curated/country_year").collect()} == {"AAA", "BBB"}
+    again = run_layers(spark, both, pages, root, skip_empty_fit=True, now=day(4))
+    assert again.rows["tables_remapped"] == 0 and co2_rows(spark, root) == rows
+
+
+def test_only_years_of_changed_names_are_written(spark):
+    root = fresh_folder(spark, "remap")
+    rows = spark.createDataFrame(
+        [("Aland", "aland", "AAA", 2000, 1.0), ("bland", "bland", None, 2001, 2.0), ("Aland", "aland", "AAA", 2001, 2.0), (None, "bland", None, 2001, 3.0)],
+        "country_name string, country_name_normalized string, country_code string, year int, co2_tons_per_capita double",
+    )
+    overwrite_partitions(align(rows, schemas.PROCESSED_CO2), f"{root}/co2")
+    files = lambda year: {f for f in spark.read.parquet(f"{root}/co2").inputFiles() if f"year={year}" in f}
+    before = files(2000), files(2001)
+    names = spark.createDataFrame([("aland", "AAA", "Aland", "w"), ("bland", "BBB", "Bland", "w"), (None, "X", "X", "w")], schemas.MAPPING)
+    names.write.parquet(f"{root}/mapping")
+    assert processed.remap_tables(spark, f"{root}/mapping", f"{root}/applied", f"{root}/co2").rows == 2
+    assert files(2000) == before[0] and not files(2001) & before[1]
+    stored = read_table(spark, f"{root}/co2", schemas.PROCESSED_CO2).collect()
+    assert sorted((r["country_code"], r["country_name"], r["year"]) for r in stored) == [
+        ("AAA", "Aland", 2000), ("AAA", "Aland", 2001), ("BBB", "Bland", 2001), ("BBB", "Bland", 2001),
+    ]
+
+
+def test_records_revised_late_and_set_back(spark, ledger):
+    root = fresh_folder(spark, "ingest")
+    seen = SeenKeys(spark, f"{root}/seen")
+
+    def load(day, *records, **options):
+        now = datetime(2024, 1, day, tzinfo=timezone.utc)
+        return ingest.ingest_records(envelopes(spark, list(records)), f"{root}/raw", ledger, seen=seen, now=now, **options)
+
+    old, new = record("AAA", "Alpha", "1999", 1), record("AAA", "Alpha", "2005", 2)
+    assert load(1, old, new).rows == 2
+    assert load(2, old, new).rows == 0
+    changed = record("AAA", "Alpha", "1999", 7)
+    assert load(3, changed, new).rows == 1
+    # A value that comes back has changed again; the mark stays where it was.
+    assert load(4, old, new).rows == 1
+    assert ledger.load_checkpoint(defaults.RECORD_CHECKPOINT) == "2005"
+    assert load(5, record("AAA", "Alpha", "1990", 1), min_year=1995).rows == 0
+    assert load(6, record("AAA", "Alpha", "2020", 1), max_year=2010).rows == 0
+    assert ledger.list_runs().count() == 6
