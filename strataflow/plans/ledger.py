@@ -1,4 +1,4 @@
-"""Run ledger: append-only event tables, folded into the latest state when read."""
+"""Run ledger: append-only event logs, folded into the latest state when read, and compacted as they grow."""
 
 from __future__ import annotations
 
@@ -13,31 +13,58 @@ from pyspark.sql import functions as F
 
 from strataflow import schemas
 from strataflow.operators.dedup import latest_value
-from strataflow.sources.tables import read_table
+from strataflow.sinks.eventlog import COMPACT_AFTER, EventLog
 
 RUNNING, SUCCESS, FAILED, SKIPPED = "RUNNING", "SUCCESS", "FAILED", "SKIPPED"
 
 
+def _order():
+    return F.struct("event_ts", (F.col("status") != RUNNING).alias("ended"))
+
+
+_LATEST = ["status", "rows_processed", "last_checkpoint", "error_message"]
+
+
+def begin_runs(events: DataFrame) -> DataFrame:
+    """One mergeable row an event: each field with the time that decides about it."""
+    ended = F.col("status") != RUNNING
+
+    def timed(name: str, keep=True):
+        return F.when(keep, F.struct(_order().alias("at"), F.col(name).alias("value"))).alias(name)
+
+    return events.select(
+        "ingestion_run_id",
+        timed("run_scope", F.lit(True)),
+        F.when(~ended, F.col("event_ts")).alias("start_ts"),
+        F.when(ended, F.col("event_ts")).alias("end_ts"),
+        *[timed(name, F.col(name).isNotNull()) for name in _LATEST],
+    )
+
+
+def merge_runs(rows: DataFrame) -> DataFrame:
+    """One mergeable row a run; merging in parts gives the same."""
+    return rows.groupBy("ingestion_run_id").agg(
+        F.min("run_scope").alias("run_scope"),
+        F.min("start_ts").alias("start_ts"),
+        F.max("end_ts").alias("end_ts"),
+        *[F.max(name).alias(name) for name in _LATEST],
+    )
+
+
+def finish_runs(merged: DataFrame) -> DataFrame:
+    """The run as it is reported."""
+    return merged.select(
+        "ingestion_run_id", F.col("run_scope.value").alias("run_scope"), "start_ts", "end_ts",
+        *[F.col(f"{name}.value").alias(name) for name in _LATEST],
+    )
+
+
 def fold_runs(events: DataFrame) -> DataFrame:
     """One row per run: its start, its end if there is one, and its latest state.
 
     A field an end event leaves NULL keeps its earlier value.
     """
-    ended = F.col("status") != RUNNING
-    order = F.struct("event_ts", ended.alias("ended"))
-
-    def latest(name: str):
-        return F.max_by(name, F.when(F.col(name).isNotNull(), order)).alias(name)
-
-    return events.groupBy("ingestion_run_id").agg(
-        F.min_by("run_scope", order).alias("run_scope"),
-        F.min(F.when(~ended, F.col("event_ts"))).alias("start_ts"),
-        F.max(F.when(ended, F.col("event_ts"))).alias("end_ts"),
-        latest("status"),
-        latest("rows_processed"),
-        latest("last_checkpoint"),
-        latest("error_message"),
-    )
+    return finish_runs(merge_runs(begin_runs(events)))
 
 
 def last_run_per_scope(runs: DataFrame) -> DataFrame:
@@ -64,25 +91,21 @@ class RunState:
 class RunLedger:
     """Runs and checkpoints under one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, compact_after: int = COMPACT_AFTER):
         self.spark = spark
-        self.runs_path = f"{root.rstrip('/')}/runs"
-        self.checkpoints_path = f"{root.rstrip('/')}/checkpoints"
-
-    def _append(self, path: str, row: tuple, schema) -> None:
-        values = [F.lit(value).cast(f.dataType).alias(f.name) for value, f in zip(row, schema.fields)]
-        self.spark.range(0, 1, 1, 1).select(values).write.mode("append").parquet(path)
+        base = root.rstrip("/")
+        self.run_log = EventLog(spark, f"{base}/runs", schemas.LEDGER, begin_runs, merge_runs, compact_after)
+        self.mark_log = EventLog(
+            spark, f"{base}/checkpoints", schemas.CHECKPOINTS, lambda saved: saved, fold_checkpoints, compact_after
+        )
 
-    def events(self) -> DataFrame:
-        return read_table(self.spark, self.runs_path, schemas.LEDGER)
+    def _append(self, log: EventLog, row: tuple) -> None:
+        values = [F.lit(value).cast(f.dataType).alias(f.name) for value, f in zip(row, log.schema.fields)]
+        log.append(self.spark.range(0, 1, 1, 1).select(values))
 
     def start_run(self, run_scope: str) -> str:
         run_id = str(uuid4())
-        self._append(
-            self.runs_path,
-            (run_id, run_scope, datetime.now(timezone.utc), RUNNING, None, None, None),
-            schemas.LEDGER,
-        )
+        self._append(self.run_log, (run_id, run_scope, datetime.now(timezone.utc), RUNNING, None, None, None))
         return run_id
 
     def end_run(
@@ -95,7 +118,7 @@ class RunLedger:
         error_message: str | None = None,
     ) -> None:
         """Append the end of a run. This does not move the checkpoint of any source."""
-        started = self.events().where(F.col("ingestion_run_id") == run_id).first()
+        started = self.list_runs().where(F.col("ingestion_run_id") == run_id).first()
         if started is None:
             raise KeyError(f"no run {run_id!r} in the ledger")
         self._close(run_id, started["run_scope"], status, rows_processed, last_checkpoint, error_message)
@@ -103,11 +126,7 @@ class RunLedger:
     def _close(self, run_id, run_scope, status, rows_processed=None, last_checkpoint=None, error_message=None) -> None:
         rows = None if rows_processed is None else int(rows_processed)
         mark = None if last_checkpoint is None else str(last_checkpoint)
-        self._append(
-            self.runs_path,
-            (run_id, run_scope, datetime.now(timezone.utc), status, rows, mark, error_message),
-            schemas.LEDGER,
-        )
+        self._append(self.run_log, (run_id, run_scope, datetime.now(timezone.utc), status, rows, mark, error_message))
 
     @contextmanager
     def run(self, run_scope: str) -> Iterator[RunState]:
@@ -121,31 +140,30 @@ class RunLedger:
         self._close(state.run_id, run_scope, state.status, state.rows, state.checkpoint)
 
     def list_runs(self, run_scope: str | None = None) -> DataFrame:
-        events = self.events()
-        if run_scope is not None:
-            events = events.where(F.col("run_scope") == run_scope)
-        return fold_runs(events)
+        runs = finish_runs(self.run_log.read())
+        return runs if run_scope is None else runs.where(F.col("run_scope") == run_scope)
 
     def last_run(self, run_scope: str | None = None) -> DataFrame:
         """The run that started last, as zero or one row."""
         return self.list_runs(run_scope).orderBy(F.desc("start_ts"), F.desc("ingestion_run_id")).limit(1)
 
     def save_checkpoint(self, source: str, value) -> None:
-        self._append(
-            self.checkpoints_path,
-            (source, None if value is None else str(value), datetime.now(timezone.utc)),
-            schemas.CHECKPOINTS,
-        )
+        self._append(self.mark_log, (source, None if value is None else str(value), datetime.now(timezone.utc)))
 
     def save_checkpoints(self, marks: DataFrame) -> None:
         """Append many (source, value) marks in one job."""
-        stamped = marks.select("source", F.col("value").cast("string"), F.lit(datetime.now(timezone.utc)).alias("saved_ts"))
-        stamped.write.mode("append").parquet(self.checkpoints_path)
+        self.mark_log.append(
+            marks.select("source", F.col("value").cast("string"), F.lit(datetime.now(timezone.utc)).alias("saved_ts"))
+        )
 
     def checkpoints(self) -> DataFrame:
-        return fold_checkpoints(read_table(self.spark, self.checkpoints_path, schemas.CHECKPOINTS))
+        return self.mark_log.read()
 
     def load_checkpoint(self, source: str, default: str | None = None) -> str | None:
-        saved = read_table(self.spark, self.checkpoints_path, schemas.CHECKPOINTS)
-        row = fold_checkpoints(saved.where(F.col("source") == source)).first()
+        row = self.checkpoints().where(F.col("source") == source).first()
         return default if row is None else row["value"]
+
+    def compact(self) -> None:
+        """Fold all events so far, so that the next read opens one state and what came after it."""
+        self.run_log.compact()
+        self.mark_log.compact()

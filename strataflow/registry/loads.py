@@ -11,6 +11,7 @@ from strataflow.registry import query
 from strataflow.registry.inputs import table
 from strataflow.session import fresh_folder
 from strataflow.sources.landed import read_envelopes
+from strataflow.sinks.eventlog import STATES
 from strataflow.sinks.tables import overwrite_partitions
 from strataflow.streaming.increments import load_new_files, merge_partitions, write_touched
 
@@ -82,6 +83,20 @@ def ledger_latest(spark, sf):
     return _printed(fold_runs(_as_runs(spark, sf)))
 
 
+@query("ledger_compacted", f"WITH {_RUNS_SQL} SELECT {_RUN_COLUMNS} FROM runs")
+def ledger_compacted(spark, sf):
+    """The same log appended in seven parts, folded after every second and once more behind a compaction that was cut short."""
+    ledger = RunLedger(spark, fresh_folder(spark, "ledger"))
+    events = _as_runs(spark, sf)
+    for part in range(7):
+        ledger.run_log.append(events.where(F.col("rows_processed").isNull() if part == 6 else F.pmod("rows_processed", F.lit(6)) == part))
+        if part % 2:
+            ledger.compact()
+    # A state without its list of files doesn't count.
+    spark.range(1).write.parquet(f"{ledger.run_log.path}/{STATES}/{10**11:012d}-cut/rows")
+    return _printed(ledger.list_runs())
+
+
 @query(
     "ledger_last_run",
     f"""WITH {_RUNS_SQL} SELECT {_RUN_COLUMNS} FROM runs

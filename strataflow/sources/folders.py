@@ -60,3 +60,23 @@ def folder_of(spark: SparkSession, file_uri: str) -> str:
     """Folder of a file named by ``_metadata.file_path``, which is a URI with its own escapes."""
     uri = spark._jvm.java.net.URI(file_uri)
     return spark._jvm.org.apache.hadoop.fs.Path(uri).getParent().toString()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file written by the driver, in place of one that is there."""
+    out = _store(spark, path).create(_path(spark, path), True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Content of a small file; None where there is none."""
+    if not exists(spark, path):
+        return None
+    source = _store(spark, path).open(_path(spark, path))
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()

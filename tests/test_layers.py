@@ -14,7 +14,7 @@ from strataflow.plans.ledger import RunLedger
 from strataflow.sinks.seen import SeenKeys
 from strataflow.sinks.tables import overwrite_partitions, write_snapshot
 from strataflow.sources import tables
-from strataflow.sources.folders import partition_values
+from strataflow.sources.folders import child_files, partition_values
 from strataflow.sources.landed import read_json_lines
 from strataflow.sources.tables import read_curated, read_mapping, read_table
 from strataflow.streaming import increments
@@ -582,3 +582,73 @@ def test_records_revised_late_and_set_back(spark, ledger):
     assert load(5, record("AAA", "Alpha", "1990", 1), min_year=1995).rows == 0
     assert load(6, record("AAA", "Alpha", "2020", 1), max_year=2010).rows == 0
     assert ledger.list_runs().count() == 6
+
+
+def many_events(spark, runs):
+    """Start and end of each run, and a checkpoint in between."""
+    at = lambda minute: (F.lit(DAY) + F.make_interval(mins=F.lit(minute) + 3 * F.col("id"))).alias("event_ts")
+    name = F.concat(F.lit("r"), F.col("id")).alias("ingestion_run_id")
+    scope = F.concat(F.lit("s"), F.col("id") % 7).alias("run_scope")
+    none = lambda kind, field: F.lit(None).cast(kind).alias(field)
+    ids = spark.range(runs)
+    started = ids.select(name, scope, at(0), F.lit("RUNNING").alias("status"), none("long", "rows_processed"), F.concat(F.lit("c"), F.col("id")).alias("last_checkpoint"), none("string", "error_message"))
+    ended = ids.select(name, scope, at(1), F.when(F.col("id") % 9 == 0, "FAILED").otherwise("SUCCESS").alias("status"), F.col("id").alias("rows_processed"), none("string", "last_checkpoint"), F.when(F.col("id") % 9 == 0, "no").alias("error_message"))
+    return started.unionByName(ended)
+
+
+def test_compacted_ledger_opens_the_state_and_the_tail(spark):
+    ledger = RunLedger(spark, fresh_folder(spark, "ledger"), compact_after=10**6)
+    log = ledger.run_log
+    events = many_events(spark, 5000).repartition(25).cache()
+    log.append(events)
+    before = sorted(map(tuple, ledger.list_runs().collect()))
+    assert len(before) == 5000 and len(log.read().inputFiles()) == 25
+    assert log.compact() == 25 and log.compact() == 0
+    files = log.read().inputFiles()
+    assert all("_states" in f for f in files) and not child_files(spark, log.path)
+    assert sorted(map(tuple, ledger.list_runs().collect())) == before
+    ledger.end_run("r5", rows_processed=77)
+    opened = log.read().inputFiles()
+    assert set(files) < set(opened) and len(opened) == len(files) + 1
+    assert ledger.list_runs("s5").where("ingestion_run_id = 'r5'").first()["rows_processed"] == 77
+    events.unpersist()
+
+
+def test_compaction_cut_short_loses_nothing(spark, monkeypatch):
+    import strataflow.sinks.eventlog as eventlog
+
+    ledger = RunLedger(spark, fresh_folder(spark, "ledger"), compact_after=10**6)
+    log = ledger.run_log
+    state = lambda: sorted(map(tuple, ledger.list_runs().collect()))
+    log.append(many_events(spark, 10).repartition(3))
+    whole = state()
+
+    def dies(*_):
+        raise OSError("cut")
+
+    # After the rows, after the list of files, and in the middle of deleting; then events that come in between.
+    for where in ("write_text", "remove"):
+        with monkeypatch.context() as patch:
+            patch.setattr(eventlog, where, dies)
+            with pytest.raises(OSError):
+                log.compact()
+        assert state() == whole
+    removed = eventlog.remove
+    with monkeypatch.context() as patch:
+        patch.setattr(eventlog, "remove", lambda spark, paths: (removed(spark, list(paths)[:1]), dies()))
+        with pytest.raises(OSError):
+            log.compact()
+    assert state() == whole and len(child_files(spark, log.path)) == 2
+    ledger.end_run("r1", "FAILED", error_message="late")
+    later = state()
+    assert [r[4] for r in later if r[0] == "r1"] == ["FAILED"] and len(later) == 10
+    assert log.compact() == 1
+    assert state() == later and not child_files(spark, log.path) and len(log._states()) == 1
+
+
+def test_ledger_compacts_itself(spark):
+    ledger = RunLedger(spark, fresh_folder(spark, "ledger"), compact_after=4)
+    for i in range(6):
+        ledger.save_checkpoint("s", i)
+    assert len(child_files(spark, ledger.mark_log.path)) <= 4
+    assert ledger.load_checkpoint("s") == "5" and ledger.checkpoints().count() == 1
