@@ -232,14 +232,24 @@ def test_collisions_are_told_apart_by_the_text(monkeypatch, buckets):
     plain = collocations.mix
     # Fingerprints of words and phrases that fall into a few values.
     monkeypatch.setattr(collocations, "mix", lambda h: plain(h) % np.uint64(buckets))
-    chunk = chunk_of(rows)
-    ids = collocations.word_ids(chunk, chunk.starts(1))
+    chunk, vocabulary = chunk_of(rows), collocations.Vocabulary()
+    ids = vocabulary.ids(chunk, chunk.starts(1))
+    codes = np.arange(len(chunk.langs))
     for n in range(1, 5):
-        got = {}
-        for first, count, doc in collocations.exact_counts(chunk, ids, chunk.starts(n), n):
-            key = chunk.langs[chunk.lang[first]], chunk.phrase(first, n)
-            assert key not in got
-            got[key] = count, (None if doc == collocations._NONE else doc)
+        whole = collocations.occurrences(chunk, ids, codes, chunk.starts(n), n)
+        # Put together of two halves of the occurrences, too.
+        halves = [collocations.occurrences(chunk, ids, codes, chunk.starts(n)[i::2], n) for i in range(2)]
+        both = collocations.Counted.joined(halves).added_up()
+        told = []
+        for some in (whole, both):
+            got = {}
+            for words, code, count, doc in zip(some.words.tolist(), some.lang.tolist(), some.count.tolist(), some.doc.tolist()):
+                key = chunk.langs[code], b" ".join(vocabulary.words[w] for w in words)
+                assert key not in got
+                got[key] = count, (None if doc == collocations._NONE else doc)
+            told.append(got)
+        assert told[0] == told[1]
+        got = told[0]
         wanted, docs = Counter(), {}
         for doc, text, lang in rows:
             for piece in re.split(rb"[.,;:!?\x0A-\x0D]", text.translate(ASCII_LOWER).encode()):
@@ -252,6 +262,27 @@ def test_collisions_are_told_apart_by_the_text(monkeypatch, buckets):
         assert got == {k: (c, docs.get(k)) for k, c in wanted.items()}
 
 
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2**48 - 1), st.integers(1, 2**40)), max_size=60), st.sampled_from([1, 16, 4096]))
+def test_blocks_of_counts_come_back(rows, buckets):
+    keys = np.array([k for k, _ in rows], np.uint64)
+    summed = collocations.add_up(keys, np.array([c for _, c in rows], np.int64))
+    back = [collocations.unpack(b, block, buckets) for b, block in collocations.pack(*summed, buckets)]
+    got = {k: c for keys, counts in back for k, c in zip(keys.tolist(), counts.tolist())}
+    wanted = Counter()
+    for key, count in rows:
+        wanted[key] += count
+    assert got == wanted
+
+
+def test_counts_are_handed_on_in_parts(spark, monkeypatch):
+    rows = phrase_rows()
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+    monkeypatch.setattr(collocations, "HELD", 50)
+    monkeypatch.setattr(collocations, "CHUNK", 300)
+    assert mined(mine_phrases(frame, least=4)) == brute_phrases(rows, 4, 2000)
+
+
 def test_long_texts_are_cut_at_pieces(monkeypatch):
     import pyarrow as pa
 
