@@ -5,6 +5,7 @@ All of it is row-local, so pages are parsed where they are read: no shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -77,14 +78,19 @@ def cell_text(fragment: Column | str) -> Column:
     return clean_cell(visible_text(fragment))
 
 
-def elements(html: Column | str, tag: str) -> Column:
-    """Every ``tag`` element in document order, as text without its closing tag.
+def tag_marks(tag: str) -> tuple[str, str]:
+    """Patterns of where an opening and a closing tag begin; ``tag`` may be an alternation such as ``th|td``."""
+    return rf"<(?:{tag})(?=[\s/>])", rf"</(?:{tag})(?=[\s>])"
 
-    ``tag`` may be an alternation such as ``th|td``. An element left open runs
-    to the end of the text. Most markup does not nest a tag in itself, which one
-    regular expression finds; the rest is matched with a stack.
-    """
-    opening, closing = rf"<(?:{tag})(?=[\s/>])", rf"</(?:{tag})(?=[\s>])"
+
+def split_at(text: Column, *marks: str) -> Column:
+    """Pieces of a text, each but the first beginning at a mark."""
+    return F.split(text, rf"(?i)(?={'|'.join(marks)})")
+
+
+def flat_or_nested(html: Column | str, tag: str, flat: Callable[[Column], Column], nested: Callable[[Column], Column]) -> Column:
+    """``flat`` of the elements where the tag isn't nested in itself, which one regular expression finds; else ``nested`` of the text."""
+    opening, _ = tag_marks(tag)
     # Possessive, so that long elements need neither backtracking nor stack.
     one_level = rf"(?i){opening}[^<]*+(?:<(?!/(?:{tag})[\s>])[^<]*+)*+"
     reopened = rf"(?i)^.[\s\S]*?{opening}"
@@ -92,48 +98,98 @@ def elements(html: Column | str, tag: str) -> Column:
     def find(text: Column) -> Column:
         return bind(
             F.regexp_extract_all(text, F.lit(one_level), F.lit(0)),
-            lambda flat: F.when(
-                F.exists(flat, lambda e: e.rlike(reopened)), _nested_elements(text, opening, closing)
-            ).otherwise(flat),
+            lambda found: F.when(F.exists(found, lambda e: e.rlike(reopened)), nested(text)).otherwise(flat(found)),
         )
 
     return bind(html, find)
 
 
-def _nested_elements(text: Column, opening: str, closing: str) -> Column:
-    """Elements by matching opening and closing tags with a stack of open ones."""
-    start = F.struct(
-        F.array().cast("array<int>").alias("open"),
-        F.array().cast("array<struct<lo:int,hi:int>>").alias("spans"),
-    )
+def elements(html: Column | str, tag: str) -> Column:
+    """Every ``tag`` element in document order, as text without its closing tag.
 
-    def advance(state: Column, mark: Column) -> Column:
-        is_open = state["open"]
-        depth = F.size(is_open)
-        span = F.struct(F.element_at(is_open, -1).alias("lo"), mark["at"].alias("hi"))
-        pushed = F.struct(F.array_append(is_open, mark["at"]).alias("open"), state["spans"].alias("spans"))
-        popped = F.struct(
-            F.slice(is_open, F.lit(1), depth - 1).alias("open"),
-            F.array_append(state["spans"], span).alias("spans"),
-        )
-        return F.when(mark["step"] == 1, pushed).when((mark["step"] == -1) & (depth > 0), popped).otherwise(state)
-
-    def match(pieces: Column) -> Column:
-        marks = F.transform(
-            pieces,
-            lambda p, i: F.struct(
-                i.alias("at"),
-                F.when(p.rlike(rf"(?i)^{opening}"), 1).when(p.rlike(rf"(?i)^{closing}"), -1).otherwise(0).alias("step"),
-            ),
+    An element left open runs to the end of the text, and a closing tag that closes
+    nothing is passed over.
+    """
+    opening, closing = tag_marks(tag)
+
+    def nested(text: Column) -> Column:
+        return bind(
+            split_at(text, opening, closing),
+            lambda pieces: F.transform(element_spans(pieces, tag), lambda s: joined(pieces, s)),
         )
 
-        def finish(state: Column) -> Column:
-            rest = F.transform(state["open"], lambda lo: F.struct(lo.alias("lo"), F.size(pieces).alias("hi")))
-            return F.array_sort(F.concat(state["spans"], rest))
+    return flat_or_nested(html, tag, lambda found: found, nested)
 
-        return F.transform(
-            F.aggregate(marks, start, advance, finish),
-            lambda s: F.array_join(F.slice(pieces, s["lo"] + 1, s["hi"] - s["lo"]), ""),
-        )
 
-    return bind(F.split(text, rf"(?i)(?={opening}|{closing})"), match)
+def joined(pieces: Column, span: Column) -> Column:
+    """Text of a span of pieces."""
+    return F.array_join(F.slice(pieces, span["lo"] + 1, span["hi"] - span["lo"]), "")
+
+
+#: Distances of a running fold by doubling; texts have fewer marks than their sum.
+_DISTANCES = [1 << i for i in range(30)]
+
+
+def _depths(steps: Column) -> Column:
+    """Depth behind each of the steps +1 and -1, never below 0.
+
+    A step is the function max(floor, x + shift). Functions are composed with those 1, 2, 4, ...
+    places before, so n marks take n log n and no array grows.
+    """
+    functions = F.transform(steps, lambda s: F.struct(F.lit(0).alias("floor"), s.alias("shift")))
+
+    def compose(found: Column, distance: Column) -> Column:
+        def one(f: Column, i: Column) -> Column:
+            return bind(
+                F.get(found, i - distance),
+                lambda before: F.when(before.isNull(), f).otherwise(
+                    F.struct(
+                        F.greatest(f["floor"], before["floor"] + f["shift"]).alias("floor"),
+                        (before["shift"] + f["shift"]).alias("shift"),
+                    )
+                ),
+            )
+
+        return F.transform(found, one)
+
+    distances = F.filter(F.array(*[F.lit(d) for d in _DISTANCES]), lambda d: d < F.size(steps))
+    return F.transform(F.aggregate(distances, functions, compose), lambda f: F.greatest(f["floor"], f["shift"]))
+
+
+def element_spans(pieces: Column, tag: str) -> Column:
+    """Which pieces each element takes, as (lo, hi) in the order of their beginnings.
+
+    Opening and closing tags are paired by depth: in the order of (depth, place) each is
+    next to its partner.
+    """
+    opening, closing = tag_marks(tag)
+    step = lambda p: F.when(p.rlike(rf"(?i)^{opening}"), 1).when(p.rlike(rf"(?i)^{closing}"), -1).otherwise(0)
+    placed = F.filter(
+        F.transform(pieces, lambda p, i: F.struct(i.alias("at"), step(p).alias("step"))), lambda m: m["step"] != 0
+    )
+
+    def pair(marks: Column) -> Column:
+        def level(depths: Column) -> Column:
+            # An element has the depth behind its opening tag, which is that before its closing tag.
+            return F.transform(
+                marks,
+                lambda m, i: F.struct(
+                    F.when(m["step"] == 1, F.get(depths, i)).otherwise(F.coalesce(F.get(depths, i - 1), F.lit(0))).alias("depth"),
+                    m["at"].alias("at"),
+                    m["step"].alias("step"),
+                ),
+            )
+
+        def spans(ordered: Column) -> Column:
+            def span(m: Column, i: Column) -> Column:
+                partner = F.get(ordered, i + 1)
+                closed = (partner["depth"] == m["depth"]) & (partner["step"] == -1)
+                hi = F.when(closed, partner["at"]).otherwise(F.size(pieces))
+                return F.when(m["step"] == 1, F.struct(m["at"].alias("lo"), hi.alias("hi")))
+
+            return F.array_sort(F.filter(F.transform(ordered, span), lambda s: s.isNotNull()))
+
+        levels = bind(_depths(F.transform(marks, lambda m: m["step"])), level)
+        return bind(F.array_sort(F.filter(levels, lambda m: m["depth"] > 0)), spans)
+
+    return bind(placed, pair)

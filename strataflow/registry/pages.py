@@ -75,6 +75,27 @@ def html_table_pick(spark, sf):
     )
 
 
+@query(
+    "html_nested_tables",
+    f"""WITH {_ITEMS_SQL}
+SELECT page_id, 'Location;V' AS headers, nullif(text, '') AS location, nullif(text, '') AS v FROM texts
+UNION ALL SELECT page_id, 'Location;V', nullif(text, ''), NULL FROM texts""",
+)
+def html_nested_tables(spark, sf):
+    """The link list as a table each row of which holds a table of its own: rows and cells of both are read."""
+    html = F.col("html")
+    for old, new in (
+        ("<li>", "<tr><td><table><tr><td>"),
+        ("</li>", "</td></tr></table></td><td>1</td></tr>"),
+        ("<ul>", '<table><tr><td><table></table></td></tr></table><table class="wikitable"><tr><th>Location</th><th>V</th></tr>'),
+        ("</ul>", "</table>"),
+    ):
+        html = F.replace(html, F.lit(old), F.lit(new))
+    tables = page_tables(table(spark, sf, "pages").withColumn("html", html))
+    rows = tables.select("page_id", F.array_join("headers", ";").alias("headers"), F.explode("rows").alias("row"))
+    return rows.select("page_id", "headers", F.col("row")["Location"].alias("location"), F.col("row")["V"].alias("v"))
+
+
 @query(
     "page_snapshots",
     f"""WITH {_ITEMS_SQL}

@@ -1,3 +1,7 @@
+import random
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,4 +109,62 @@ def test_element_texts(spark):
 def test_parse_runs_once_per_page(spark):
     pages = spark.createDataFrame([(1, PAGE)], "page_id int, html string")
     plan = html_tables.page_tables(pages).where(F.size("rows") > 1)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("<caption") == 1
+    assert plan.count("AS _table_of_page") == plan.count("AS _rows_of_page") == plan.count("AS _headers_of_page") == 1
+
+
+def stack_elements(text, tag):
+    """Elements by a plain stack of open tags."""
+    marks = [(m.start(), m.group(0)[1] != "/") for m in re.finditer(rf"(?i)<{tag}(?=[\s/>])|</{tag}(?=[\s>])", text)]
+    open_, found = [], []
+    for at, opens in marks:
+        if opens:
+            open_.append(at)
+        elif open_:
+            found.append((open_.pop(), at))
+    found += [(at, len(text)) for at in open_]
+    return [text[lo:hi] for lo, hi in sorted(found)]
+
+
+def test_any_order_of_tags_is_matched_as_by_a_stack(values):
+    draw = random.Random(3)
+    parts = ["<b>", "</b>", "<B x='1'>", "</b >", "<br>", "t", "é", "</i>"]
+    texts = ["".join(draw.choices(parts, k=draw.randrange(16))) for _ in range(500)]
+    assert values(markup.elements("v", "b"), texts) == [stack_elements(t, "b") for t in texts]
+
+
+def test_deep_and_long_nests_are_matched(values):
+    texts = ["<b>" * 40 + "x" + "</b>" * 35, "<b>" + "<b>y</b>" * 700 + "</b>", "</b>" * 9 + "<b><b></b>" * 300]
+    assert values(markup.elements("v", "b"), texts) == [stack_elements(t, "b") for t in texts]
+
+
+def test_captions_and_text_of_nested_candidates(parsed):
+    table = lambda name, inner="", caption="": f'<table class="wikitable">{caption}<tr><th>{name}</th></tr><tr><td>1 {inner}</td></tr></table>'
+    caption = "<caption>CO2 x</caption>"
+    # The inner one by its caption, although the outer one has that caption in its text too, as its first.
+    assert [r["headers"] for r in parsed(table("A", table("B", caption=caption)))] == [["A"]]
+    outside = table("A", table("B")) + table("C", table("D", caption=caption))
+    assert [r["headers"] for r in parsed(outside)] == [["C"]]
+    # A caption of another table within comes first and is not wanted; the whole text is.
+    text = table("E", "<table><caption>other</caption><tr><td>co2 per capita</td></tr></table>")
+    assert [r["headers"] for r in parsed(table("A", table("B")) + text)] == [["E"]]
+    assert [r["headers"] for r in parsed(table("A", table("B")) + table("C"))] == [["A"]]
+
+
+@pytest.mark.parametrize("shape", ["deep", "wide", "classed"])
+def test_time_follows_the_number_of_nested_tags(spark, shape):
+    def page(n):
+        if shape == "deep":
+            return "<table>" * n + "</table>" * n + "<table class=wikitable><tr><th>A</th></tr></table>"
+        inner = "<table class=wikitable>" if shape == "classed" else "<table>"
+        return "<table class=wikitable><tr><th>A</th></tr><tr><td>" + f"{inner}</table>" * n + "</td></tr></table>"
+
+    def seconds(n):
+        frame = spark.createDataFrame([(1, page(n))], "page_id int, html string").cache()
+        frame.count()
+        start = time.perf_counter()
+        assert [r["headers"] for r in html_tables.page_tables(frame).collect()] == [["A"]]
+        return time.perf_counter() - start
+
+    seconds(2000)
+    small, large = (min(seconds(n) for _ in range(3)) for n in (8000, 16000))
+    assert large <= 2.3 * small + 0.2
