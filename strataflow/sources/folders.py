@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
@@ -23,21 +24,22 @@ def exists(spark: SparkSession, path: str) -> bool:
     return _store(spark, path).exists(_path(spark, path))
 
 
-def _children(spark: SparkSession, path: str, folders: bool) -> list[str]:
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names right below a path, none where it isn't there."""
     store, where = _store(spark, path), _path(spark, path)
     if not store.exists(where):
         return []
-    return sorted(s.getPath().getName() for s in store.listStatus(where) if s.isDirectory() == folders)
+    return sorted(path.getName() for path in spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(store.listStatus(where)))
 
 
 def child_folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders right below a path; none where the path isn't there."""
-    return _children(spark, path, True)
+    """Names of what lies right below a folder of folders; none where the path isn't there."""
+    return [name for name in _names(spark, path) if name[0] != "."]
 
 
 def child_files(spark: SparkSession, path: str) -> list[str]:
     """Names of the data files right below a path."""
-    return [name for name in _children(spark, path, False) if name[0] not in "_."]
+    return [name for name in _names(spark, path) if name[0] not in "_."]
 
 
 def partition_values(spark: SparkSession, path: str, name: str) -> dict[str | None, str]:
@@ -50,6 +52,29 @@ def partition_values(spark: SparkSession, path: str, name: str) -> dict[str | No
     return found
 
 
+#: Folders looked into at a time.
+LISTINGS = 16
+
+
+def newest_folders(
+    spark: SparkSession, path: str, key: str, version: str, wanted: Callable[[str], bool] | None = None, up_to: str | None = None
+) -> list[str]:
+    """Of each ``key=`` folder the ``version=`` folder that sorts last, level by level.
+
+    Neither the files of the newest versions nor those of older ones are listed. Keys that aren't
+    ``wanted`` are not looked into, nor is the NULL key.
+    """
+    keys = [f for value, f in partition_values(spark, path, key).items() if value is not None and (wanted is None or wanted(value))]
+
+    def newest(folder: str) -> str | None:
+        versions = partition_values(spark, folder, version)
+        seen = [v for v in versions if v is not None and (up_to is None or v <= up_to)]
+        return versions[max(seen)] if seen else None
+
+    with ThreadPoolExecutor(LISTINGS) as pool:
+        return [folder for folder in pool.map(newest, keys) if folder is not None]
+
+
 def remove(spark: SparkSession, paths: Iterable[str]) -> None:
     """Delete folders or files, those that are gone already too."""
     for path in paths:

@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from strataflow import schemas
 from strataflow.functions.text import partition_value
+from strataflow.sources.folders import newest_folders
 
 # Up to this many partitions are also named in a literal filter, which prunes the scan.
 MAX_LITERAL_PARTITIONS = 500
@@ -53,24 +54,11 @@ def only_partitions(table: DataFrame, wanted: DataFrame, columns: Sequence[str])
     return table.where(reduce(or_, [reduce(and_, [F.col(c).eqNullSafe(v[c]) for c in columns]) for v in values]))
 
 
-def stored_partitions(table: DataFrame, path: str, columns: Sequence[str]) -> DataFrame:
-    """Distinct partition values of a stored table, from its file paths: no data file is opened."""
-    parts = list_files(table.sparkSession, path).where(F.endswith("path", F.lit(".parquet")))
-    values = [F.nullif(partition_value("path", c), F.lit("__HIVE_DEFAULT_PARTITION__")).cast(table.schema[c].dataType).alias(c) for c in columns]
-    return parts.select(*values).distinct()
-
-
-def latest_snapshots(
-    table: DataFrame, path: str, *, as_of: str | None = None, key: str = "year", snapshot: str = "snapshot_date"
-) -> DataFrame:
-    """Rows of the newest snapshot of each key, optionally as it stood on ``as_of``.
-
-    The newest pairs come from the partition folders below ``path``, where the table
-    is stored; older snapshots are neither scanned for it nor for the result.
-    """
-    pairs = stored_partitions(table, path, [key, snapshot]).where(F.col(key).isNotNull())
-    seen = pairs if as_of is None else pairs.where(F.col(snapshot) <= as_of)
-    return only_partitions(table, seen.groupBy(key).agg(F.max(snapshot).alias(snapshot)), [key, snapshot])
+def read_folders(spark: SparkSession, path: str, folders: Sequence[str], schema: StructType) -> DataFrame:
+    """The named partition folders of a table, and no others; no folder is an empty table."""
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
 
 
 def read_curated(
@@ -81,11 +69,16 @@ def read_curated(
     latest_only: bool = True,
     as_of: str | None = None,
 ) -> DataFrame:
-    """Curated rows: chosen years, newest snapshot of each unless all are wanted."""
-    stored = read_table(spark, path, schemas.CURATED)
-    table = for_years(stored, years)
+    """Curated rows: chosen years, newest snapshot of each unless all are wanted.
+
+    The newest snapshots are picked by the names of their folders, as they stood on ``as_of`` if
+    that is given; no file of an older one is listed or opened.
+    """
+    chosen = None if years is None else {int(y) for y in years}
     if latest_only:
-        return latest_snapshots(table, path, as_of=as_of) if stored.inputFiles() else table
+        wanted = None if chosen is None else lambda year: year.lstrip("-").isdigit() and int(year) in chosen
+        return read_folders(spark, path, newest_folders(spark, path, "year", "snapshot_date", wanted, as_of), schemas.CURATED)
+    table = for_years(read_table(spark, path, schemas.CURATED), chosen)
     return table if as_of is None else table.where(F.col("snapshot_date") <= as_of)
 
 

@@ -1,5 +1,6 @@
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from strataflow import fresh_folder, schemas, shared_folder
 from strataflow.operators.project import with_audit
 from strataflow.session import settle
 from strataflow.sinks import tables as sinks
-from strataflow.sources import landed, tables
+from strataflow.sources import folders, landed, tables
 
 
 @pytest.fixture
@@ -192,14 +193,32 @@ def test_snapshots(spark, snapshots):
     assert seen(tables.read_curated(spark, f"{snapshots}/none")) == []
 
 
-def test_old_snapshots_are_not_opened(spark, snapshots, monkeypatch):
+def test_old_snapshots_are_neither_listed_nor_opened(spark, snapshots):
+    root = snapshots.removeprefix("file:")
+    newest = sorted(tables.read_curated(spark, snapshots).inputFiles())
+    for i in range(5000):
+        folder = f"{root}/year={2000 + i % 2}/snapshot_date={19000000 + i}"
+        os.makedirs(folder)
+        for part in range(3):
+            with open(f"{folder}/part-{part}.parquet", "wb") as broken:
+                broken.write(b"no data")
+    start = time.perf_counter()
     latest = tables.read_curated(spark, snapshots)
-    plan = latest._jdf.queryExecution().executedPlan().toString()
-    assert "FileScan" in plan and "PartitionFilters: []" not in plan and "Filter (" not in plan
-    monkeypatch.setattr(tables, "MAX_LITERAL_PARTITIONS", 1)
-    joined = tables.read_curated(spark, snapshots)
-    assert "LeftSemi" in joined._jdf.queryExecution().optimizedPlan().toString()
-    assert seen(joined) == seen(latest)
+    assert sorted(latest.inputFiles()) == newest and time.perf_counter() - start < 5
+    assert seen(latest) == [(2000, "20240101", 1.0), (2001, "20240201", 4.0)]
+    assert seen(tables.read_curated(spark, snapshots, [2000])) == [(2000, "20240101", 1.0)]
+
+
+def test_names_of_folders_are_read_as_values(spark, folder):
+    path, names = folder(), ["a:b", "a/b", "50%", "x, y", "ü", "z=1"]
+    rows = spark.createDataFrame([(i, 2000, n) for i, n in enumerate([*names, None])], "v int, year int, name string")
+    sinks.overwrite_partitions(rows, path, ("year", "name"))
+    found = folders.partition_values(spark, f"{path}/year=2000", "name")
+    assert set(found) == {*names, None}
+    for name, where in found.items():
+        assert tables.read_folders(spark, path, [where], rows.schema).select("name", "year").first() == (name, 2000)
+    assert folders.partition_values(spark, f"{path}/none", "name") == {} and folders.child_files(spark, f"{path}/none") == []
+    assert len(folders.child_files(spark, found["50%"])) == 1
 
 
 def test_file_listing_reads_no_content(spark, snapshots):
