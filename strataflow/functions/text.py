@@ -59,9 +59,13 @@ def fold_accents(value: Column | str) -> Column:
     source, target, many = _fold_table()
     pairs = F.str_to_map(F.lit("\x01".join(f"{c}\x02{base}" for c, base in many.items())), F.lit("\x01"), F.lit("\x02"))
 
+    some = _class_of(many)
+
     def spread(single: Column) -> Column:
-        letters = F.array_join(F.transform(F.split(single, ""), lambda c: F.coalesce(pairs[c], c)), "")
-        return F.when(single.rlike(_NON_ASCII) & single.rlike(_class_of(many)), letters).otherwise(single)
+        # Runs between these characters are taken whole.
+        parts = F.regexp_extract_all(single, F.lit(f"{some}|[^{some[1:-1]}]+"), F.lit(0))
+        letters = F.array_join(F.transform(parts, lambda p: F.when(F.length(p) == 1, F.coalesce(pairs[p], p)).otherwise(p)), "")
+        return F.when(single.rlike(some), letters).otherwise(single)
 
     return bind(
         value,

@@ -4,29 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.functions.parsing import blank_to_null
+from strataflow.functions.text import name_key
 from strataflow.operators.dedup import comparable, first_per_key
 from strataflow.operators.project import require_columns
-from strataflow.session import settle
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_ROWS = 4_000_000
-#: The list of hot keys may take this much in any case.
-HOT_LIST_BYTES = 1024 * 1024
-#: A row in memory, as a part of a hash relation, next to its JSON text.
-ROW_OVERHEAD = 64
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """Upper bound of the rows in memory: their JSON text, NULL fields included, and a header each."""
-    text = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
-    size = df.agg(F.sum(F.octet_length(text) + ROW_OVERHEAD).alias("bytes")).first()["bytes"]
-    return size or 0
+#: Pieces that rows without a key are spread over; they match nothing, wherever they are.
+KEYLESS_PIECES = 64
 
 
 def lookup_join(
@@ -35,48 +24,35 @@ def lookup_join(
     on: Sequence[str],
     how: str = "left",
     *,
-    right_bytes: int | None = None,
-    max_bytes: int = BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
+    hot: Sequence[tuple] = (),
+    pieces: int = 16,
 ) -> DataFrame:
     """Join a large left side, hot keys and all, to a right side unique on ``on``.
 
-    ``right`` should be cheap to read again (a stored table or a settled result):
-    unless ``right_bytes`` is known it is measured first. Up to ``max_bytes`` it is
-    broadcast, so the left side is not shuffled. Beyond that both sides are
-    shuffled, with the rows of a hot key spread over pieces of an eighth of
-    ``hot_rows``. NULL keys, which match nothing, are spread likewise.
-    """
-    on = list(on)
-    if (measured_bytes(right) if right_bytes is None else right_bytes) <= max_bytes:
-        return left.join(F.broadcast(right), on, how)
-    return _salted_join(left, right, on, how, hot_rows, max_bytes)
-
+    Nothing runs while the frame is built. Whether the right side is broadcast is left to
+    the planner, and with adaptive execution to the sizes met at run time, under their own
+    bounds. Otherwise both sides are shuffled, in a way that lets adaptive execution split a hot
+    key: it does so only right behind a shuffle, which the join on a key that the right side
+    is already dealt by would save. So the rows carry a piece number that is part of the join key.
 
-def _salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str, hot_rows: int, max_bytes: int) -> DataFrame:
-    """Shuffle join in which only the right rows of hot keys are repeated, once per salt.
-
-    A key is hot above ``hot_rows`` rows, so there are at most (rows / hot_rows) of
-    them. Their list is measured as well: beyond its bound the two sides are joined as they
-    are, which adaptive execution may split.
+    Rows without a key are spread by their content, so that a retried task
+    repeats it. So are those of the keys that the caller names as ``hot``, over
+    ``pieces``; the right rows of these keys, and no others, are repeated once a piece.
     """
-    counted = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    # Pieces well below the threshold, as several of them may meet in one task.
-    pieces = F.ceil(F.col("_n") / max(1, hot_rows // 8)).cast("int").alias("_pieces")
-    hot = settle(counted.where(F.col("_n") > hot_rows).select(*on, pieces))
+    on, piece = list(on), "_piece"
+    # Always 0, in a form that isn't folded.
+    one = F.pmod(F.xxhash64(*on), F.lit(1)).cast("int")
     keyless = reduce(or_, [F.col(name).isNull() for name in on])
-    no_key = hot.where(keyless).agg(F.sum("_pieces")).first()[0] or 1
-    keyed = hot.where(~keyless)
-    if measured_bytes(keyed) > max(max_bytes, HOT_LIST_BYTES):
-        return left.join(right, on, how)
-    # From the row's own content, so that a retried task gives the same salt.
-    spread = F.xxhash64(*comparable(left))
-    salted_left = left.join(F.broadcast(keyed), on, "left").withColumn(
-        "_salt", F.pmod(spread, F.when(keyless, F.lit(no_key)).otherwise(F.coalesce("_pieces", F.lit(1)))).cast("int")
-    )
-    copies = F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)
-    salted_right = right.join(F.broadcast(keyed), on, "left").withColumn("_salt", F.explode(copies)).drop("_pieces")
-    return salted_left.drop("_pieces").join(salted_right, [*on, "_salt"], how).drop("_salt")
+    spread = lambda n: F.pmod(F.xxhash64(*comparable(left)), F.lit(n)).cast("int")
+    named = [reduce(and_, [F.col(name).eqNullSafe(F.lit(value)) for name, value in zip(on, key)]) for key in hot]
+    is_hot = reduce(or_, named, F.lit(False))
+    mine = F.when(keyless, spread(KEYLESS_PIECES))
+    theirs = right.withColumn(piece, one)
+    if hot:
+        mine = mine.when(is_hot, spread(pieces))
+        copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(pieces - 1))).otherwise(F.array(one))
+        theirs = right.withColumn(piece, F.explode(copies))
+    return left.withColumn(piece, mine.otherwise(one)).join(theirs, [*on, piece], how).drop(piece)
 
 
 def map_keys(facts: DataFrame, mapping: DataFrame, *, key: str, values: Sequence[str]) -> DataFrame:
@@ -86,7 +62,7 @@ def map_keys(facts: DataFrame, mapping: DataFrame, *, key: str, values: Sequence
     lookup = first_per_key(table, [key])
     renamed = lookup.select(key, *[F.col(v).alias(f"_mapped_{v}") for v in values])
     own = [F.col(v) if v in facts.columns else F.lit(None).cast(mapping.schema[v].dataType) for v in values]
-    joined = lookup_join(facts, renamed, [key], right_bytes=measured_bytes(table))
+    joined = lookup_join(facts, renamed, [key])
     return joined.withColumns(
         {v: F.coalesce(F.col(f"_mapped_{v}"), mine) for v, mine in zip(values, own)}
     ).drop(*[f"_mapped_{v}" for v in values])
@@ -141,11 +117,16 @@ def count_unmatched(left: DataFrame, right: DataFrame, keys: Sequence[str], meas
 def not_seen(new: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key was not seen before. A NULL key counts as new.
 
-    The seen side is reduced to its distinct keys. If it is too big to broadcast,
-    hot keys are salted, since copies of one record may fill a large part of the
-    new rows.
+    The seen side is reduced to its distinct keys. Copies of one record may fill a
+    large part of the new rows, see ``lookup_join``.
     """
-    return lookup_join(new, settle(seen.select(*keys).distinct()), keys, "left_anti")
+    return lookup_join(new, seen.select(*keys).distinct(), keys, "left_anti")
+
+
+def with_name_key(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Add the key of a name column: each distinct name is folded once and joined back."""
+    names = df.select(name).distinct().withColumn(key, name_key(name))
+    return lookup_join(df.drop(key), names, [name]).withColumn(key, F.coalesce(key, F.lit("")))
 
 
 def for_requested(requested: list[int], stats: DataFrame, key: str = "year") -> DataFrame:

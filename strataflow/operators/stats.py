@@ -15,7 +15,6 @@ from strataflow.functions.text import fixed_point
 from strataflow.operators.dedup import first_per_key
 from strataflow.operators.joins import lookup_join
 from strataflow.operators.project import drop_null
-from strataflow.session import settle
 
 
 def _pearson(x: str, y: str):
@@ -59,7 +58,7 @@ def fit_line(fit: DataFrame, group: Sequence[str], points: int = 200) -> DataFra
 
 
 def with_residuals(df: DataFrame, fit: DataFrame, group: Sequence[str], x: str, y: str) -> DataFrame:
-    """Add the fitted value and the residual. ``fit`` must be cheap to read again."""
+    """Add the fitted value and the residual."""
     lines = fit.select(*group, "slope", "intercept")
     y_hat = F.col("slope") * F.col(x) + F.col("intercept")
     joined = lookup_join(drop_null(df, x, y), lines, list(group))
@@ -70,7 +69,7 @@ def residual_outliers(
     df: DataFrame, group: Sequence[str], x: str, y: str, n: int = 7, fit: DataFrame | None = None
 ) -> DataFrame:
     """The ``n`` points of each group farthest from its line, with their rank."""
-    lines = settle(linear_fit(df, group, x, y)) if fit is None else fit
+    lines = linear_fit(df, group, x, y) if fit is None else fit
     scored = with_residuals(df, lines, group, x, y).where(F.col("residual").isNotNull())
     return first_per_key(scored, list(group), [F.abs("residual").desc()], n, rank="outlier_rank")
 

@@ -69,12 +69,11 @@ def regression(curated: DataFrame, outliers: int = defaults.OUTLIERS) -> Regress
 
     Points that are not among the outliers have a NULL ``outlier_rank``.
     """
-    points = drop_null(curated, X, Y, RATIO)
+    # Read for the fit, the ranks and the table.
+    points = settle(drop_null(curated, X, Y, RATIO))
     fit = settle(linear_fit(points, ["year"], X, Y))
     scored = with_residuals(points, fit, ["year"], X, Y)
-    ranks = settle(
-        residual_outliers(points, ["year"], X, Y, outliers, fit).select("year", "country_code", "outlier_rank")
-    )
+    ranks = residual_outliers(points, ["year"], X, Y, outliers, fit).select("year", "country_code", "outlier_rank")
     table = lookup_join(scored, ranks, ["year", "country_code"]).select(
         "year",
         "country_code",

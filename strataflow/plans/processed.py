@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from strataflow import schemas
 from strataflow.functions.parsing import default_if_blank, parse_cell_number, parse_number, parse_utc_timestamp, parse_year
-from strataflow.functions.text import name_key
 from strataflow.operators.dedup import first_per_key
-from strataflow.operators.joins import map_keys
+from strataflow.operators.joins import map_keys, with_name_key
 from strataflow.operators.project import align, drop_blank
 from strataflow.operators.reshape import unnest_rows, wide_to_long
 from strataflow.plans import defaults
@@ -62,14 +61,14 @@ def type_table_rows(
     wide = rows.where(F.col("row")[location] != "").select(
         "page_url",
         F.col("row")[location].alias("country_name"),
-        name_key(F.col("row")[location]).alias("country_name_normalized"),
         "ingestion_run_id",
         "ingestion_ts",
         "data_source",
         *[parse_cell_number(F.col("row")[header]).alias(f"_{year}") for header, year in values.items()],
     )
     columns = {f"_{year}": year for year in values.values()}
-    long = align(wide_to_long(wide, ids, columns, value="co2_tons_per_capita"), schemas.PROCESSED_CO2)
+    keyed = with_name_key(wide, "country_name", KEY)
+    long = align(wide_to_long(keyed, ids, columns, value="co2_tons_per_capita"), schemas.PROCESSED_CO2)
     return long if mapping is None else map_names(long, mapping)
 
 

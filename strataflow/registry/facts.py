@@ -334,5 +334,6 @@ def salted_lookup(spark, sf):
     """A shuffled join on a key of three values, every one of them hot."""
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
     flags = lines.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
-    joined = lookup_join(lines, settle(flags), ["l_returnflag"], "inner", max_bytes=0, hot_rows=1000)
+    hot = [(flag,) for flag in ("A", "N", "R")]
+    joined = lookup_join(lines, flags.hint("merge"), ["l_returnflag"], "inner", hot=hot, pieces=8)
     return joined.select("l_orderkey", "l_linenumber", "l_returnflag", "n")

@@ -414,7 +414,7 @@ def test_rows_with_nested_maps_are_deduplicated(spark):
     raw = spark.createDataFrame([row, row | {"revid": 2}, row], schemas.RAW_TABLE)
     assert [r["revid"] for r in processed.latest_page(raw).collect()] == [2]
     names = spark.createDataFrame([("u", "label")], "page_url string, label string")
-    assert joins.lookup_join(raw, names, ["page_url"], max_bytes=0, hot_rows=1).where("label = 'label'").count() == 3
+    assert joins.lookup_join(raw, names, ["page_url"], hot=[("u",)], pieces=3).where("label = 'label'").count() == 3
 
 
 def stored_lines(spark, path):

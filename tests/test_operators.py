@@ -43,47 +43,103 @@ def skewed(spark):
     return facts, spark.createDataFrame(names, "k string, label string")
 
 
-@pytest.mark.parametrize("hot_rows", [0, 500, 10**6])
+@pytest.mark.parametrize("hot", [(), [("hot",)], [("hot",), ("k1",), ("nothing",)]])
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_salted_lookup_agrees_with_plain_join(skewed, how, hot_rows):
+def test_lookup_agrees_with_plain_join(skewed, how, hot):
     facts, names = skewed
     facts = facts.unionByName(facts.where("id < 50").withColumn("k", F.lit(None).cast("string")))
     expected = rows(facts.join(names, ["k"], how))
+    joined = joins.lookup_join(facts, names.hint("merge"), ["k"], how, hot=hot, pieces=5)
+    assert joined.columns == facts.join(names, ["k"], how).columns
+    assert rows(joined) == expected
     assert rows(joins.lookup_join(facts, names, ["k"], how)) == expected
-    salted = joins.lookup_join(facts, names, ["k"], how, max_bytes=0, hot_rows=hot_rows)
-    assert salted.columns == facts.join(names, ["k"], how).columns
-    assert rows(salted) == expected
 
 
-def test_lookup_is_broadcast_only_below_the_bound(skewed, spark):
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    facts, names = skewed
+@pytest.fixture
+def settings(spark):
+    saved = {}
+
+    def use(**values):
+        for key, value in values.items():
+            key = "spark.sql." + key.replace("__", ".")
+            saved.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield use
+    for key, value in saved.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def jobs_of(spark, build):
+    """What ``build`` gives, and how many jobs it ran."""
+    spark.sparkContext.setJobGroup("build", "build")
     try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        assert "BroadcastHashJoin" in plan_of(joins.lookup_join(facts, names, ["k"]))
-        salted = plan_of(joins.lookup_join(facts, names, ["k"], max_bytes=10))
+        return build(), len(spark.sparkContext.statusTracker().getJobIdsForGroup("build"))
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    assert "SortMergeJoin" in salted and "_salt" in salted
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_salt_spreads_a_hot_key_only(skewed, spark):
-    """With one salt per task the hot third is spread and other keys stay whole."""
+def test_frames_are_built_without_a_job(skewed, spark):
     facts, names = skewed
-    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
-    saved = {key: spark.conf.get(key) for key in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
-        joined = joins.lookup_join(facts, names, ["k"], max_bytes=0, hot_rows=500)
-        placed = joined.select("k", F.spark_partition_id().alias("task")).groupBy("k")
-        spread = {r["k"]: r["tasks"] for r in placed.agg(F.count_distinct("task").alias("tasks")).collect()}
-    finally:
-        for key, value in saved.items():
-            spark.conf.set(key, value)
+    points = facts.select("k", F.col("id").cast("double").alias("x"), (F.col("id") % 7).cast("double").alias("y"))
+    builds = [
+        lambda: joins.lookup_join(facts, names, ["k"]),
+        lambda: joins.not_seen(facts, names, ["k"]),
+        lambda: joins.map_keys(facts, names, key="k", values=["label"]),
+        lambda: joins.with_name_key(facts, "k", "key"),
+        lambda: stats.residual_outliers(points, ["k"], "x", "y", 2),
+    ]
+    for build in builds:
+        frame, jobs = jobs_of(spark, build)
+        assert jobs == 0 and frame.count() > 0
+
+
+def test_run_time_size_decides_about_the_broadcast(skewed, settings):
+    facts, names = skewed
+    small = names.groupBy("k").agg(F.max("label").alias("label"))
+    settings(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="1m")
+    joined = joins.lookup_join(facts, small, ["k"])
+    assert len(joined.collect()) == 3000 and "BroadcastHashJoin" in plan_of(joined).split("Initial Plan")[0]
+    settings(adaptive__autoBroadcastJoinThreshold="-1")
+    joined = joins.lookup_join(facts, small, ["k"])
+    assert len(joined.collect()) == 3000 and "BroadcastHashJoin" not in plan_of(joined)
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_anti"])
+def test_a_hot_key_is_split_at_run_time(spark, settings, how):
+    """Also where the right side comes dealt by the key already."""
+    settings(
+        autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="20k", adaptive__advisoryPartitionSizeInBytes="10k",
+        adaptive__skewJoin__skewedPartitionFactor="1",
+    )
+    facts = spark.range(0, 40_000, 1, 8).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    names = facts.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    right = names.where("k % 2 = 1 or k = 8") if how == "left_anti" else names
+    value = F.sum("id" if how == "left_anti" else "n").alias("n")
+    total = joins.lookup_join(facts, right, ["k"], how).agg(value)
+    assert total.collect() == facts.join(right, ["k"], how).agg(value).collect()
+    assert "skew=true" in plan_of(total)
+
+
+def test_named_keys_are_spread_and_others_stay_whole(skewed, settings):
+    facts, names = skewed
+    settings(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
+    joined = joins.lookup_join(facts, names, ["k"], hot=[("hot",)], pieces=32)
+    placed = joined.select("k", F.spark_partition_id().alias("task")).groupBy("k")
+    spread = {r["k"]: r["tasks"] for r in placed.agg(F.count_distinct("task").alias("tasks")).collect()}
     assert spread.pop("hot") > 4 and set(spread.values()) == {1}
 
 
+def test_names_are_keyed_below_an_aggregate(spark):
+    frame = spark.createDataFrame([(1, "Côte"), (2, "COTE"), (3, None), (4, "Côte"), (5, "")], "id int, name string")
+    keyed = joins.with_name_key(frame, "name", "key")
+    assert rows(keyed.select("id", "key")) == [(1, "cote"), (2, "cote"), (3, ""), (4, "cote"), (5, "")]
+    plan = keyed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") <= 1 or plan.index("lower(") < plan.index("Aggregate")
+    assert plan.index("Aggregate") < plan.rindex("LogicalRDD")
+
+
 def test_map_keys(spark):
     facts = spark.createDataFrame([("a", "own", None), ("b", "own", "B0"), ("c", "own", None)], "k string, name string, code string")
     mapping = spark.createDataFrame([("a", "A1", "Alpha"), ("a", "A1", "Alpha"), ("b", None, "Beta")], "k string, code string, name string")
