@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strataflow.plans import defaults
 from strataflow.plans.analytics import EmptyFit, build_correlation_summary, build_regression
 from strataflow.plans.curate import build_and_save_curated
+from strataflow.plans.fits import refresh_moments
 from strataflow.plans.ingest import ingest_pages, ingest_records
 from strataflow.plans.ledger import RunLedger
 from strataflow.plans.mapping import build_and_save_mapping
@@ -87,6 +88,7 @@ def run_layers(
     except EmptyFit:
         if not skip_empty_fit:
             raise
+    refresh_moments(spark, curated, layers.path("analytics", "moments"))
     done.paths["summary"] = build_correlation_summary(
         spark, curated, layers.path("analytics"), report_years, now
     )

@@ -10,6 +10,7 @@ from strataflow import schemas
 from strataflow.functions.text import partition_value
 from strataflow.operators.project import union_all, with_audit
 from strataflow.plans.analytics import build_correlation_summary, build_regression
+from strataflow.plans.fits import fit_years
 from strataflow.plans.full_run import run_layers
 from strataflow.plans.ingest import ingest_pages, ingest_records
 from strataflow.plans.ledger import RunLedger
@@ -39,11 +40,12 @@ ECON_SCHEMA = "country_code string, country_name string, gdp_per_capita_usd doub
 OLD, NEW = "20240101", "20240201"
 
 
-def _two_snapshots(spark, sf) -> str:
+def _two_snapshots(spark, sf, between=lambda path: None) -> str:
     """Curated rows as of one day, and again from 1999 on as of a later day with twice the CO2."""
     path = fresh_folder(spark, "curated")
     rows = nation_years(spark, sf)
     write_snapshot(rows, path, OLD)
+    between(path)
     later = rows.where(F.col("year") >= 1999)
     write_snapshot(later.withColumn("co2_tons_per_capita", F.col("co2_tons_per_capita") * 2), path, NEW)
     return path
@@ -73,6 +75,21 @@ def snapshot_selected_years(spark, sf):
     return read_curated(spark, _two_snapshots(spark, sf), [1998, 2000]).select(_SNAPSHOT_COLUMNS)
 
 
+@query(
+    "fits_refreshed",
+    f"""WITH {_SNAPSHOT_SQL}, latest AS (
+  SELECT s.*, gdp_per_capita_usd FROM stored s JOIN curated c ON c.country_code = s.country_code AND c.year = s.year
+  WHERE snapshot_date = (SELECT max(snapshot_date) FROM stored t WHERE t.year = s.year))
+SELECT year, round(regr_slope(co2_tons_per_capita, gdp_per_capita_usd), 8) AS slope, count(*) AS n,
+  round(corr(co2_tons_per_capita, gdp_per_capita_usd), 6) AS pearson FROM latest GROUP BY year""",
+)
+def fits_refreshed(spark, sf):
+    """Fits of all years after the first snapshots, and again after newer ones of some years."""
+    out = fresh_folder(spark, "moments")
+    path = _two_snapshots(spark, sf, between=lambda curated: fit_years(spark, curated, out).count())
+    return fit_years(spark, path, out).select("year", F.round("slope", 8).alias("slope"), "n", F.round("pearson", 6).alias("pearson"))
+
+
 @query("snapshot_as_of", f"WITH {_SNAPSHOT_SQL} SELECT * FROM stored WHERE snapshot_date = '{OLD}'")
 def snapshot_as_of(spark, sf):
     return read_curated(spark, _two_snapshots(spark, sf), as_of="20240131").select(_SNAPSHOT_COLUMNS)

@@ -123,3 +123,20 @@ LEDGER = _struct(
 )
 
 CHECKPOINTS = _struct(source=StringType(), value=StringType(), saved_ts=TimestampType())
+
+# Moments of a curated snapshot, and which files it consisted of.
+MOMENTS = _struct(
+    n=LongType(),
+    x_mean=DoubleType(),
+    y_mean=DoubleType(),
+    xx=DoubleType(),
+    yy=DoubleType(),
+    xy=DoubleType(),
+    x_min=DoubleType(),
+    x_max=DoubleType(),
+    y_min=DoubleType(),
+    y_max=DoubleType(),
+    files=StringType(),
+    year=IntegerType(),
+    snapshot_date=StringType(),
+)

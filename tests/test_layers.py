@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 from strataflow import fresh_folder, schemas
 from strataflow.operators import joins
 from strataflow.operators.project import align
-from strataflow.plans import analytics, curate, defaults, ingest, mapping, processed
+from strataflow.plans import analytics, curate, defaults, fits, ingest, mapping, processed
 from strataflow.plans.full_run import run_layers
 from strataflow.plans.ledger import RunLedger
 from strataflow.sinks.seen import SeenKeys
@@ -652,3 +652,27 @@ def test_ledger_compacts_itself(spark):
         ledger.save_checkpoint("s", i)
     assert len(child_files(spark, ledger.mark_log.path)) <= 4
     assert ledger.load_checkpoint("s") == "5" and ledger.checkpoints().count() == 1
+
+
+def test_only_new_snapshots_are_read_for_moments(spark):
+    import glob
+
+    path, out = fresh_folder(spark, "curated"), fresh_folder(spark, "moments")
+
+    def write(rows, day):
+        frame = spark.createDataFrame(rows, "country_code string, year int, gdp_per_capita_usd double, co2_tons_per_capita double")
+        write_snapshot(align(frame, schemas.CURATED_ROW), path, day)
+
+    line = lambda year, slope: [(f"C{i}", year, float(i), slope * i + 1) for i in range(6)] + [("X", year, None, 1.0)]
+    slopes = lambda: {r["year"]: (round(r["slope"], 9) if r["slope"] is not None else None, r["n"]) for r in fits.fit_years(spark, path, out).collect()}
+    write(line(2000, 2.0) + line(2001, 3.0) + [("A", 2002, 5.0, 5.0), ("B", 2002, 5.0, 6.0), ("N", 2003, None, 1.0)], "20240101")
+    assert slopes() == {2000: (2.0, 6), 2001: (3.0, 6), 2002: (None, 2)}
+    for file in glob.glob(f"{path.removeprefix('file:')}/year=*/snapshot_date=20240101/*.parquet"):
+        with open(file, "wb") as broken:
+            broken.write(b"this is no data file")
+    write(line(2001, 4.0), "20240201")
+    assert slopes() == {2000: (2.0, 6), 2001: (4.0, 6), 2002: (None, 2)}
+    # The same day written again counts as new.
+    write(line(2001, 5.0), "20240201")
+    assert slopes() == {2000: (2.0, 6), 2001: (5.0, 6), 2002: (None, 2)}
+    assert fits.fit_years(spark, fresh_folder(spark, "none"), fresh_folder(spark, "none")).count() == 0

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
-from strataflow.operators import dedup, joins, project, reshape, stats
+from strataflow.operators import dedup, joins, moments, project, reshape, stats
 
 
 def rows(frame, *order):
@@ -302,3 +302,24 @@ def test_top_lists(spark):
 def test_top_rows_takes_without_a_full_sort(spark):
     plan = plan_of(stats.top_rows(spark.range(100), [F.desc("id")], 3))
     assert "TakeOrderedAndProject" in plan
+
+
+def test_merged_moments_are_those_of_all_rows(spark):
+    draw = random.Random(5)
+    data = [(g, 1e6 + draw.gauss(0, 1), draw.gauss(0, 1), draw.randrange(7)) for g in ("a", "b", None) for _ in range(300)]
+    data += [("c", 0.1, float(i), i % 7) for i in range(50)] + [("d", float(i), 0.3, i % 7) for i in range(50)] + [("e", 1.0, 2.0, 0), ("f", None, 1.0, 1)]
+    frame = spark.createDataFrame(data, "g string, x double, y double, part int")
+    parts = moments.moments(frame, ["g", "part"], "x", "y")
+    merged = {r["g"]: r for r in moments.fit_of(moments.merge_moments(parts, ["g"]), ["g"]).collect()}
+    whole = {r["g"]: r for r in stats.linear_fit(frame, ["g"], "x", "y").collect()}
+    pearson = {r["g"]: r["pearson"] for r in stats.correlation(frame, ["g"], "x", "y").collect()}
+    assert set(merged) == set(whole)
+    for g, row in merged.items():
+        assert row["n"] == whole[g]["n"] and row["x_min"] == whole[g]["x_min"] and row["x_max"] == whole[g]["x_max"]
+        for name, wanted in (("slope", whole[g]["slope"]), ("pearson", pearson[g])):
+            assert (row[name] is None) == (wanted is None), (g, name)
+            assert row[name] is None or math.isclose(row[name], wanted, rel_tol=1e-6, abs_tol=1e-9)
+    # In two steps as in one.
+    halves = moments.merge_moments(parts.where("part < 3"), ["g"]).unionByName(moments.merge_moments(parts.where("part >= 3"), ["g"]))
+    again = {r["g"]: r["slope"] for r in moments.fit_of(moments.merge_moments(halves, ["g"]), ["g"]).collect()}
+    assert all(math.isclose(again[g], r["slope"], rel_tol=1e-9) for g, r in merged.items() if r["slope"] is not None)
