@@ -19,6 +19,17 @@ def require_columns(df: DataFrame, required: Iterable[str], what: str = "input")
     return df
 
 
+def missing_fields(df: DataFrame, payload: Column | str, required: Iterable[str], keep: Iterable[str]) -> DataFrame:
+    """One row for each required field that a JSON record lacks, with the kept columns; no object lacks them all.
+
+    What ``require_columns`` says of a table before it is read, of the records of one that
+    is landed as text.
+    """
+    names = F.array(*[F.lit(name) for name in sorted(set(required))])
+    found = F.coalesce(F.json_object_keys(col_of(payload)), F.array().cast("array<string>"))
+    return df.select(*keep, F.explode(F.array_except(names, found)).alias("missing"))
+
+
 def align(df: DataFrame, schema: StructType) -> DataFrame:
     """Exactly the columns of ``schema``: extras dropped, absent ones NULL, types cast leniently."""
     present = dict(df.dtypes)

@@ -15,8 +15,8 @@ from strataflow.functions.parsing import (
 )
 from strataflow.functions.text import clean_cell, name_key
 from strataflow.operators.dedup import distinct_years
-from strataflow.operators.joins import map_keys
-from strataflow.operators.project import align, drop_blank
+from strataflow.operators.joins import map_keys, with_name_key
+from strataflow.operators.project import align, drop_blank, missing_fields
 from strataflow.operators.reshape import long_to_wide, unnest_rows, wide_to_long, zip_cells
 from strataflow.plans import defaults
 from strataflow.plans.mapping import build_mapping
@@ -229,9 +229,9 @@ FROM facts f LEFT JOIN mapping m ON f.k = m.country_name_normalized""",
 def lookup_join_names(spark, sf):
     spoken = F.concat(F.lit("Nation  "), F.col("c_nationkey").cast("string"), F.lit("!"))
     facts = table(spark, sf, "customer").select("c_custkey", spoken.alias("country_name"))
-    keyed = facts.withColumn("country_name_normalized", name_key("country_name"))
+    keyed = with_name_key(facts, "country_name", "country_name_normalized")
     return map_keys(
-        keyed, settle(nation_mapping(spark, sf)), key="country_name_normalized", values=["country_code", "country_name"]
+        keyed, nation_mapping(spark, sf), key="country_name_normalized", values=["country_code", "country_name"]
     ).select("c_custkey", "country_name_normalized", "country_code", "country_name")
 
 
@@ -242,3 +242,22 @@ def _default_override_rows() -> str:
 
 
 DEFAULT_OVERRIDE_ROWS = _default_override_rows()
+
+
+@query(
+    "missing_columns",
+    """SELECT o_orderkey, 'country_code' AS missing FROM orders WHERE o_orderpriority = '5-LOW'
+UNION ALL SELECT o_orderkey, 'date' FROM orders WHERE o_orderstatus = 'P'
+UNION ALL SELECT o_orderkey, 'value' FROM orders WHERE o_custkey % 7 = 0
+UNION ALL SELECT o_orderkey, 'indicator' FROM orders""",
+)
+def missing_columns(spark, sf):
+    """Required columns that landed records lack, reported as rows."""
+    record = F.struct(
+        F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderkey")).alias("country_code"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")).alias("date"),
+        F.when(F.col("o_custkey") % 7 != 0, F.col("o_totalprice")).alias("value"),
+        F.lit("more").alias("unit"),
+    )
+    landed = table(spark, sf, "orders").select("o_orderkey", F.to_json(record).alias("payload"))
+    return missing_fields(landed, "payload", ["country_code", "date", "value", "indicator"], ["o_orderkey"])

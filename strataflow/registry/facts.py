@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strataflow.functions.text import fixed_point
-from strataflow.operators.dedup import distinct_years, first_per_key, last_per_key
-from strataflow.operators.moments import fit_of, merge_moments, moments
+from strataflow.operators.dedup import distinct_years, first_per_key, last_per_key, top_per_key
 from strataflow.operators.joins import count_unmatched, lookup_join, unmatched
+from strataflow.operators.moments import fit_of, merge_moments, moments
 from strataflow.operators.project import drop_null, keep_expected, union_all, year_between
 from strataflow.operators.stats import correlation, fit_line, linear_fit, residual_outliers, top_n, top_rows
 from strataflow.plans.analytics import HIGHEST, LOWEST, NAME, RATIO, X, Y, correlation_summary, regression
 from strataflow.registry import query
-from strataflow.session import fresh_folder
 from strataflow.registry.inputs import (
     CURATED_SQL,
     PART_SQL,
@@ -356,3 +355,18 @@ def salted_lookup(spark, sf):
     hot = [(flag,) for flag in ("A", "N", "R")]
     joined = lookup_join(lines, flags.hint("merge"), ["l_returnflag"], "inner", hot=hot, pieces=8)
     return joined.select("l_orderkey", "l_linenumber", "l_returnflag", "n")
+
+
+@query(
+    "top_many",
+    """SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice, note,
+  CAST(row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS INTEGER) AS position
+FROM (SELECT *, 'line ' || l_linenumber || ' of ' || l_orderkey AS note FROM lineitem)
+QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) <= 5000""",
+)
+def top_many(spark, sf):
+    """The 5000 dearest lines of each flag, of which one has half the lines."""
+    note = F.concat(F.lit("line "), F.col("l_linenumber"), F.lit(" of "), F.col("l_orderkey"))
+    lines = table(spark, sf, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice", note.alias("note"))
+    order = {"l_extendedprice": True, "l_orderkey": False, "l_linenumber": False}
+    return top_per_key(lines, ["l_returnflag"], order, 5000, rank="position")

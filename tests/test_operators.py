@@ -323,3 +323,39 @@ def test_merged_moments_are_those_of_all_rows(spark):
     halves = moments.merge_moments(parts.where("part < 3"), ["g"]).unionByName(moments.merge_moments(parts.where("part >= 3"), ["g"]))
     again = {r["g"]: r["slope"] for r in moments.fit_of(moments.merge_moments(halves, ["g"]), ["g"]).collect()}
     assert all(math.isclose(again[g], r["slope"], rel_tol=1e-9) for g, r in merged.items() if r["slope"] is not None)
+
+
+@pytest.mark.parametrize("limit", [1000, 2])
+def test_top_of_wide_rows(spark, monkeypatch, limit):
+    monkeypatch.setattr(dedup, "GROUP_LIMIT", limit)
+    draw = random.Random(2)
+    data = [("hot" if i % 3 else draw.choice(["a", "b", None]), draw.choice([1.0, 2.0, None, 3.5]), draw.randrange(4), f"text {i % 40}") for i in range(600)]
+    data += [("dup", 1.0, 1, "same")] * 30 + [("dup", 2.0, 1, "less")] * 3
+    frame = spark.createDataFrame(data, "k string, x double, y int, text string").repartition(5)
+    for n in (1, 7, 25):
+        got = dedup.top_per_key(frame, ["k"], {"x": True, "y": False}, n, rank="at", salts=3).collect()
+        for key in ("hot", "a", "b", None, "dup"):
+            mine = [(r["x"], r["y"]) for r in sorted((r for r in got if r["k"] == key), key=lambda r: r["at"])]
+            all_ = sorted(((x, y) for k, x, y, _ in data if k == key), key=lambda v: (v[0] is None, -(v[0] or 0), v[1]))
+            assert mine == all_[:n]
+            assert sorted(r["at"] for r in got if r["k"] == key) == list(range(1, min(n, len(all_)) + 1))
+        whole = {}
+        for row in data:
+            whole[row] = whole.get(row, 0) + 1
+        for row in {tuple(r)[:4] for r in got}:
+            assert sum(tuple(r)[:4] == row for r in got) <= whole[row]
+
+
+def test_texts_are_not_sorted(spark):
+    frame = spark.range(9000).select(F.lit("hot").alias("k"), "id", F.concat(F.lit("text "), "id").alias("text"))
+    top = dedup.top_per_key(frame, ["k"], {"id": True}, 5000)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.split("\n") if "Window" in line or "Sort [" in line]
+    assert windows and not any("text#" in line for line in windows)
+    assert top.agg(F.min("id"), F.count("*")).first() == (4000, 5000)
+
+
+def test_missing_fields_are_rows(spark):
+    frame = spark.createDataFrame([(1, '{"a":1,"b":null}'), (2, "{}"), (3, "[1]"), (4, None), (5, "no json"), (6, '{"a":1,"c":{"b":1}}')], "id int, body string")
+    missing = rows(project.missing_fields(frame, "body", ["b", "a", "a"], ["id"]))
+    assert missing == [(2, "a"), (2, "b"), (3, "a"), (3, "b"), (4, "a"), (4, "b"), (5, "a"), (5, "b"), (6, "b")]
