@@ -1,29 +1,24 @@
 """Mixing sources to target weights by Pfair scheduling of blocks.
 
-Rows of a source form blocks of ``block_rows``. Time runs in slots, a period has
-``slots`` of them, and a source with target weight w gets a whole number a of slots
-a period (largest remainder, one at least). Its k-th block of a period may not
-start before slot floor(k * slots / a) and must be out by ceil((k + 1) * slots / a).
-Taking the earliest deadline among the released blocks meets all deadlines (the
-utilisation is one), so after any number of slots each source is less than one
-block off its target. The schedule of one period is a fold over an array; it
-depends on the weights alone and has ``slots`` rows, which bounds its broadcast.
-
-Nothing is dropped: the mixture runs until each source was used whole, and a source
-that is through begins again (``epoch`` counts), as many full periods as that takes.
+Rows of a source form blocks of ``block_rows``, and time runs in slots of a block each. Block
+k of a source of weight w, weights adding up to 1, may not start before slot floor(k / w) and
+must be out by ceil((k + 1) / w), in exact integers. Taking the earliest deadline among the
+released blocks meets all deadlines, as the utilisation is one, so after any number of
+slots each source is less than one block off its target weight. One rule holds for any
+number of sources and any weights; no weight is rounded to a period.
+
+Nothing is dropped: the mixture runs until each source was used whole, and a source that is
+through begins again (``epoch`` counts).
+
+Whose turn it is depends on all turns before, so the schedule is planned in order, by
+two heaps with a record for each source and ``PLANNED`` slots at a time, and handed on as a
+settled table. Rows never pass there: they are numbered, repeated and joined to their slots as DataFrames.
+A slot is a block, so ``block_rows`` decides how long planning takes.
 
 Defined cases: NULL is a source of its own, and so is the empty name; repeated rows
-are rows; texts are not looked at; an empty table gives no rows; a source with fewer
-rows than a block has one short block. Input columns named as an added one are
-replaced.
-
-Rounding to a period of ``SLOTS`` gives tiny sources more than their weight and the
-others less. ``whole_run`` takes block k of a source of weight w from slot floor(k / w)
-to ceil((k + 1) / w) of the whole run instead, in exact integers, so that after any
-number of slots each source is less than one block off its given weight. So are
-mixtures of more than ``SLOTS`` sources, where a period has no slot for each. More
-sources than a number of slots that the caller names raise an error. The driver then
-holds one record a source and at most ``PLANNED`` slots at a time; the plan is a table.
+are rows; texts, however long, are not looked at; an empty table gives no rows; a source with fewer
+rows than a block has one short block; sources due at once go by name. Input columns named
+as an added one are replaced.
 """
 
 from __future__ import annotations
@@ -32,6 +27,7 @@ from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 from heapq import heappop, heappush
 from itertools import islice
+from math import fsum
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,56 +35,22 @@ from pyspark.sql import functions as F
 from strataflow.llm.rows import number_rows
 from strataflow.session import settle
 
-SLOTS = 1024
 BLOCK_ROWS = 16
 TEMPER = 0.85
 #: Repeats of one row made in one task; more are dealt out first.
 EPOCHS_PER_TASK = 1024
-#: Weights of a whole run are taken as integers of this sum, about.
-WEIGHT_SUM = 2**60
-#: Slots of a whole run planned at a time, and those of one row that is handed over.
+#: Weights are taken as integers of this sum, about.
+WEIGHT_SUM = 2**44
+#: Slots planned at a time, and those of one row that is handed over.
 PLANNED, HANDED = 1 << 20, 1 << 12
 
 ADDED = ("epoch", "slot", "place")
 
 
-def apportion(weights: Sequence[float], slots: int) -> list[int]:
-    """Whole slots a period by largest remainder, one each at least; ties go to the first."""
-    if len(weights) > slots:
-        raise ValueError(f"{len(weights)} sources need as many slots a period, there are {slots}")
-    if any(w <= 0 for w in weights):
-        raise ValueError("weights must be positive")
-    free, total = slots - len(weights), sum(weights)
-    exact = [w / total * free for w in weights]
-    parts = [int(x) for x in exact]
-    by_rest = sorted(range(len(weights)), key=lambda i: (-round(exact[i] - parts[i], 9), i))
-    for i in by_rest[: free - sum(parts)]:
-        parts[i] += 1
-    return [p + 1 for p in parts]
-
-
-def period_schedule(spark, parts: Sequence[int]) -> DataFrame:
-    """One row a slot of a period: the source's index and which of its blocks of the period (``k``)."""
-    slots = sum(parts)
-    due = f"""array_min(filter(
-        transform(acc.done, (d, i) -> struct(
-            ((d + 1) * {slots} + parts[i] - 1) div parts[i] AS due, i AS source, d AS k, (d * {slots}) div parts[i] AS release)),
-        x -> x.release <= t AND x.k < parts[x.source]))"""
-    fold = f"""aggregate(
-        sequence(0L, {slots - 1}L),
-        struct(transform(parts, p -> 0L) AS done, cast(array() AS array<struct<t: bigint, source: int, k: bigint>>) AS plan),
-        (acc, t) -> transform(array({due}), x -> struct(
-            transform(acc.done, (d, i) -> if(i = x.source, d + 1, d)) AS done,
-            concat(acc.plan, array(struct(t AS t, x.source AS source, x.k AS k))) AS plan))[0],
-        acc -> acc.plan)"""
-    weights = spark.range(0, 1, 1, 1).select(F.array(*[F.lit(int(p)).cast("long") for p in parts]).alias("parts"))
-    return weights.select(F.explode(F.expr(fold)).alias("s")).select("s.t", "s.source", "s.k")
-
-
 def whole_weights(weights: Sequence[float]) -> list[int]:
     if any(w <= 0 for w in weights):
         raise ValueError("weights must be positive")
-    total = sum(weights)
+    total = fsum(weights)
     return [max(1, round(w / total * WEIGHT_SUM)) for w in weights]
 
 
@@ -113,7 +75,7 @@ def whole_run(weights: Sequence[int], slots: int) -> Iterator[int]:
 
 
 def run_schedule(spark, weights: Sequence[int], slots: int) -> tuple[DataFrame, list[int]]:
-    """As ``period_schedule``, of a whole run, and how many slots each source has."""
+    """One row a slot: the source's index and which of its blocks (``k``); and how many slots each source has."""
     done, turns, chunks, tables = [0] * len(weights), whole_run(weights, slots), [], []
     at = 0
     while at < slots:
@@ -138,16 +100,11 @@ def mix_sources(
     *,
     source: str = "source",
     order: Sequence[Column | str] = ("doc_id",),
-    slots: int | None = None,
     block_rows: int = BLOCK_ROWS,
     temper: float = TEMPER,
-    whole: bool = False,
 ) -> DataFrame:
     """Rows with ``epoch``, ``slot`` of their block and ``place`` in it, the mixture being in (slot, place) order.
 
-    ``whole`` schedules the whole run by the given weights, as is done for more than
-    ``SLOTS`` sources; otherwise a period of ``slots`` (``SLOTS`` if not named) repeats.
-
     Without ``weights`` a source of n rows weighs n ** ``temper``. Sources that
     ``weights`` doesn't name are an error, since leaving them out would drop rows.
     """
@@ -162,7 +119,7 @@ def mix_sources(
     ranks = ["key", *[F.col(f"o{i}").asc_nulls_first() for i in range(len(orders))]]
     numbered, _ = number_rows(packed, ranks, "number")
     found = numbered.groupBy("key").agg(F.min("number").alias("start"), F.count(F.lit(1)).alias("n"))
-    sources = sorted((found if slots is None else found.limit(slots + 1)).collect(), key=lambda r: r["key"])
+    sources = sorted(found.collect(), key=lambda r: r["key"])
     if not sources:
         return numbered.select("row.*").select(
             *kept, F.lit(0).cast("long").alias("epoch"), F.lit(0).cast("long").alias("slot"), F.lit(0).cast("int").alias("place")
@@ -170,33 +127,24 @@ def mix_sources(
     named = [None if r["key"] == "n" else r["key"][1:] for r in sources]
     if weights is not None and (missing := [x for x in named if x not in weights]):
         raise ValueError(f"no weight for sources {missing}")
-    wanted = [float(r["n"]) ** temper if weights is None else weights[x] for r, x in zip(sources, named)]
+    exact = whole_weights([float(r["n"]) ** temper if weights is None else weights[x] for r, x in zip(sources, named)])
     blocks = [-(-r["n"] // block_rows) for r in sources]
-    if whole or slots is None and len(sources) > SLOTS:
-        exact = whole_weights(wanted)
-        (schedule, parts), periods = run_schedule(spark, exact, run_slots(exact, blocks)), 1
-    else:
-        parts = apportion(wanted, slots or SLOTS)
-        schedule, periods = F.broadcast(period_schedule(spark, parts)), max(-(-b // a) for b, a in zip(blocks, parts))
+    schedule, parts = run_schedule(spark, exact, run_slots(exact, blocks))
     table = spark.createDataFrame(
         [(r["key"], i, r["start"], b, a) for i, (r, b, a) in enumerate(zip(sources, blocks, parts))],
         "key string, source int, start long, blocks long, part long",
     )
-    placed = numbered.join(F.broadcast(table), "key").select(
-        "row", "source", "blocks", "part", (F.col("number") - F.col("start")).alias("index")
-    )
-    spread = max(-(-periods * a // b) for b, a in zip(blocks, parts)) > EPOCHS_PER_TASK
+    placed = numbered.join(table, "key").select("row", "source", "blocks", "part", (F.col("number") - F.col("start")).alias("index"))
     emitted = placed.withColumn("block", F.expr(f"index div {block_rows}"))
-    last = F.lit(periods) * F.col("part") - 1
-    if spread:
+    last = F.col("part") - 1
+    if max(-(-a // b) for b, a in zip(blocks, parts)) > EPOCHS_PER_TASK:
         step = F.col("blocks") * EPOCHS_PER_TASK
         emitted = emitted.withColumn("block", F.explode(F.sequence("block", last, step))).repartition("source", "index", "block")
         last = F.least(last, F.col("block") + step - 1)
-    emitted = emitted.withColumn("turn", F.explode(F.sequence(F.col("block"), last, F.col("blocks"))))
-    timed = emitted.withColumn("k", F.expr("turn % part")).join(schedule, ["source", "k"])
+    timed = emitted.withColumn("k", F.explode(F.sequence(F.col("block"), last, F.col("blocks")))).join(schedule, ["source", "k"])
     return timed.select(
         *[F.col("row")[c].alias(c) for c in kept],
-        F.expr("turn div blocks").alias("epoch"),
-        (F.expr("turn div part") * sum(parts) + F.col("t")).alias("slot"),
+        F.expr("k div blocks").alias("epoch"),
+        F.col("t").alias("slot"),
         F.expr(f"index % {block_rows}").cast("int").alias("place"),
     )

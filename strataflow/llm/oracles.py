@@ -52,40 +52,30 @@ FROM numbered JOIN places USING (n)"""
 
 
 def _mixing_sql() -> str:
-    slots, rows = mixing.SLOTS, mixing.BLOCK_ROWS
+    rows, total = mixing.BLOCK_ROWS, mixing.WEIGHT_SUM
     return f"""WITH RECURSIVE found AS (
   SELECT coalesce('s' || source, 'n') AS key, count(*) AS n FROM documents GROUP BY 1),
 weighed AS (
-  SELECT key, n, row_number() OVER (ORDER BY key) AS i, pow(n, {mixing.TEMPER}) AS w FROM found),
-shares AS (
-  SELECT *, w / (SELECT sum(w) FROM weighed) * ({slots} - (SELECT count(*) FROM weighed)) AS exact FROM weighed),
-ranked AS (
-  SELECT *, CAST(floor(exact) AS BIGINT) AS whole, row_number() OVER (ORDER BY round(exact - floor(exact), 9) DESC, i) AS p FROM shares),
+  SELECT key, n, row_number() OVER (ORDER BY key) AS i, pow(n, {mixing.TEMPER}) AS w, (n + {rows - 1}) // {rows} AS blocks FROM found),
 parts AS (
-  SELECT key, n, i, (n + {rows - 1}) // {rows} AS blocks,
-    whole + 1 + CASE WHEN p <= {slots} - (SELECT count(*) + sum(whole) FROM ranked) THEN 1 ELSE 0 END AS part FROM ranked),
-lists AS (SELECT list(part ORDER BY i) AS a, len(list(part)) AS m FROM parts),
+  SELECT key, i, blocks, CAST(greatest(1, round(w / (SELECT fsum(w) FROM weighed) * {total})) AS HUGEINT) AS a FROM weighed),
+lists AS (SELECT list(a ORDER BY i) AS a, len(list(a)) AS m, sum(a) AS total FROM parts),
+run AS (SELECT max((blocks * total + a - 1) // a) AS slots FROM parts, (SELECT total FROM lists)),
 plan(t, source, k, done) AS (
   SELECT CAST(-1 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), list_transform(a, lambda x: CAST(0 AS BIGINT)) FROM lists
   UNION ALL
   SELECT t + 1, pick, done[pick], list_transform(done, lambda d, j: CASE WHEN j = pick THEN d + 1 ELSE d END)
   FROM (
     SELECT t, done, list_min(list_filter(list_transform(range(1, m + 1), lambda j: CASE
-        WHEN done[j] < a[j] AND (done[j] * {slots}) // a[j] <= t + 1
-        THEN [((done[j] + 1) * {slots} + a[j] - 1) // a[j], j] END), lambda x: x IS NOT NULL))[2] AS pick
-    FROM plan, lists WHERE t < {slots - 1})),
+        WHEN (done[j] * total) // a[j] <= t + 1
+        THEN [CAST(((done[j] + 1) * total + a[j] - 1) // a[j] AS BIGINT), j] END), lambda x: x IS NOT NULL))[2] AS pick
+    FROM plan, lists, run WHERE t < slots - 1)),
 schedule AS (SELECT t, source AS i, k FROM plan WHERE t >= 0),
-periods AS (SELECT max((blocks + part - 1) // part) AS c FROM parts),
 placed AS (
   SELECT doc_id, source, coalesce('s' || source, 'n') AS key,
-    row_number() OVER (PARTITION BY coalesce('s' || source, 'n') ORDER BY doc_id NULLS FIRST) - 1 AS index FROM documents),
-turns AS (
-  SELECT d.doc_id, d.source, d.index, p.i, p.blocks, p.part, d.index // {rows} + e.e * p.blocks AS turn, e.e AS epoch
-  FROM placed d JOIN parts p USING (key) JOIN range(100000) e(e) ON e.e <= ((SELECT c FROM periods) * p.part) // p.blocks
-  WHERE d.index // {rows} + e.e * p.blocks < (SELECT c FROM periods) * p.part)
-SELECT doc_id, source, CAST(epoch AS BIGINT) AS epoch, CAST((turn // part) * {slots} + t AS BIGINT) AS slot,
-  CAST(index % {rows} AS INTEGER) AS place
-FROM turns JOIN schedule s ON s.i = turns.i AND s.k = turns.turn % turns.part"""
+    row_number() OVER (PARTITION BY coalesce('s' || source, 'n') ORDER BY doc_id NULLS FIRST) - 1 AS index FROM documents)
+SELECT doc_id, source, CAST(k // blocks AS BIGINT) AS epoch, CAST(t AS BIGINT) AS slot, CAST(index % {rows} AS INTEGER) AS place
+FROM placed JOIN parts USING (key) JOIN schedule s ON s.i = parts.i AND s.k % parts.blocks = index // {rows}"""
 
 
 def _url_sql() -> str:
