@@ -44,7 +44,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows of the mixture, files in the order of the schedule; a row comes once an epoch of its source, each once at least."""
     packed = docs.select(F.struct("*").alias("document"), "doc_id", "source")
     at = ["slot", "place"]
-    return mix_sources(packed, whole=True).repartitionByRange(*at).sortWithinPartitions(*at).select("document.*")
+    return mix_sources(packed).repartitionByRange(*at).sortWithinPartitions(*at).select("document.*")
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
