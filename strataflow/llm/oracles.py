@@ -126,8 +126,10 @@ def _secrets_sql() -> str:
     return f"""WITH numbered AS (
   SELECT row_number() OVER () AS row, doc_id, source, coalesce(text, '') AS text FROM documents),
 spans AS ({scans}),
-owners AS (SELECT value, count(DISTINCT coalesce('s' || source, 'n')) AS owners FROM spans GROUP BY value),
-told AS (SELECT s.*, owners <= {secrets.LIVE_OWNERS} AS live, kind || ':' || start || ':' || stop AS entry
+owners AS (
+  SELECT value, count(*) AS owners, sum(n) AS repositories FROM (
+    SELECT value, source, count(DISTINCT coalesce(CAST(doc_id AS VARCHAR), 'none')) AS n FROM spans GROUP BY value, source) GROUP BY value),
+told AS (SELECT s.*, owners <= {secrets.LIVE_OWNERS} AND repositories <= {secrets.LIVE_REPOSITORIES} AS live, kind || ':' || start || ':' || stop AS entry
   FROM spans s JOIN owners USING (value)),
 per_row AS (
   SELECT row, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,

@@ -5,17 +5,16 @@ candidates: assigned values of 8 to 11 characters (``short``) and long runs that
 digits with both cases (``mixed``). The hash of each candidate value is counted over the
 whole corpus by distinct repositories and distinct owners. A weak candidate becomes a
 span only where its value belongs to one owner and few repositories, as live credentials
-do; a value that several owners or many repositories have is a copied example. The query
-``op5_secrets`` sets no limit on repositories, as its SQL counts owners alone. Base values are told apart in the same way, in
-``n_live`` and ``n_shared``.
+do; a value that several owners or many repositories have is a copied example. Base
+values are told apart in the same way, in ``n_live`` and ``n_shared``.
 
 Positions are not collected per text in Python: the gaps that ``split`` leaves and the
 lengths of the matches add up to them.
 
 Defined cases: NULL and empty texts have no spans; repeated rows and rows with equal or
 NULL ids each get a row (they are told apart by a row number); a NULL owner or
-repository counts as one more owner or repository; an empty table gives no rows; other
-columns are not looked at.
+repository counts as one more owner or repository; a very long text is read whole, its matches in
+chunks; spans that begin together go by kind; an empty table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -142,21 +141,16 @@ def find_secrets(
     owner: str = "source",
     repository: str = "doc_id",
     live_owners: int = LIVE_OWNERS,
-    live_repositories: int | None = LIVE_REPOSITORIES,
+    live_repositories: int = LIVE_REPOSITORIES,
 ) -> DataFrame:
-    """One row a document: doc_id, base spans, all spans, and how many values are live or shared.
-
-    ``live_repositories`` of None sets no limit on the repositories of a live value.
-    """
+    """One row a document: doc_id, base spans, all spans, and how many values are live or shared."""
     scanned = scan(documents, owner, repository)
     some = scanned.where((F.size("base") > 0) | (F.size("weak") > 0))
     candidates = some.select("row", "owner", "repository", F.explode(F.concat("base", "weak")).alias("span")).select(
         "row", "owner", "repository", "span", F.col("span.value").alias("value")
     )
     told = join_hot(candidates, ownership(candidates), "value")
-    live = F.col("owners") <= live_owners
-    if live_repositories is not None:
-        live &= F.col("repositories") <= live_repositories
+    live = (F.col("owners") <= live_owners) & (F.col("repositories") <= live_repositories)
     is_base = F.col("span.rank") <= KINDS.index("hex")
     # Only spans that become part of the result are gathered, and only those of one text.
     per_row = told.groupBy("row").agg(
@@ -176,7 +170,7 @@ def find_secrets(
 
 def secret_digest(documents: DataFrame) -> DataFrame:
     count = lambda kind: F.size(F.filter("base", lambda s: s["rank"] == KINDS.index(kind))).cast("long")
-    return find_secrets(documents, live_repositories=None).select(
+    return find_secrets(documents).select(
         "doc_id",
         *[count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
         F.sha2(span_text(F.col("base")), 256).alias("base_sha256"),

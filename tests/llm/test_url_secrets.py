@@ -119,7 +119,9 @@ def test_value_copied_through_one_source(spark):
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
     got = {r["doc_id"]: (len(r["spans"]), r["n_live"], r["n_shared"]) for r in find_secrets(docs).collect()}
     assert all(got[i] == ((0, 0, 1) if i < many else (1, 1, 0)) for i in range(many + few))
-    assert {r["n_live"] for r in find_secrets(docs, live_repositories=None).collect()} == {1}
+    told = {r["doc_id"]: (r["spans"], r["n_live"]) for r in secret_digest(docs).collect()}
+    assert all(told[i] == (("", 0) if i < many else ("short:0:16", 1)) for i in range(many + few))
+    assert {r["n_live"] for r in find_secrets(docs, live_repositories=many).collect()} == {1}
 
 
 def test_secrets_in_odd_rows(odd, nothing):
