@@ -5,10 +5,15 @@ characters (so that inflected forms share a term), hashed. Besides a weight each
 has a vector of ``FACTORS``, and the product of two terms' vectors is the weight of their
 meeting in one text, as an insult and a group name do; added weights alone miss it.
 
-Learned from at most ``PER_CLASS`` documents of each label (see ``training``), on the
-``TERMS`` hashes that tell the classes best in that sample; scored on every whole text.
+Learned from at most ``PER_CLASS`` documents of each label (see ``training``), on every term
+that these hold; scored on every whole text with all of them. A term enters with a value between 0 and 1
+by what it tells of the classes in the sample, z / (z + ``EVIDENCE``) for its chi-square z, or by
+how many documents hold it, whichever is more: words met once or twice, most of any vocabulary,
+can't be learned by heart, and terms that tell nothing alone can still tell together. A toxic
+document missed costs ``MISS_COST`` times a clean one flagged.
+
 Defined cases: NULL and empty texts have no terms and get the score of none; very long
-texts are scored whole; repeated rows are rows; without labels, or with one label alone,
+texts are scored whole; repeated rows are rows; a term that the sample lacks tells nothing; without labels, or with one label alone,
 every score is the smoothed share of label 1; an empty table gives no rows; other
 columns are not looked at.
 """
@@ -27,13 +32,16 @@ from pyspark.sql.types import DoubleType
 from strataflow.llm.plain import plain
 from strataflow.llm.training import PER_CLASS, Adam, held_out, sample, sigmoid
 
-BUCKETS, TERMS, FACTORS = 1 << 18, 512, 8
+BUCKETS, FACTORS = 1 << 18, 8
 PREFIXES = (3, 4, 5)
-STEPS, RATE, DECAY, SEED = 250, 0.05, 5e-4, 11
+STEPS, RATE, DECAY, SEED = 80, 0.05, 5e-4, 11
 TOXIC_AT = 0.5
-CACHE_WORDS = 400_000
-#: A term in fewer documents of the sample tells nothing.
-LEAST_DOCUMENTS = 3
+CACHE_WORDS = 200_000
+#: Chi-square of a term at which its value is a half; most that a term has by its frequency, and documents for half of that.
+EVIDENCE, COMMON, HALF_COMMON = 25, 0.1, 50
+MISS_COST = 3
+#: Entries of the sample's matrix gathered at once.
+GATHERED = 1 << 19
 
 
 def terms_of(word: str) -> list[int]:
@@ -45,30 +53,43 @@ def term_sets(texts: Sequence[str | None]) -> list[bytes]:
     return [np.unique(np.array([t for w in set(plain(x).split()) for t in terms_of(w)], np.int32)).tobytes() for x in texts]
 
 
-def choose_terms(sets: list[np.ndarray], y: np.ndarray, most: int = TERMS) -> np.ndarray:
-    """Hashes with the greatest chi-square between the classes."""
-    counts = [np.bincount(np.concatenate([s for s, v in zip(sets, y) if v == k] or [np.zeros(0, int)]).astype(int), minlength=BUCKETS) for k in (0, 1)]
+def term_values(sets: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+    """The value of each hash: 0 for one that no document of the sample holds."""
+    held = [np.concatenate([s for s, v in zip(sets, y) if v == k] or [np.zeros(0, int)]) for k in (0, 1)]
+    clean, toxic = (np.bincount(h.astype(int), minlength=BUCKETS) for h in held)
     n0, n1 = (y == 0).sum(), (y == 1).sum()
-    both = counts[0] + counts[1]
-    expected = both * n1 / (n0 + n1)
+    both = clean + toxic
     spread = np.maximum(both * n0 * n1 / (n0 + n1) ** 2 * (1 - both / (n0 + n1 + 1)), 1e-9)
-    score = np.where(both >= LEAST_DOCUMENTS, (counts[1] - expected) ** 2 / spread, 0)
-    order = np.lexsort((np.arange(BUCKETS), -score))[:most]
-    return np.sort(order[score[order] > 0])
+    z = (toxic - both * n1 / (n0 + n1)) ** 2 / spread
+    return np.where(both > 0, np.maximum(z / (z + EVIDENCE), COMMON * both / (both + HALF_COMMON)), 0)
+
+
+def segment_sums(values: np.ndarray, index: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of ``values[index]`` over the stretches between the starts (one more at the end), a part at a time."""
+    out = np.zeros((len(starts) - 1, *values.shape[1:]), values.dtype)
+    filled = np.flatnonzero(np.diff(starts))
+    at = 0
+    while at < len(filled):
+        first = starts[filled[at]]
+        until = max(at + 1, np.searchsorted(starts[filled + 1], first + GATHERED, side="right"))
+        some = filled[at:until]
+        out[some] = np.add.reduceat(values[index[first : starts[some[-1] + 1]]], starts[some] - first)
+        at = until
+    return out
 
 
 class Machine:
-    def __init__(self, terms: np.ndarray, bias: float, weights: np.ndarray, factors: np.ndarray):
-        self.index = np.full(BUCKETS, -1, np.int32)
-        self.index[terms] = np.arange(len(terms))
+    """``weights`` and ``factors`` have a row for each hash, those of unknown terms are 0."""
+
+    def __init__(self, bias: float, weights: np.ndarray, factors: np.ndarray):
         self.bias, self.weights, self.factors = bias, weights, factors
         self.squares = (factors**2).sum(1)
-        self.kept: dict[str, tuple[int, ...]] = {}
+        self.kept: dict[str, list[int]] = {}
 
-    def _terms(self, word: str) -> tuple[int, ...]:
+    def _terms(self, word: str) -> list[int]:
         found = self.kept.get(word)
         if found is None:
-            found = tuple(int(i) for i in self.index[terms_of(word)] if i >= 0)
+            found = terms_of(word)
             if len(self.kept) >= CACHE_WORDS:
                 self.kept.clear()
             if len(word) <= 64:
@@ -78,22 +99,24 @@ class Machine:
     def score(self, texts: Iterable[str | None]) -> np.ndarray:
         out = []
         for text in texts:
-            terms: set[int] = set()
+            terms: list[int] = []
             for word in set(plain(text).split()):
-                if found := self._terms(word):
-                    terms.update(found)
-            some = sorted(terms)
+                terms += self._terms(word)
+            some = np.unique(np.array(terms, np.int64))
             met = self.factors[some].sum(0)
             out.append(self.bias + self.weights[some].sum() + 0.5 * ((met**2).sum() - self.squares[some].sum()))
         return sigmoid(np.array(out, float))
 
 
 def train(sets: list[np.ndarray], y: np.ndarray, weights: np.ndarray, steps: int = STEPS) -> Machine:
-    """Full-batch descent on the weighted logistic loss."""
-    terms = choose_terms(sets, y)
-    x = np.zeros((len(sets), len(terms)), np.float32)
-    for row, terms_of_row in zip(x, sets):
-        row[np.isin(terms, terms_of_row, assume_unique=True)] = 1
+    """Full-batch descent on the weighted logistic loss, over the terms that each document holds."""
+    starts = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+    terms, index = np.unique(np.concatenate(sets), return_inverse=True)
+    by_term = np.argsort(index, kind="stable")
+    of_term = np.concatenate((np.searchsorted(index[by_term], np.arange(len(terms))), [len(index)]))
+    row = np.repeat(np.arange(len(sets)), np.diff(starts))[by_term]
+    value = term_values(sets, y)[terms].astype(np.float32)
+    weights = weights * np.where(y == 1, MISS_COST, 1)
     share = np.average(y, weights=weights)
     p = {
         "bias": np.array([np.log(share / (1 - share))], np.float32),
@@ -102,19 +125,22 @@ def train(sets: list[np.ndarray], y: np.ndarray, weights: np.ndarray, steps: int
     }
     adam = Adam(p, RATE)
     for _ in range(steps):
-        met = x @ p["factors"]
-        own = (p["factors"] ** 2).sum(1)
-        logit = p["bias"][0] + x @ p["weights"] + 0.5 * ((met**2).sum(1) - x @ own)
+        factors = p["factors"] * value[:, None]
+        alone = p["weights"] * value - 0.5 * (factors**2).sum(1)
+        met = segment_sums(np.column_stack([factors, alone]), index, starts)
+        logit = p["bias"][0] + met[:, -1] + 0.5 * (met[:, :-1] ** 2).sum(1)
         g = (weights * (sigmoid(logit) - y) / len(y)).astype(np.float32)
-        by_term = x.T @ g
+        back = segment_sums(np.column_stack([g[:, None] * met[:, :-1], g]), row, of_term) * value[:, None]
         adam.update(
             {
                 "bias": np.array([g.sum()]),
-                "weights": by_term + DECAY * p["weights"],
-                "factors": x.T @ (g[:, None] * met) - by_term[:, None] * p["factors"] + DECAY * p["factors"],
+                "weights": back[:, -1] + DECAY * p["weights"],
+                "factors": back[:, :-1] - back[:, -1:] * factors + DECAY * p["factors"],
             }
         )
-    return Machine(terms, float(p["bias"][0]), p["weights"].astype(float), p["factors"].astype(float))
+    all_weights, all_factors = np.zeros(BUCKETS, np.float32), np.zeros((BUCKETS, FACTORS), np.float32)
+    all_weights[terms], all_factors[terms] = p["weights"] * value, p["factors"] * value[:, None]
+    return Machine(float(p["bias"][0]), all_weights, all_factors)
 
 
 def fit(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Machine | float:
