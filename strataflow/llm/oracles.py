@@ -96,7 +96,8 @@ named AS (
     || regexp_replace(path, '/+$', '') || CASE WHEN query <> '' THEN '?' || query ELSE '' END END AS canonical,
     CASE {best} END AS best
   FROM read),
-list AS (SELECT DISTINCT canonical FROM named WHERE regexp_matches(host, '(^|\\.)({"|".join(url_filter.LISTED_SITES)})\\.')),
+known AS (SELECT canonical FROM named WHERE regexp_matches(host, '(^|\\.)({"|".join(url_filter.LISTED_SITES)})\\.')),
+list AS (SELECT canonical FROM known WHERE left(md5(canonical), 1) < '8' UNION SELECT canonical || '/gone' FROM known),
 judged AS (SELECT n.*, l.canonical IS NOT NULL AS listed FROM named n LEFT JOIN list l ON n.canonical = l.canonical)
 SELECT page_id, host, path, split_part(best, ',', 1) AS rule,
   coalesce(split_part(best, ',', 2), CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict, listed

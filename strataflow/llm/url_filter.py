@@ -9,7 +9,7 @@ exact hash join with the list. URLs are made distinct first, and the page rows t
 one row a URL at most, so adaptive execution can split the pages of a hot URL.
 
 Defined cases: a NULL url, or one without ``://``, has empty host and path, fits no
-rule, is on no list and is allowed. Repeated rows are judged each. Empty tables, of
+rule, is on no list and is allowed. Repeated rows are judged each, very long URLs are read whole. Empty tables, of
 pages or of listed URLs, are fine. A tie of rules of equal length goes to the one named
 first. Other columns of the pages are not looked at.
 """
