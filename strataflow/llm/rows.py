@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strataflow.operators.dedup import comparable
 from strataflow.session import settle
 
 _BITS = 33  # of the row's place in its partition, in monotonically_increasing_id
@@ -17,17 +18,18 @@ def number_rows(df: DataFrame, order: Sequence[Column | str], number: str) -> tu
     """``df`` with dense numbers from 0 in the given order, and how many rows there are.
 
     Rows are dealt by range and sorted; each partition is counted, and the counts
-    (one row a partition) give the number of its first row. A tie-break from the
-    row's place in the input spreads rows equal in every order column over
-    partitions, so a repeated row can fill more than one task. The sorted rows are
+    (one row a partition) give the number of its first row. Ties go by a hash of the whole
+    row, so a table gives the same numbers however its files are cut. Rows equal in every column, which
+    it doesn't matter how to number, go by their place in the input: that spreads
+    them over partitions, so a repeated row can fill more than one task. The sorted rows are
     settled, so that all later steps see one and the same order. ``df`` should be a scan
     or a settled table with row-local expressions: then a retried task reads its rows in
     the same order and repeats its tie-breaks.
     """
-    tie, at, part = f"{number}_tie", f"{number}_at", f"{number}_part"
-    keys = [F.col(o) if isinstance(o, str) else o for o in order] + [F.col(tie)]
-    placed = df.withColumn(tie, F.xxhash64(F.monotonically_increasing_id()))
-    ordered = placed.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(tie)
+    tie, place, at, part = f"{number}_tie", f"{number}_place", f"{number}_at", f"{number}_part"
+    keys = [F.col(o) if isinstance(o, str) else o for o in order] + [F.col(tie), F.col(place)]
+    placed = df.withColumns({tie: F.xxhash64(*comparable(df)), place: F.xxhash64(F.monotonically_increasing_id())})
+    ordered = placed.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(tie, place)
     stored = settle(ordered.withColumn(at, F.monotonically_increasing_id()))
     counts = stored.groupBy(F.shiftright(at, _BITS).alias(part)).agg(F.count(F.lit(1)).alias("n"))
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)

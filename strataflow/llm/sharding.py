@@ -6,8 +6,8 @@ so both can be computed for any row number without data, the counts of two shard
 differ by one at most, and the slots of a shard have no gap.
 
 Defined cases: a NULL text has size 1 and a NULL checksum; an empty text size 1 and
-checksum 0; NULL ids sort first; repeated rows get numbers of their own; an empty
-table gives no rows. Input columns with the name of an added one are replaced.
+checksum 0; very long texts are carried whole; NULL ids sort first, and ties go by the whole row; repeated
+rows get numbers of their own; an empty table gives no rows. Input columns with the name of an added one are replaced.
 """
 
 from __future__ import annotations

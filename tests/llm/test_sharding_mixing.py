@@ -132,3 +132,13 @@ def test_any_weights_are_met_within_a_block(weights, slots):
     for t, i in enumerate(whole_run(exact, slots), 1):
         done[i] += 1
         assert np.abs(done - share * t).max() < 1 + 1e-9
+
+
+def test_shards_do_not_depend_on_the_files(spark):
+    """Rows that differ in a further column alone, a map among them, in two layouts."""
+    rows = [(i % 100, f"text {i % 100}", f"more {i}", {"b": str(i), "a": "x"}) for i in range(400)]
+    schema = "doc_id long, text string, more string, tags map<string,string>"
+    one = spark.createDataFrame(rows, schema).coalesce(1)
+    other = spark.createDataFrame(rows[::-1], schema).repartition(7)
+    placed = [{r["more"]: (r["shard"], r["slot"]) for r in shard_documents(frame, 5).collect()} for frame in (one, other)]
+    assert placed[0] == placed[1] and len(set(placed[0].values())) == 400
