@@ -22,7 +22,7 @@ from strataflow.operators.stats import (
     with_residuals,
 )
 from strataflow.plans import defaults
-from strataflow.session import settle
+from strataflow.session import freeing, settle
 from strataflow.sinks.tables import replace_table, write_report
 from strataflow.sources.tables import read_curated
 
@@ -125,11 +125,12 @@ def build_regression(
     curated = read_curated(spark, curated_path, [year])
     if curated.isEmpty():
         raise EmptyFit(f"no curated data for year={year}")
-    result = regression(unique_curated(curated), outliers)
-    if result.fit.isEmpty():
-        raise EmptyFit(f"no complete points for year={year}")
     root = f"{out.rstrip('/')}/run_date={stamp:%Y%m%d}/regression"
     paths = {"fit": f"{root}/fit", "points": f"{root}/points", "line": f"{root}/line"}
-    for part, path in paths.items():
-        replace_table(getattr(result, part), path)
+    with freeing(spark):
+        result = regression(unique_curated(curated), outliers)
+        if result.fit.isEmpty():
+            raise EmptyFit(f"no complete points for year={year}")
+        for part, path in paths.items():
+            replace_table(getattr(result, part), path)
     return paths

@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strataflow.sources.folders import remove
+
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -59,22 +64,39 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
 
 
+#: Folders settled in each open ``freeing`` block of a thread.
+_open: ContextVar[list[list[str]] | None] = ContextVar("settled", default=None)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, as a table in the shared folder, and go on from there.
 
     Lost executors cost nothing, columns can be pruned on the next read, and the
     planner knows the size. A checkpoint would run the last stage twice. Whoever
-    writes the final result can ``discard`` the table then.
+    writes the final result does so in a ``freeing`` block, or can ``discard`` the table then.
     """
     path = fresh_folder(df.sparkSession, SETTLED)
+    if blocks := _open.get():
+        blocks[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def discard(*settled: DataFrame) -> None:
-    """Free settled tables that nothing will read again: each is overwritten by no rows."""
+    """Delete settled tables that nothing will read again."""
     for df in settled:
         folders = {file.rsplit("/", 1)[0] for file in df.inputFiles()}
-        for folder in folders:
-            if f"/{SETTLED}-" in folder:
-                df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(folder)
+        remove(df.sparkSession, [folder for folder in folders if f"/{SETTLED}-" in folder])
+
+
+@contextmanager
+def freeing(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what was settled in the block, also where it fails: for blocks that write their result."""
+    blocks = _open.get()
+    if blocks is None:
+        _open.set(blocks := [])
+    blocks.append([])
+    try:
+        yield
+    finally:
+        remove(spark, blocks.pop())

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from strataflow.operators.dedup import first_per_key
-from strataflow.session import discard, settle
+from strataflow.session import freeing, settle
 from strataflow.sinks.seen import SeenKeys
 from strataflow.sinks.tables import Written, append_partitions, as_stored, overwrite_partitions
 from strataflow.sources.folders import folder_of, remove
@@ -92,15 +92,12 @@ def append_files(rows: DataFrame, files: DataFrame, path: str, partitions: Seque
     known = settle(log.known(files, SOURCE_FILE).select(F.col("key").alias(SOURCE_FILE)))
     if known.isEmpty():
         log.add(files, SOURCE_FILE)
-        discard(known)
         return append_partitions(rows, path, partitions).rows
     made = settle(rows)
     log.add(files, SOURCE_FILE)
     new, touched = replace_owned(made, known, path, SOURCE_FILE, partitions)
     write_touched(new, touched, path, partitions)
-    count = made.count()
-    discard(known, made, new, touched)
-    return count
+    return made.count()
 
 
 def load_new_files(
@@ -140,6 +137,10 @@ def load_new_files(
         return as_stored(transform(read), partitions).where(F.col(partitions[0]).isNotNull())
 
     def write(batch: DataFrame, _: int) -> None:
+        with freeing(spark):
+            write_batch(batch)
+
+    def write_batch(batch: DataFrame) -> None:
         if replace:
             counts.append(overwrite_partitions(made(batch), target, partitions).rows)
             return
@@ -157,7 +158,6 @@ def load_new_files(
             new, touched = merge_partitions(rows, target, merge_on, latest_by, partitions)
         write_touched(new, touched, target, partitions)
         counts.append(rows.count())
-        discard(read, rows, new, touched)
 
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("mode", "FAILFAST")
     if max_files is not None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from strataflow import fresh_folder, schemas, shared_folder
 from strataflow.operators.project import with_audit
-from strataflow.session import settle
+from strataflow.session import discard, freeing, settle
 from strataflow.sinks import tables as sinks
 from strataflow.sources import folders, landed, tables
 
@@ -259,3 +259,21 @@ def test_settle_cuts_lineage_into_the_shared_folder(spark):
     assert settled.count() == 6
     assert "Filter" not in settled._jdf.queryExecution().optimizedPlan().toString()
     assert shared_folder(spark)
+
+
+def test_settled_tables_are_freed_by_whoever_writes(spark):
+    there = lambda frame: [os.path.exists(f.removeprefix("file:").removeprefix("//")) for f in frame.inputFiles()]
+    outside = settle(spark.range(5))
+    with freeing(spark):
+        outer = settle(spark.range(3))
+        with freeing(spark):
+            inner = settle(spark.range(4))
+            assert all(there(inner)) and inner.count() == 4
+        assert not any(there(inner)) and all(there(outer))
+    with pytest.raises(ValueError):
+        with freeing(spark):
+            lost = settle(spark.range(2))
+            raise ValueError
+    assert not any(there(outer)) and not any(there(lost)) and all(there(outside))
+    discard(outside)
+    assert not any(there(outside))
