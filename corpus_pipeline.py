@@ -1,9 +1,11 @@
 """Corpus pipeline: from ``documents`` to the shards of a training set.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet
-and read again as the next one's docs. All but the last return the columns of
-``documents``. Texts and ids may be NULL, rows may repeat, tables may be empty, and
-further columns are carried along, whatever their names.
+and read again as the next one's docs, and what it settled on the way is deleted then, with
+the docs it was made of. All but the last return the columns of ``documents``. Texts
+and ids may be NULL, texts may be empty or very long, rows may repeat, tables may be empty, and further columns are
+carried along, whatever their names. Ties: of linked texts without order by id the stage keeps one,
+and rows are numbered by the whole row where ids are equal.
 
 1. quality classifier: documents that it rejects go
 2. SimHash near-dedup: one document of each group stays
@@ -23,7 +25,8 @@ from strataflow.llm.quality import keep_quality
 from strataflow.llm.sharding import shard_documents
 from strataflow.llm.simhash import drop_near_duplicates
 from strataflow.registry.inputs import table
-from strataflow.session import fresh_folder
+from strataflow.session import freeing, fresh_folder
+from strataflow.sources.folders import remove
 
 SHARDS = 16
 
@@ -64,9 +67,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
         path = fresh_folder(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with freeing(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        remove(spark, before)
+        docs, before = spark.read.parquet(path), [path]
     return docs
