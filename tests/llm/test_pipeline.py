@@ -1,5 +1,7 @@
 """Registered queries against their SQL, and the pipeline on given and on odd tables."""
 
+import os
+
 import pytest
 
 import corpus_pipeline
@@ -7,6 +9,7 @@ import tests.compare as compare
 from strataflow.llm import queries
 from strataflow.llm.decontaminate import find_leaks
 from strataflow.llm.simhash import near_duplicates
+from strataflow.session import shared_folder
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
@@ -47,7 +50,11 @@ def test_pipeline_on_given_tables(spark, sf_dir):
             assert ids == {r[0] for r in before.select("doc_id").collect()} - leaked
         if name == "source_mixing":
             assert ids == {r[0] for r in before.select("doc_id").collect()}
+    shared = shared_folder(spark).removeprefix("file:")
+    folders = set(os.listdir(shared))
     whole = corpus_pipeline.run(spark, sf_dir)
+    # Of what the run wrote only its result stays.
+    assert {f.rsplit("-", 1)[0] for f in set(os.listdir(shared)) - folders} == {"pipeline-sharding"}
     assert sorted(map(str, whole.collect())) == sorted(map(str, docs.collect()))
 
 
