@@ -38,6 +38,7 @@ SPARE, PIECE_LEAST = 3, 6
 BLOCK_CHARS = 4_000_000
 
 _FOUND = "doc_id long, item_id long, distance int, start long, end long"
+_FOUND_KEYS = "doc_id long, key string, distance int, start long, end long"
 
 
 def _masks(pattern: str) -> dict[str, int]:
@@ -163,15 +164,22 @@ class Matcher:
                     return
 
 
-def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int | None, str]]]:
-    """Items in plain form, a bounded number of characters at a time."""
-    texts = benchmark.select("item_id", "text").where(F.length("text") > 0)
+def _key() -> Column:
+    return F.sha1("text")
+
+
+def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[str, str]]]:
+    """(key, plain form) of the distinct item texts, a bounded number of characters at a time.
+
+    An item that is repeated in the benchmark is one text here, so no block grows with its copies.
+    """
+    texts = benchmark.where(F.length("text") > 0).select("text").distinct().select(_key().alias("key"), "text")
     total = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     count = -(-total // block_chars)
     for number in range(count):
         block = texts.where(F.pmod(F.xxhash64("text"), F.lit(count)) == number)
-        items = [(row["item_id"], plain(row["text"])) for row in block.toLocalIterator()]
-        if items := sorted(((i, t) for i, t in items if t), key=lambda x: (x[0] is None, x[0] or 0, x[1])):
+        items = [(row["key"], plain(row["text"])) for row in block.toLocalIterator()]
+        if items := sorted((i, t) for i, t in items if t):
             yield items
 
 
@@ -193,25 +201,26 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, rate: float = RATE, b
     narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = []
     for items in item_blocks(benchmark, block_chars):
-        matcher, ids = _shared(documents, items, rate), [i for i, _ in items]
+        matcher, keys = _shared(documents, items, rate), [i for i, _ in items]
 
-        def scan(frames: Iterator[pd.DataFrame], matcher=matcher, ids=ids) -> Iterator[pd.DataFrame]:
+        def scan(frames: Iterator[pd.DataFrame], matcher=matcher, keys=keys) -> Iterator[pd.DataFrame]:
             for frame in frames:
                 rows = [
-                    (doc, ids[index], *rest)
+                    (doc, keys[index], *rest)
                     for doc, text in zip(frame["doc_id"].astype("Int64"), frame["text"])
                     for index, *rest in matcher().find(plain(text))
                 ]
-                out = pd.DataFrame(rows, columns=["doc_id", "item_id", "distance", "start", "end"])
-                yield out.astype({"doc_id": "Int64", "item_id": "Int64"})
+                out = pd.DataFrame(rows, columns=["doc_id", "key", "distance", "start", "end"])
+                yield out.astype({"doc_id": "Int64", "key": "string"})
 
-        found.append(narrow.mapInPandas(scan, _FOUND))
+        found.append(narrow.mapInPandas(scan, _FOUND_KEYS))
     if not found:
         return documents.sparkSession.createDataFrame([], _FOUND)
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out
+    ids = benchmark.select(_key().alias("key"), F.col("item_id").cast("long").alias("item_id"))
+    return out.join(ids, "key").select("doc_id", "item_id", "distance", "start", "end")
 
 
 def _leaks(matcher: Callable[[], Matcher]) -> Callable[[Column], Column]:

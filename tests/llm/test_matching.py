@@ -6,6 +6,7 @@ import pytest
 import xxhash
 
 from strataflow.llm import simhash
+from strataflow.llm import decontaminate
 from strataflow.llm.decontaminate import Matcher, best_end, drop_leaks, find_leaks
 from strataflow.llm.plain import plain
 from strataflow.llm.simhash import (
@@ -81,6 +82,19 @@ def test_leaks_in_odd_rows(spark, odd, nothing):
     assert drop_leaks(odd, benchmark.limit(0)).count() == odd.count() and drop_leaks(nothing, benchmark).count() == 0
 
 
+def test_repeated_items_are_one_text(spark, monkeypatch):
+    """Copies of an item neither fill a block nor lose their ids."""
+    text = "the quick brown fox jumps over the lazy dog again and again"
+    rows = [(i, text) for i in range(50)] + [(3, text), (None, text), (99, "another item that no document holds at all, ever")]
+    benchmark = spark.createDataFrame(rows, "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"before {text} after"), (2, "clean")], "doc_id long, text string")
+    blocks = list(decontaminate.item_blocks(benchmark, block_chars=10**6))
+    assert [len(b) for b in blocks] == [2]
+    found = [(r["doc_id"], r["item_id"]) for r in find_leaks(docs, benchmark).collect()]
+    assert sorted(found, key=str) == sorted(((1, i) for i, t in rows if t == text), key=str)
+    assert [r["doc_id"] for r in drop_leaks(docs, benchmark).collect()] == [2]
+
+
 def fingerprint_by_hand(text):
     words = (text or "").encode().lower().split()
     shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
