@@ -5,7 +5,6 @@ from __future__ import annotations
 from hashlib import sha1
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strataflow import schemas
 from strataflow.operators.moments import fit_of, merge_moments, moments

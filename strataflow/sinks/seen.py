@@ -27,10 +27,6 @@ class SeenKeys:
     def bucket(self, key: Column | str) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int").alias("bucket")
 
-    def _folders(self, buckets: list[int]) -> list[str]:
-        stored = partition_values(self.spark, self.path, "bucket")
-        return [stored[str(b)] for b in sorted(buckets) if str(b) in stored]
-
     def _read(self, folders: list[str]) -> DataFrame:
         if not folders:
             return self.spark.createDataFrame([], SCHEMA)
@@ -38,8 +34,10 @@ class SeenKeys:
 
     def near(self, keys: DataFrame, key: str) -> DataFrame:
         """Last value of every key in the folders that ``keys`` fall into, which are at most ``buckets``."""
-        wanted = [row["bucket"] for row in keys.select(self.bucket(key)).distinct().collect()]
-        return latest_value(self._read(self._folders(wanted)), ["key"], ["seen_ts", "value"], value="value")
+        stored = partition_values(self.spark, self.path, "bucket")
+        wanted = [str(row["bucket"]) for row in keys.select(self.bucket(key)).distinct().collect()] if stored else []
+        near = self._read([stored[b] for b in sorted(wanted) if b in stored])
+        return latest_value(near, ["key"], ["seen_ts", "value"], value="value")
 
     def known(self, keys: DataFrame, key: str) -> DataFrame:
         """The distinct keys that were met before."""

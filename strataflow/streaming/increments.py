@@ -89,11 +89,12 @@ def append_files(rows: DataFrame, files: DataFrame, path: str, partitions: Seque
     look at the table nor a rewrite.
     """
     log = SeenKeys(rows.sparkSession, f"{path.rstrip('/')}/{LOADED_FILES}")
-    known = settle(log.known(files, SOURCE_FILE).select(F.col("key").alias(SOURCE_FILE)))
+    files = settle(files)
+    known = log.known(files, SOURCE_FILE).select(F.col("key").alias(SOURCE_FILE))
     if known.isEmpty():
         log.add(files, SOURCE_FILE)
         return append_partitions(rows, path, partitions).rows
-    made = settle(rows)
+    known, made = settle(known), settle(rows)
     log.add(files, SOURCE_FILE)
     new, touched = replace_owned(made, known, path, SOURCE_FILE, partitions)
     write_touched(new, touched, path, partitions)
