@@ -76,7 +76,11 @@ def run_layers(
     note("records_raw", raw)
     note("records_processed", process_records(spark, layers.path("raw", "gdp"), gdp, layers.path("state", "gdp")))
     note("mapping", build_and_save_mapping(spark, gdp, mapping, overrides_path))
-    note("tables_raw", ingest_pages(pages, layers.path("raw", "co2"), ledger, rejects=layers.path("rejects", "co2"), now=now))
+    landed = ingest_pages(
+        pages, layers.path("raw", "co2"), ledger, rejects=layers.path("rejects", "co2"),
+        seen=SeenKeys(spark, layers.path("metadata", "seen_pages")), now=now,
+    )
+    note("tables_raw", landed)
     typed = process_tables(
         spark, layers.path("raw", "co2"), co2, layers.path("state", "co2"), read_mapping(spark, mapping), values=page_values
     )

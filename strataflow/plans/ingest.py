@@ -120,6 +120,13 @@ def changed_pages(pages: DataFrame, checkpoints: DataFrame) -> DataFrame:
     return not_seen(keyed, seen, ["source", "_revision"]).drop("_revision")
 
 
+def revised_pages(pages: DataFrame, seen: SeenKeys) -> DataFrame:
+    """As ``changed_pages``, by the last revision of each URL in ``seen``."""
+    keyed = pages.withColumn("_revision", F.col("revid").cast("string"))
+    known = seen.changed(keyed.where(F.col("revid").isNotNull()), "url", "_revision")
+    return known.unionByName(keyed.where(F.col("revid").isNull())).drop("_revision")
+
+
 def table_snapshots(
     pages: DataFrame, *, run_id: str, ingestion_ts: str, location: str, strict: bool = False
 ) -> DataFrame:
@@ -150,20 +157,25 @@ def ingest_pages(
     checkpoint_key: str = defaults.TABLE_CHECKPOINT,
     strict: bool = True,
     rejects: str | None = None,
+    seen: SeenKeys | None = None,
     now: datetime | None = None,
 ) -> Written | None:
     """Append table snapshots of changed pages to RAW; None when nothing changed.
 
     ``pages`` has (url, html, pageid, revid, rev_timestamp). Each page keeps its
-    own mark, ``checkpoint_key`` followed by its URL, and only a page whose snapshot was
-    written moves it. Pages without a usable table go to the ``rejects`` table with the
+    own mark, and only a page whose snapshot was written moves it. Marks are checkpoints of
+    the ledger, ``checkpoint_key`` followed by the URL, or for many pages the last revisions in ``seen``,
+    of which a run reads the folders of its own pages. Pages without a usable table go to the ``rejects`` table with the
     reason and are tried again; where no page is usable, a strict load fails.
     ``rows_processed`` counts table rows, as a snapshot is one record.
     """
     stamp = now or datetime.now(timezone.utc)
     with ledger.run(run_scope) as run:
         keyed = pages.withColumn("source", F.concat(F.lit(f"{checkpoint_key}:"), "url"))
-        changed = settle(changed_pages(keyed, ledger.checkpoints()))
+        if seen is None:
+            changed = settle(changed_pages(keyed, ledger.checkpoints()))
+        else:
+            changed = settle(revised_pages(keyed, seen))
         if changed.isEmpty():
             run.status, run.rows = SKIPPED, 0
             run.checkpoint = _text(pages.agg(F.max("revid")).first()[0])
@@ -175,12 +187,15 @@ def ingest_pages(
         records = table_snapshots(changed, run_id=run.run_id, ingestion_ts=stamp.isoformat(), location=path)
         written = write_raw(records, path, {"table_rows": F.sum(F.size("raw_table_json.rows")), "revid": F.max("revid")})
         stored = read_json_lines(pages.sparkSession, path, schemas.RAW_TABLE).select("page_url", "revid")
-        ledger.save_checkpoints(
-            stored.select(
-                F.concat(F.lit(f"{checkpoint_key}:"), "page_url").alias("source"),
-                F.coalesce(F.col("revid").cast("string"), F.lit("")).alias("value"),
+        if seen is None:
+            ledger.save_checkpoints(
+                stored.select(
+                    F.concat(F.lit(f"{checkpoint_key}:"), "page_url").alias("source"),
+                    F.coalesce(F.col("revid").cast("string"), F.lit("")).alias("value"),
+                )
             )
-        )
+        else:
+            seen.add(stored, "page_url", F.col("revid"), F.lit(stamp))
         if rejects is not None:
             bad = changed.join(stored.select(F.col("page_url").alias("url")).distinct(), "url", "left_anti")
             reason = F.when(F.coalesce(F.trim("html"), F.lit("")) == "", "empty page").otherwise("no table with a header and rows")

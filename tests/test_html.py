@@ -165,6 +165,6 @@ def test_time_follows_the_number_of_nested_tags(spark, shape):
         assert [r["headers"] for r in html_tables.page_tables(frame).collect()] == [["A"]]
         return time.perf_counter() - start
 
-    seconds(2000)
-    small, large = (min(seconds(n) for _ in range(3)) for n in (8000, 16000))
+    seconds(1000)
+    small, large = (min(seconds(n) for _ in range(2)) for n in (6000, 12000))
     assert large <= 2.3 * small + 0.2

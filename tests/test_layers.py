@@ -676,3 +676,19 @@ def test_only_new_snapshots_are_read_for_moments(spark):
     write(line(2001, 5.0), "20240201")
     assert slopes() == {2000: (2.0, 6), 2001: (5.0, 6), 2002: (None, 2)}
     assert fits.fit_years(spark, fresh_folder(spark, "none"), fresh_folder(spark, "none")).count() == 0
+
+
+def test_pages_are_told_changed_by_their_last_revision(spark, ledger):
+    root = fresh_folder(spark, "pages")
+    seen = SeenKeys(spark, f"{root}/seen")
+    rows = {"a": [("Aland", "1", "2")], "b": [("Bland", "3", "4")]}
+
+    def load(day, revisions):
+        written = ingest.ingest_pages(several_pages(spark, rows, revisions), f"{root}/raw", ledger, seen=seen, now=datetime(2024, 1, day, tzinfo=timezone.utc))
+        return 0 if written is None else written.rows
+
+    assert load(1, {"a": 1, "b": 1}) == 2 and load(2, {"a": 1, "b": 1}) == 0
+    assert load(3, {"a": 1, "b": 2}) == 1
+    # Set back to an earlier revision it has changed again; without a revision it is always taken.
+    assert load(4, {"a": 1, "b": 1}) == 1 and load(5, {"a": None, "b": 1}) == 1 and load(6, {"a": None, "b": 1}) == 1
+    assert ledger.checkpoints().count() == 0
