@@ -73,7 +73,12 @@ def ingest_records(
         baseline = baseline_year(None if seen is not None else checkpoint, min_year)
         fresh = new_records(unpack_envelope(envelopes), baseline, max_year)
         path = f"{raw_root.rstrip('/')}/{run_scope}_raw_{stamp:%Y%m%dT%H%M%S%fZ}"
-        audited = with_audit(
+        read = None
+        if seen is not None and not seen.is_empty():
+            # Read twice, for the folders to look into and for the records; the payload is canonical.
+            read = settle(fresh)
+            fresh = seen.changed(read, record_key(), F.sha1("payload"))
+        kept = with_audit(
             fresh,
             "payload",
             run_id=run.run_id,
@@ -82,17 +87,12 @@ def ingest_records(
             location=path,
             canonical=True,
         ).drop("payload")
-        if seen is not None:
-            # Read twice, for the folders to look into and for the records.
-            audited = settle(audited.withColumn("_key", record_key()))
-            kept = seen.changed(audited, "_key", "record_hash").drop("_key")
-        else:
-            kept = audited
         written = write_raw(kept, path, {"max_year": F.max(parse_year("date"))})
         if seen is not None:
             stored = read_json_lines(envelopes.sparkSession, path, schemas.RAW_RECORD)
             seen.add(stored, record_key(), "record_hash", F.lit(stamp))
-            discard(audited)
+        if read is not None:
+            discard(read)
         newest = written.metrics.get("max_year")
         if newest is not None and checkpoint is not None and seen is not None:
             # A run that brought revisions of old years alone doesn't move the mark back.

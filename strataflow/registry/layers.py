@@ -25,7 +25,7 @@ from strataflow.operators.html_tables import page_tables
 from strataflow.operators.reshape import long_to_wide
 from strataflow.session import fresh_folder, settle
 from strataflow.sinks.seen import SeenKeys
-from strataflow.sinks.tables import overwrite_partitions, replace_table, write_raw, write_snapshot
+from strataflow.sinks.tables import RAW_FILE_ROWS, overwrite_partitions, replace_table, write_raw, write_snapshot
 from strataflow.sources.landed import read_envelopes, read_json_lines, read_overrides
 from strataflow.sources.tables import (
     for_years,
@@ -308,7 +308,9 @@ def _landed_envelopes(spark, sf, rows=None):
         F.col("gdp_per_capita_usd").alias("value"),
     )
     body = F.concat(F.lit('[{"page":1},'), F.to_json(F.array(record)), F.lit("]"))
-    (econ(spark, sf) if rows is None else rows).select(body.alias("value")).write.text(landed)
+    # Compressed files can't be split by who reads them, so none is long.
+    pages = (econ(spark, sf) if rows is None else rows).select(body.alias("value"))
+    pages.write.options(compression="gzip", maxRecordsPerFile=RAW_FILE_ROWS).text(landed)
     return read_envelopes(spark, landed, per_line=True)
 
 

@@ -14,6 +14,10 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
+#: Records of a RAW file at most.
+RAW_FILE_ROWS = 20_000
+
+
 @dataclass(frozen=True)
 class Written:
     """What a write did: the row count, and further metrics asked for."""
@@ -35,9 +39,13 @@ def _result(path: str, observation: Observation) -> Written:
 
 
 def write_raw(df: DataFrame, path: str, metrics: dict[str, Column] | None = None) -> Written:
-    """One new folder of JSON lines per run, written even when there are no rows."""
+    """One new folder of JSON lines per run, written even when there are no rows.
+
+    The files are compressed, and so can't be split by who reads them: none holds more than ``RAW_FILE_ROWS``.
+    """
     counted, observation = _observed(df, metrics or {})
-    counted.write.mode("errorifexists").option("ignoreNullFields", "false").json(path)
+    options = {"ignoreNullFields": "false", "compression": "gzip", "maxRecordsPerFile": RAW_FILE_ROWS}
+    counted.write.mode("errorifexists").options(**options).json(path)
     return _result(path, observation)
 
 

@@ -151,7 +151,8 @@ def load_new_files(
                 raise ValueError(f"rows are appended by {SOURCE_FILE}, which the transform drops: keep it, or name merge_on, owner or replace")
             counts.append(append_files(rows, batch.select(SOURCE_FILE).distinct(), target, partitions))
             return
-        read = settle(batch)
+        # Read a second time for its owners only.
+        read = batch if owner is None else settle(batch)
         rows = settle(made(read))
         if owner is not None:
             new, touched = replace_owned(rows, read.where(F.col(owner).isNotNull()), target, owner, partitions)

@@ -11,7 +11,8 @@ from strataflow.operators.project import align
 from strataflow.plans import analytics, curate, defaults, fits, ingest, mapping, processed
 from strataflow.plans.full_run import run_layers
 from strataflow.plans.ledger import RunLedger
-from strataflow.sinks.seen import SeenKeys
+from strataflow.sinks import tables as sinks
+from strataflow.sinks.seen import SeenKeys, packed, unpacked
 from strataflow.sinks.tables import overwrite_partitions, write_snapshot
 from strataflow.sources import tables
 from strataflow.sources.folders import child_files, partition_values
@@ -563,6 +564,39 @@ def test_only_years_of_changed_names_are_written(spark):
     ]
 
 
+def test_packed_text_is_one_to_one(spark):
+    digests = [c * 40 for c in "09af"]
+    texts = [None, "", "a", "10", "9", "é\U0001f600", "A" * 40, "g" * 40, "a" * 39, "a" * 41, "a" * 40 + "\n", *digests]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string").withColumn("packed", packed(F.col("text")))
+    got = rows.withColumn("back", unpacked(F.col("packed"))).orderBy("i").collect()
+    assert [r["back"] for r in got] == texts and len({bytes(r["packed"]) for r in got[1:]}) == len(texts) - 1
+    assert [len(r["packed"]) for r in got[-4:]] == [21] * 4
+    first = rows.where(F.col("text").isin(digests)).orderBy("packed").collect()
+    assert [r["text"] for r in first] == digests
+
+
+def test_a_load_stores_and_compares_few_bytes(spark, ledger, tmp_path):
+    """A load writes a record's digests and text in little room, and the first one has nothing to compare."""
+    seen, n = SeenKeys(spark, f"file:{tmp_path}/seen", buckets=4), 4000
+    pages = envelopes(spark, [record(f"C{i}", f"Country {i}", "1999", i) for i in range(n)])
+    assert ingest.ingest_records(pages, f"file:{tmp_path}/raw", ledger, seen=seen, now=DAY).rows == n
+    size = lambda folder: sum(f.stat().st_size for f in (tmp_path / folder).rglob("part-*"))
+    assert size("raw") < 120 * n and size("seen") < 60 * n
+    keyed = spark.range(5).select(F.col("id").cast("string").alias("k"), F.lit("1").alias("v"))
+    assert SeenKeys(spark, fresh_folder(spark, "none")).changed(keyed, "k", "v") is keyed
+    joined = seen.changed(keyed, "k", "v")
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.count() == 5 and "_packed" in plan
+
+
+def test_raw_files_are_short(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(sinks, "RAW_FILE_ROWS", 10)
+    rows = spark.range(0, 35, 1, 1).select("id")
+    assert sinks.write_raw(rows, f"file:{tmp_path}/raw").rows == 35
+    assert len(list((tmp_path / "raw").glob("part-*"))) == 4
+    assert sorted(r["id"] for r in spark.read.schema("id long").json(f"file:{tmp_path}/raw").collect()) == list(range(35))
+
+
 def test_records_revised_late_and_set_back(spark, ledger):
     root = fresh_folder(spark, "ingest")
     seen = SeenKeys(spark, f"{root}/seen")
