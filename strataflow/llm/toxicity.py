@@ -21,6 +21,7 @@ columns are not looked at.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterable, Sequence
 
 import numpy as np
@@ -36,7 +37,8 @@ BUCKETS, FACTORS = 1 << 18, 8
 PREFIXES = (3, 4, 5)
 STEPS, RATE, DECAY, SEED = 80, 0.05, 5e-4, 11
 TOXIC_AT = 0.5
-CACHE_WORDS = 200_000
+#: Words whose terms a worker keeps: the frequent ones, in a few MB.
+CACHE_WORDS = 50_000
 #: Chi-square of a term at which its value is a half; most that a term has by its frequency, and documents for half of that.
 EVIDENCE, COMMON, HALF_COMMON = 25, 0.1, 50
 MISS_COST = 3
@@ -84,12 +86,12 @@ class Machine:
     def __init__(self, bias: float, weights: np.ndarray, factors: np.ndarray):
         self.bias, self.weights, self.factors = bias, weights, factors
         self.squares = (factors**2).sum(1)
-        self.kept: dict[str, list[int]] = {}
+        self.kept: dict[str, array] = {}
 
-    def _terms(self, word: str) -> list[int]:
+    def _terms(self, word: str) -> array:
         found = self.kept.get(word)
         if found is None:
-            found = terms_of(word)
+            found = array("i", terms_of(word))
             if len(self.kept) >= CACHE_WORDS:
                 self.kept.clear()
             if len(word) <= 64:
@@ -99,10 +101,7 @@ class Machine:
     def score(self, texts: Iterable[str | None]) -> np.ndarray:
         out = []
         for text in texts:
-            terms: list[int] = []
-            for word in set(plain(text).split()):
-                terms += self._terms(word)
-            some = np.unique(np.array(terms, np.int64))
+            some = np.unique(np.frombuffer(b"".join([self._terms(w) for w in set(plain(text).split())]), np.intc))
             met = self.factors[some].sum(0)
             out.append(self.bias + self.weights[some].sum() + 0.5 * ((met**2).sum() - self.squares[some].sum()))
         return sigmoid(np.array(out, float))

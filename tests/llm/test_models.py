@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -121,6 +122,23 @@ def test_meeting_terms_are_learned():
     assert np.allclose(toxicity.sigmoid(np.array(brute)), model.score(texts[:20]), atol=1e-6)
 
 
+def test_a_worker_keeps_terms_in_little_room():
+    rng = np.random.default_rng(1)
+    weights, factors = rng.normal(size=toxicity.BUCKETS), rng.normal(0, 0.1, (toxicity.BUCKETS, toxicity.FACTORS))
+    model = toxicity.Machine(0.5, weights, factors)
+    texts = [" ".join(f"w{i}x{k}" for k in range(50)) for i in range(2400)] + ["", None]
+    tracemalloc.start()
+    scores = model.score(texts)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 16e6
+    for k in (0, 7, 2399, 2400, 2401):
+        some = np.frombuffer(toxicity.term_sets([texts[k]])[0], np.int32)
+        met = factors[some].sum(0)
+        raw = 0.5 + weights[some].sum() + 0.5 * ((met**2).sum() - (factors[some] ** 2).sum())
+        assert np.isclose(scores[k], toxicity.sigmoid(np.array(raw)))
+
+
 def test_machine_gradients():
     """One step of the training against differences of the loss, with documents without terms at either end."""
     r = np.random.default_rng(4)
